@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def clean(c: Column) -> Column:
@@ -64,7 +65,7 @@ def ascii_slug(text: str | None) -> str | None:
     return re.sub(r"[^a-z0-9]+", "_", plain).strip("_")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def slug(names: pd.Series) -> pd.Series:
     """Column-name form of a label. Spark has no NFKD, so this one runs over Arrow."""
     return names.map(ascii_slug)

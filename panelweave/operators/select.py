@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelweave.operators.joins import hot_keys
+SLICES = 64
 
 
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -93,27 +93,15 @@ def preview(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def picked_groups(df: DataFrame, picks: DataFrame, keys: Sequence[str], n: int, order: str) -> DataFrame:
+def picked_groups(df: DataFrame, picks: DataFrame, keys: Sequence[str], n: int, order: Sequence[str]) -> DataFrame:
     """The first ``n`` rows of each picked group.
 
-    Each task keeps at most ``n`` candidates per group before the shuffle:
-    a limited rank is applied per hash slice, then once more per group.
+    Ranked per hash slice first, so no task orders a whole large group; at
+    most ``n`` rows per slice reach the final rank.
     """
-    from pyspark.sql import Window
-
-    chosen = df.join(picks.select(*keys), list(keys), "left_semi").withColumn("_slice", F.pmod(F.xxhash64(order), F.lit(64)))
-    first = Window.partitionBy(*keys, "_slice").orderBy(order)
-    second = Window.partitionBy(*keys).orderBy(order)
-    return (
-        chosen.withColumn("_rn", F.row_number().over(first))
-        .filter(F.col("_rn") <= n)
-        .withColumn("_rn", F.row_number().over(second))
-        .filter(F.col("_rn") <= n)
-        .drop("_rn", "_slice")
-    )
-
-
-__all__ = [
-    "descending", "exclude_rows", "filter_panel", "funnel", "hot_keys", "keep_one", "mask_outside",
-    "near_duplicates", "picked_groups", "prefer", "preview", "sample_entities", "sample_rows",
-]
+    slices = F.pmod(F.xxhash64(*order), F.lit(SLICES))
+    chosen = df.join(picks.select(*keys), list(keys), "left_semi").withColumn("_slice", slices)
+    for group in ([*keys, "_slice"], list(keys)):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        chosen = chosen.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+    return chosen.drop("_slice")

@@ -1,6 +1,6 @@
 """Every query, by importing the modules that register them."""
 
-from panelweave.workload import panels, series, spatial  # noqa: F401
+from panelweave.workload import panels, reshaping, series, spatial  # noqa: F401
 from panelweave.workload.base import REGISTRY, Tables
 
 __all__ = ["REGISTRY", "Tables"]
