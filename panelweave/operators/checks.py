@@ -15,30 +15,28 @@ class CheckFailed(Exception):
     """A gate found failing checks."""
 
 
-def _judged(counted: DataFrame, group: str, names: Sequence[str]) -> DataFrame:
-    """One row of violation counts to one check row per column."""
-    long = counted.select(*[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n) for n in names])
-    long = long.unpivot([], list(names), "name", "violations")
+def _judged(df: DataFrame, group: str, violations: Mapping[str, Column]) -> DataFrame:
+    """One check row per aggregate that counts violations, all in one pass."""
+    counted = [F.struct(F.lit(n).alias("name"), F.coalesce(v, F.lit(0)).cast("bigint").alias("violations")) for n, v in violations.items()]
+    long = df.agg(F.array(*counted).alias("_c")).select(F.inline("_c"))
     status = F.when(F.col("violations") == 0, "PASS").otherwise("FAIL")
     return long.select(F.lit(group).alias("grp"), "name", status.alias("status"), "violations")
 
 
 def rows_hold(df: DataFrame, group: str, rules: Mapping[str, Column]) -> DataFrame:
     """Row rules, all in one pass. An unknown predicate is a violation."""
-    bad = [F.count_if(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()]
-    return _judged(df.agg(*bad), group, list(rules))
+    return _judged(df, group, {name: F.count_if(~F.coalesce(rule, F.lit(False))) for name, rule in rules.items()})
 
 
 def aggregates_hold(df: DataFrame, group: str, rules: Mapping[str, Column]) -> DataFrame:
     """Rules over aggregates (bands, totals, orderings), all in one pass."""
-    bad = [F.when(F.coalesce(rule, F.lit(False)), 0).otherwise(1).alias(name) for name, rule in rules.items()]
-    return _judged(df.agg(*bad), group, list(rules))
+    return _judged(df, group, {name: F.when(F.coalesce(rule, F.lit(False)), 0).otherwise(1) for name, rule in rules.items()})
 
 
 def unique_key(df: DataFrame, group: str, name: str, keys: Sequence[str]) -> DataFrame:
     """How many keys occur more than once."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return _judged(counts.agg(F.count_if(F.col("_n") > 1).alias(name)), group, [name])
+    return _judged(counts, group, {name: F.count_if(F.col("_n") > 1)})
 
 
 def balanced(df: DataFrame, group: str, name: str, entity: str, first: int, last: int, year: str = "year") -> DataFrame:
@@ -46,7 +44,7 @@ def balanced(df: DataFrame, group: str, name: str, entity: str, first: int, last
     per = df.groupBy(entity).agg(F.count_distinct(year).alias("_d"), F.count(F.lit(1)).alias("_n"), F.min(year).alias("_a"), F.max(year).alias("_b"))
     size = last - first + 1
     good = (F.col("_d") == size) & (F.col("_n") == size) & (F.col("_a") == first) & (F.col("_b") == last)
-    return _judged(per.agg(F.count_if(~F.coalesce(good, F.lit(False))).alias(name)), group, [name])
+    return _judged(per, group, {name: F.count_if(~F.coalesce(good, F.lit(False)))})
 
 
 def known_keys(keys: Sequence[str]) -> dict[str, Column]:
@@ -72,7 +70,7 @@ def documented(df: DataFrame, group: str, name: str, dictionary: DataFrame) -> D
     """Columns the dictionary does not list."""
     columns = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column string")
     undocumented = columns.join(dictionary.select("column"), "column", "left_anti")
-    return _judged(undocumented.agg(F.count(F.lit(1)).alias(name)), group, [name])
+    return _judged(undocumented, group, {name: F.count(F.lit(1))})
 
 
 def totals_match(panel: DataFrame, source: DataFrame, group: str, columns: Sequence[str], tolerance: float = 1e-6) -> DataFrame:
@@ -101,20 +99,20 @@ def key_set_equals(left: DataFrame, right: DataFrame, group: str, name: str, key
     """Keys found on one side only."""
     a, b = left.select(*keys).distinct(), right.select(*keys).distinct()
     odd = a.subtract(b).unionByName(b.subtract(a))
-    return _judged(odd.agg(F.count(F.lit(1)).alias(name)), group, [name])
+    return _judged(odd, group, {name: F.count(F.lit(1))})
 
 
 def subset_of(left: DataFrame, right: DataFrame, group: str, name: str, keys: Sequence[str]) -> DataFrame:
     """Keys of ``left`` that ``right`` lacks."""
     lost = left.select(*keys).distinct().join(right.select(*keys), list(keys), "left_anti")
-    return _judged(lost.agg(F.count(F.lit(1)).alias(name)), group, [name])
+    return _judged(lost, group, {name: F.count(F.lit(1))})
 
 
 def constant_per(df: DataFrame, group: str, name: str, keys: Sequence[str], column: str) -> DataFrame:
     """Keys where the column takes more than one value or is never known."""
     per = df.groupBy(*keys).agg(F.min(column).alias("_a"), F.max(column).alias("_b"))
     good = F.coalesce(F.col("_a") == F.col("_b"), F.lit(False))
-    return _judged(per.agg(F.count_if(~good).alias(name)), group, [name])
+    return _judged(per, group, {name: F.count_if(~good)})
 
 
 def varies_somewhere(df: DataFrame, group: str, name: str, keys: Sequence[str], column: str) -> DataFrame:
