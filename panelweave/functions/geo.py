@@ -99,10 +99,14 @@ def edges_area(edges: Column) -> Column:
 
 
 def crosses(e: Column, x: Column, y: Column) -> Column:
-    """Whether a ray going right from (x, y) crosses an edge; half-open, free of division."""
+    """Whether a ray going right from (x, y) crosses an edge; half-open, free of division.
+
+    Strict for both directions of travel, so a point on an edge shared by two
+    polygons belongs to exactly one of them.
+    """
     straddles = (e["y1"] > y) != (e["y2"] > y)
-    left_of = (x - e["x1"]) * (e["y2"] - e["y1"]) < (e["x2"] - e["x1"]) * (y - e["y1"])
-    return straddles & (left_of == (e["y2"] > e["y1"]))
+    ours, edge = (x - e["x1"]) * (e["y2"] - e["y1"]), (e["x2"] - e["x1"]) * (y - e["y1"])
+    return straddles & F.when(e["y2"] > e["y1"], ours < edge).otherwise(ours > edge)
 
 
 def inside(edges: Column, x: Column, y: Column) -> Column:
