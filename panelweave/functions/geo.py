@@ -45,36 +45,25 @@ def flat_point(point: Column) -> Column:
     return F.struct(point["x"].alias("x"), point["y"].alias("y"))
 
 
-def ring_area(ring: Column) -> Column:
-    """Signed shoelace area of a closed ring, positive counter-clockwise."""
-    steps = F.sequence(F.lit(1), F.size(ring) - 1)
-    origin = F.element_at(ring, 1)
+def ring_area(ring: str) -> Column:
+    """Signed shoelace area of a closed ring column, positive counter-clockwise."""
+    return F.expr(_ring_area(ring))
 
-    def cross(i: Column) -> Column:
-        a, b = F.element_at(ring, i), F.element_at(ring, i + 1)
-        return (a["x"] - origin["x"]) * (b["y"] - origin["y"]) - (b["x"] - origin["x"]) * (a["y"] - origin["y"])
 
-    return F.when(F.size(ring) < 3, F.lit(0.0)).otherwise(
-        F.aggregate(steps, F.lit(0.0), lambda total, i: total + cross(i) / 2)
+def _ring_area(ring: str) -> str:
+    cross = (
+        f"({ring}[i - 1].x - {ring}[0].x) * ({ring}[i].y - {ring}[0].y)"
+        f" - ({ring}[i].x - {ring}[0].x) * ({ring}[i - 1].y - {ring}[0].y)"
     )
+    return f"if(size({ring}) < 3, 0D, aggregate(sequence(1, greatest(size({ring}) - 1, 1)), 0D, (total, i) -> total + ({cross}) / 2))"
 
 
-def oriented(ring: Column, is_hole: Column) -> Column:
-    """Outer rings counter-clockwise, holes clockwise."""
-    return F.when((ring_area(ring) > 0) == is_hole, F.reverse(ring)).otherwise(ring)
-
-
-def ring_edges(ring: Column) -> Column:
-    """Directed edges of a closed ring."""
-    return F.transform(
-        F.sequence(F.lit(1), F.size(ring) - 1),
-        lambda i: F.struct(
-            F.element_at(ring, i)["x"].alias("x1"),
-            F.element_at(ring, i)["y"].alias("y1"),
-            F.element_at(ring, i + 1)["x"].alias("x2"),
-            F.element_at(ring, i + 1)["y"].alias("y2"),
-        ),
-    )
+def oriented_edges(ring: str, is_hole: str) -> Column:
+    """Directed edges of a closed ring: outer rings counter-clockwise, holes clockwise."""
+    turned = f"if(({_ring_area(ring)} > 0) = {is_hole}, reverse({ring}), {ring})"
+    step = "named_struct('x1', p.x, 'y1', p.y, 'x2', r[i + 1].x, 'y2', r[i + 1].y)"
+    # a one-element array gives the turned ring a name inside the lambda
+    return F.expr(f"flatten(transform(array({turned}), r -> transform(slice(r, 1, size(r) - 1), (p, i) -> {step})))")
 
 
 def project_edges(edges: Column) -> Column:
@@ -92,23 +81,7 @@ def project_edges(edges: Column) -> Column:
 
 def edges_area(edges: Column) -> Column:
     """Area of a polygon from its oriented edges, holes subtracted."""
-    base = F.element_at(edges, 1)["y1"]
+    base = edges[0]["y1"]
     return F.aggregate(
         edges, F.lit(0.0), lambda a, e: a + (e["x1"] - e["x2"]) * ((e["y1"] - base) + (e["y2"] - base)) / 2
     )
-
-
-def crosses(e: Column, x: Column, y: Column) -> Column:
-    """Whether a ray going right from (x, y) crosses an edge; half-open, free of division.
-
-    Strict for both directions of travel, so a point on an edge shared by two
-    polygons belongs to exactly one of them.
-    """
-    straddles = (e["y1"] > y) != (e["y2"] > y)
-    ours, edge = (x - e["x1"]) * (e["y2"] - e["y1"]), (e["x2"] - e["x1"]) * (y - e["y1"])
-    return straddles & F.when(e["y2"] > e["y1"], ours < edge).otherwise(ours > edge)
-
-
-def inside(edges: Column, x: Column, y: Column) -> Column:
-    """Even-odd rule over all rings of a polygon: holes and parts need no special case."""
-    return F.size(F.filter(edges, lambda e: crosses(e, x, y))) % 2 == 1

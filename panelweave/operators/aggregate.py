@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelweave.operators.joins import salted_join
+from panelweave.operators.joins import lookup
 from panelweave.session import stage
 
 
@@ -69,30 +69,32 @@ def exact_quantiles(
     value: str,
     quantiles: Mapping[str, float],
     weight: str | None = None,
+    count: str | None = None,
     cuts: int = 64,
 ) -> DataFrame:
     """Exact quantiles per group without putting a group into one task.
 
-    Equal values collapse to one row. A mergeable sketch proposes up to
-    ``cuts`` splitting values per group, counts per split locate the one
-    slice that holds each target rank, and only ranks inside a slice are
-    ordered. The sketch only shapes the work; any splits give the same answer.
+    Equal values collapse to one row, written once; the input is read no
+    more after that. A mergeable sketch proposes up to ``cuts`` splitting
+    values per group, totals per split locate the slice that holds each
+    target rank, and only ranks inside a slice are ordered. The sketch only
+    shapes the work; any splits give the same answer.
 
-    Without ``weight`` the result interpolates linearly between order
-    statistics. With it, the quantile is the lowest value at which the
-    running weight reaches the fraction of the total.
+    The result interpolates linearly between order statistics; ``count``
+    names a column that says how often a row stands. With ``weight`` it is
+    instead the lowest value at which the running weight reaches the
+    fraction of the total.
     """
-    known = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), *([weight] if weight else []))
-    mass = F.sum(weight) if weight else F.count(F.lit(1))
-    tallied = known.groupBy(*keys, "_v").agg(mass.alias("_n"))
+    mass = F.sum(weight or count) if weight or count else F.count(F.lit(1))
     key = list(keys) or ["_all"]
-    if not keys:
-        known, tallied = known.withColumn("_all", F.lit(0)), tallied.withColumn("_all", F.lit(0))
+    known = df.filter(F.col(value).isNotNull()).withColumnsRenamed({value: "_v"})
+    known = known if keys else known.withColumn("_all", F.lit(0))
+    tallied = stage(known.groupBy(*key, "_v").agg(mass.alias("_n")))
     steps = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
-    splits = stage(known.groupBy(*key).agg(F.array_distinct(F.percentile_approx("_v", steps, F.lit(cuts * 20))).alias("_splits")))
-    # spread_by the value: the rows of a hot key land in many buckets
-    placed = salted_join(tallied, splits, key, ["_v"], how="inner")
-    placed = placed.withColumn("_slice", F.size(F.filter("_splits", lambda s: s < F.col("_v")))).drop("_splits")
+    splits = stage(tallied.groupBy(*key).agg(F.array_distinct(F.percentile_approx("_v", steps, F.lit(cuts * 20))).alias("_splits")))
+    # beyond a broadcast, spread by the value: the rows of a hot key land in many buckets
+    placed = lookup(tallied, splits, key, ["_v"], "inner", weight=F.size("_splits"))
+    placed = placed.withColumn("_slice", F.expr("size(filter(_splits, s -> s < _v))")).drop("_splits")
     per_slice = placed.groupBy(*key, "_slice").agg(F.sum("_n").alias("_slice_n"))
     before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     base = (

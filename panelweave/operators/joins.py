@@ -44,6 +44,17 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> Data
     return df.groupBy(*on).count().filter(F.col("count") > F.lit(share * total)).select(*on)
 
 
+def _join_where(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, where: Column | None) -> DataFrame:
+    """Equi-join on same-named keys with an optional further condition."""
+    if where is None:
+        return left.join(right, list(on), how)
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
+    condition = where
+    for k in on:
+        condition = condition & (F.col(k) == F.col(f"_r_{k}"))
+    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in on])
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -52,6 +63,7 @@ def salted_join(
     how: str = "left",
     salts: int = 64,
     share: float = HOT_SHARE,
+    where: Column | None = None,
 ) -> DataFrame:
     """Shuffle join whose hot left keys are spread over ``salts`` buckets.
 
@@ -69,7 +81,7 @@ def salted_join(
         .drop("_hot")
     )
     salted_right = right.join(hot, list(on), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    return _join_where(salted_left, salted_right, [*on, "_salt"], how, where).drop("_salt")
 
 
 def lookup(
@@ -80,16 +92,17 @@ def lookup(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     weight: Column | None = None,
+    where: Column | None = None,
 ) -> DataFrame:
-    """Many-to-one join of a large fact table to a lookup of unknown size.
+    """Join of a large fact table to a lookup of unknown size.
 
     Broadcast when the lookup is measured to be small, salted shuffle join
     beyond that.
     """
     small, fits = bounded_broadcast(table, max_rows, weight)
     if fits:
-        return facts.join(small, list(on), how)
-    return salted_join(facts, small, on, spread_by, how)
+        return _join_where(facts, small, on, how, where)
+    return salted_join(facts, small, on, spread_by, how, where=where)
 
 
 def crosswalk_join(facts: DataFrame, crosswalk: DataFrame, on: Sequence[str], spread_by: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -21,20 +21,15 @@ SLIVER = 1e-9
 
 def polygons(rings: DataFrame, ident: Sequence[str]) -> DataFrame:
     """Ring rows (ident, is_hole, ring) to one row per polygon with its edges and box."""
-    edges = rings.select(*ident, geo.ring_edges(geo.oriented(F.col("ring"), F.col("is_hole"))).alias("_e"))
+    edges = rings.select(*ident, geo.oriented_edges("ring", "is_hole").alias("_e"))
     return boxed(edges.groupBy(*ident).agg(F.flatten(F.collect_list("_e")).alias("edges")))
 
 
 def boxed(geom: DataFrame) -> DataFrame:
     """Add the bounding box of ``edges``."""
-    def extreme(pick, fold, a: str, b: str) -> Column:
-        return pick(F.transform("edges", lambda e: fold(e[a], e[b])))
-
     return geom.withColumns({
-        "xmin": extreme(F.array_min, F.least, "x1", "x2"),
-        "xmax": extreme(F.array_max, F.greatest, "x1", "x2"),
-        "ymin": extreme(F.array_min, F.least, "y1", "y2"),
-        "ymax": extreme(F.array_max, F.greatest, "y1", "y2"),
+        side + end: F.expr(f"array_{end}(transform(edges, e -> {fold}(e.{side}1, e.{side}2)))")
+        for side in "xy" for end, fold in (("min", "least"), ("max", "greatest"))
     })
 
 
@@ -51,11 +46,16 @@ def ring_faults(rings: DataFrame) -> DataFrame:
         F.when(ring.isNull() | (F.size(ring) == 0), "empty")
         .when(F.size(ring) < 4, "too few points")
         .when(ends_differ, "not closed")
-        .when(F.abs(geo.ring_area(ring)) < 1e-15, "zero area")
+        .when(F.abs(geo.ring_area("ring")) < 1e-15, "zero area")
     )
     return rings.withColumn("fault", fault).filter(F.col("fault").isNotNull())
 
 
+def _shared_out(df: DataFrame, *keys: str) -> DataFrame:
+    """Few rows with much work each: spread them by a fixed count, which AQE does not undo."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def cell(c: Column, size: float) -> Column:
     return F.floor(c / F.lit(size)).cast("bigint")
 
@@ -64,79 +64,112 @@ def _span(low: Column, high: Column) -> Column:
     return F.explode(F.sequence(low, high))
 
 
-def cell_index(geom: DataFrame, ident: str, size: float) -> DataFrame:
-    """Polygons by grid cell, each with only the edges that can matter there.
+FAR = 1e300
+
+# x of an edge at height _mid; the lower end comes first, so polygons that share an edge agree on it
+_START = "if(e.y2 > e.y1, e.x1, e.x2)", "if(e.y2 > e.y1, e.y1, e.y2)"
+_SLOPE = "(e.x2 - e.x1) / (e.y2 - e.y1)"
+_X_AT_MID = f"({_START[0]} + {_SLOPE} * (_mid - {_START[1]}))"
+
+
+def trapezoids(geom: DataFrame, ident: str, size: float) -> DataFrame:
+    """Polygons cut into trapezoids per grid cell.
 
-    A cell no edge enters is wholly in or out: outside ones are dropped,
-    inside ones keep no edges at all, so their points need no test.
+    Rows (cx, cy, ident, low, high, l, r): a point of the cell is inside
+    exactly when low <= y < high and it lies from line ``l`` up to line ``r``.
+    A cell is sliced at the vertices in it and where the boundary meets its
+    west side; in a slice the edges to the right, in order, bound the inside
+    by turns. A cell wholly inside is one slice between two far lines.
     """
-    rows = geom.select(ident, "edges", "xmin", "xmax", _span(cell(F.col("ymin"), size), cell(F.col("ymax"), size)).alias("cy"))
-    south, north = F.col("cy") * F.lit(size), (F.col("cy") + 1) * F.lit(size)
-    in_row = F.filter("edges", lambda e: (F.least(e["y1"], e["y2"]) <= north) & (F.greatest(e["y1"], e["y2"]) >= south))
-    cells = rows.withColumn("edges", in_row).select(
+    rows = _shared_out(
+        geom.select(ident, "edges", "xmin", "xmax", _span(cell(F.col("ymin"), size), cell(F.col("ymax"), size)).alias("cy")), ident, "cy"
+    )
+    # level edges stay: they bound nothing to the left or right but their height is a cut
+    in_row = f"filter(edges, e -> least(e.y1, e.y2) < (cy + 1) * {size}D and greatest(e.y1, e.y2) > cy * {size}D)"
+    cells = rows.withColumn("edges", F.expr(in_row)).select(
         ident, "edges", "cy", _span(cell(F.col("xmin"), size), cell(F.col("xmax"), size)).alias("cx")
     )
-    west, east = F.col("cx") * F.lit(size), (F.col("cx") + 1) * F.lit(size)
-    entering = F.exists("edges", lambda e: (F.least(e["x1"], e["x2"]) <= east) & (F.greatest(e["x1"], e["x2"]) >= west))
-    centre = geo.inside(F.col("edges"), (west + east) / 2, (south + north) / 2)
-    right_side = F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= west)
-    marked = cells.withColumn("_enter", entering).withColumn("_centre", F.when(~F.col("_enter"), centre))
-    return marked.filter(F.col("_enter") | F.col("_centre")).select(
-        "cx", "cy", ident, F.when(F.col("_enter"), right_side).otherwise(F.array().cast(geom.schema["edges"].dataType)).alias("edges"), (~F.col("_enter")).alias("whole")
+    sides = cells.selectExpr(
+        ident, "cx", "cy", f"filter(edges, e -> greatest(e.x1, e.x2) >= cx * {size}D) as edges",
+        f"cx * {size}D as west", f"(cx + 1) * {size}D as east", f"cy * {size}D as south", f"(cy + 1) * {size}D as north",
+    )
+    entering = sides.withColumn("_in", F.expr("filter(edges, e -> least(e.x1, e.x2) <= east)"))
+    on_west = "transform(filter(_in, e -> least(e.x1, e.x2) < west and greatest(e.x1, e.x2) > west), e -> e.y1 + (west - e.x1) * (e.y2 - e.y1) / (e.x2 - e.x1))"
+    heights = f"concat(array(south, north), transform(_in, e -> e.y1), transform(_in, e -> e.y2), {on_west})"
+    cut = entering.withColumn("_cuts", F.expr(f"array_sort(array_distinct(filter({heights}, y -> y between south and north)))"))
+    slices = cut.select(
+        ident, "cx", "cy", "edges", "west", "east",
+        F.expr("inline(transform(slice(_cuts, 1, size(_cuts) - 1), (y, i) -> named_struct('low', y, 'high', _cuts[i + 1])))"),
+    ).withColumn("_mid", (F.col("low") + F.col("high")) / 2)
+    far = f"named_struct('m', {{0}}D, 'x', {{0}}D, 'y', 0D, 'k', 0D)"
+    crossing = f"filter(edges, e -> (e.y1 > _mid) <> (e.y2 > _mid) and {_X_AT_MID} > west)"
+    line = f"named_struct('m', {_X_AT_MID}, 'x', {_START[0]}, 'y', {_START[1]}, 'k', {_SLOPE})"
+    # an edge wholly east of the cell cannot cut it
+    lines = f"array_sort(transform({crossing}, e -> if(least(e.x1, e.x2) > east, {far.format(FAR)}, {line})))"
+    bounds = f"if(size(_lines) % 2 = 1, concat(array({far.format(-FAR)}), _lines), _lines)"
+    # a slice with nothing inside gives an empty array here and explodes to no row
+    turns = "transform(filter(_bounds, (b, i) -> i % 2 = 0), (b, i) -> named_struct('l', b, 'r', _bounds[2 * i + 1]))"
+    return (
+        slices.withColumn("_lines", F.expr(lines))
+        .withColumn("_bounds", F.expr(bounds))
+        .select("cx", "cy", ident, "low", "high", "east", F.expr(f"inline({turns})"))
+        .filter("l.x + l.k * (low - l.y) < east or l.x + l.k * (high - l.y) < east")
+        .drop("east")
     )
 
 
+def _at(line: Column, y: Column) -> Column:
+    return line["x"] + line["k"] * (y - line["y"])
+
+
+def with_rivals(index: DataFrame, ident: str) -> DataFrame:
+    """Add to each trapezoid those of lower-named polygons that may overlap it.
+
+    Neighbours with a common edge are no rivals, so in a clean partition of
+    the plane the list is empty everywhere.
+    """
+    other = index.select("cx", "cy", *[F.col(c).alias(f"_{c}") for c in (ident, "low", "high", "l", "r")])
+    low, high = F.greatest("low", "_low"), F.least("high", "_high")
+
+    def passes(a: str, b: str) -> Column:
+        """Line ``a`` is left of line ``b`` somewhere in the common slice."""
+        return (_at(F.col(a), low) < _at(F.col(b), low)) | (_at(F.col(a), high) < _at(F.col(b), high))
+
+    overlap = (F.col(f"_{ident}") < F.col(ident)) & (low < high) & passes("l", "_r") & passes("_l", "r")
+    pairs = index.select("cx", "cy", ident, "low", "l", "r", "high").join(other, ["cx", "cy"]).filter(overlap)
+    rivals = pairs.groupBy("cx", "cy", ident, "low", "l").agg(
+        F.collect_list(F.struct(F.col("_low").alias("low"), F.col("_high").alias("high"), F.col("_l").alias("l"), F.col("_r").alias("r"))).alias("rivals")
+    )
+    return index.join(rivals, ["cx", "cy", ident, "low", "l"], "left")
+
+
 def points_to_polygons(
-    points: DataFrame,
-    geom: DataFrame,
-    ident: str,
-    x: str,
-    y: str,
-    size: float,
-    how: str = "left",
-    max_candidates: int = 256,
+    points: DataFrame, geom: DataFrame, ident: str, x: str, y: str, size: float, how: str = "left"
 ) -> DataFrame:
     """Give each point the lowest-named polygon it lies in (half-open edges).
 
-    The points are never regrouped: each cell carries its candidate
-    polygons as one array, so the join is many-to-one and the choice among
-    overlapping polygons is local to the row. Cells with very many
-    candidates go through a plain pair test instead, merged by a minimum.
+    A point meets only the trapezoids of its own cell, by plain comparisons
+    that compile with the join. The points are never regrouped: a match that
+    a lower-named polygon also holds is dropped on the row itself.
     """
-    index = cell_index(geom, ident, size).persist()
-    located = points.withColumns({"_cx": cell(F.col(x), size), "_cy": cell(F.col(y), size)})
-    crowded = index.groupBy("cx", "cy").count().filter(F.col("count") > max_candidates).select("cx", "cy")
-    kept = index.join(crowded, ["cx", "cy"], "left_anti")
-    candidates = kept.groupBy(F.col("cx").alias("_cx"), F.col("cy").alias("_cy")).agg(
-        F.collect_list(F.struct(ident, "edges", "whole")).alias("_near")
+    index = with_rivals(trapezoids(geom, ident, size).persist(), ident).select(
+        F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), ident, "low", "high", "rivals",
+        *[F.col(f"{s}.{c}").alias(f"_{s}{c}") for s in "lr" for c in "xyk"],
     )
-    load = F.aggregate("_near", F.lit(1).cast("bigint"), lambda n, c: n + 1 + F.size(c["edges"]))
-    joined = lookup(located, candidates, ["_cx", "_cy"], [x, y], "left", weight=load)
-
-    def hit(c: Column) -> Column:
-        return c["whole"] | geo.inside(c["edges"], F.col(x), F.col(y))
-
-    found = F.array_min(F.transform(F.filter("_near", hit), lambda c: c[ident]))
-    out = joined.withColumn(ident, found).drop("_near")
-    if crowded.limit(1).count():
-        out = _through_crowded(out, index.join(crowded, ["cx", "cy"], "left_semi"), ident, x, y)
-    out = out.drop("_cx", "_cy")
-    return out.filter(F.col(ident).isNotNull()) if how == "inner" else out
-
-
-def _through_crowded(located: DataFrame, index: DataFrame, ident: str, x: str, y: str) -> DataFrame:
-    """The same answer for crowded cells: test pairs, keep the lowest per distinct location."""
-    where = [x, y, "_cx", "_cy"]
-    spots = located.join(index.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy")).distinct(), ["_cx", "_cy"], "left_semi")
-    tested = (
-        spots.select(*where)
-        .distinct()
-        .join(index.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col(ident).alias("_id"), "edges", "whole"), ["_cx", "_cy"])
-        .filter(F.col("whole") | geo.inside(F.col("edges"), F.col(x), F.col(y)))
-        .groupBy(x, y)
-        .agg(F.min("_id").alias("_id"))
+    located = points.withColumns({"_cx": cell(F.col(x), size), "_cy": cell(F.col(y), size)})
+    px, py = F.col(x), F.col(y)
+
+    def edge(s: str) -> Column:
+        return F.col(f"_{s}x") + F.col(f"_{s}k") * (py - F.col(f"_{s}y"))
+
+    within = (py >= F.col("low")) & (py < F.col("high")) & (px >= edge("l")) & (px < edge("r"))
+    load = F.lit(1) + F.coalesce(F.size("rivals"), F.lit(0))
+    joined = lookup(located, index, ["_cx", "_cy"], [x, y], how, weight=load, where=within)
+    taken = F.expr(
+        f"exists(rivals, t -> {y} >= t.low and {y} < t.high and {x} >= t.l.x + t.l.k * ({y} - t.l.y) and {x} < t.r.x + t.r.k * ({y} - t.r.y))"
     )
-    return located.join(tested, [x, y], "left").withColumn(ident, F.coalesce(F.col(ident), F.col("_id"))).drop("_id")
+    kept = joined.filter(F.col("rivals").isNull() | ~taken)
+    return kept.select(*points.columns, ident)
 
 
 def _integral_above(low: Column, high: Column, left: Column, right: Column, width: Column) -> Column:

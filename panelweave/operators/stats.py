@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.operators.aggregate import exact_quantiles, histogram, top_values
+from panelweave.session import stage
 
 
 def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -50,21 +51,18 @@ def distinct_counts(counted: DataFrame) -> DataFrame:
     return counted.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"), F.sum("n").alias("known"))
 
 
-def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """min, max, mean and sd per numeric column, one pass."""
-    parts = []
+def summary(df: DataFrame, columns: Sequence[str], numeric: Sequence[str]) -> DataFrame:
+    """(column, known, pct, min, max, mean, sd), one pass; the moments of numeric columns only."""
+    n, parts = F.count(F.lit(1)), []
     for c in columns:
-        x = F.col(c).cast("double")
-        parts.append(F.struct(F.lit(c).alias("column"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd")))
+        x = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
+        parts.append(F.struct(
+            F.lit(c).alias("column"), F.count(c).alias("known"), (F.count(c) * 100.0 / n).alias("pct"),
+            F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"),
+        ))
     return df.agg(F.array(*parts).alias("_p")).select(F.inline("_p"))
 
 
-def quantile_table(df: DataFrame, columns: Sequence[str], quantiles: Mapping[str, float]) -> DataFrame:
-    """Exact quantiles of many columns at once: the column name is the group."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
-    return exact_quantiles(long, ["column"], "value", quantiles)
-
-
 def distribution(df: DataFrame, column: str) -> DataFrame:
     """n, mean, sd, min, p5, p50, p95, max of one column."""
     base = df.agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("sd"), F.min(column).alias("min"), F.max(column).alias("max"))
@@ -75,17 +73,20 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
 def profile(df: DataFrame, columns: Sequence[str], numeric_over: int = 12) -> DataFrame:
     """Kind, coverage, distinct count and range per column.
 
-    Numeric means a number type with more than ``numeric_over`` values.
+    Numeric means a number type with more than ``numeric_over`` values. The
+    table is read twice: once for the moments, once for a tally of values
+    that answers distinct counts and medians of all columns.
     """
-    numbers = {"tinyint", "smallint", "int", "bigint", "float", "double"}
-    numeric = [c for c in columns if df.schema[c].dataType.simpleString() in numbers or df.schema[c].dataType.simpleString().startswith("decimal")]
-    cover, seen = coverage(df, columns), distinct_counts(tally(df, columns)).drop("known")
-    table = cover.join(seen, "column", "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
-    if numeric:
-        table = table.join(moments(df, numeric), "column", "left").join(quantile_table(df, numeric, {"median": 0.5}), "column", "left")
+    numbers = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+    numeric = [c for c in columns if df.schema[c].dataType.simpleString().startswith(numbers)]
+    counted = stage(tally(df, columns))
+    seen = distinct_counts(counted).drop("known")
+    table = summary(df, columns, numeric).join(seen, "column", "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
+    values = counted.filter(F.col("column").isin(numeric)).withColumn("value", F.col("value").cast("double"))
+    medians = exact_quantiles(values, ["column"], "value", {"median": 0.5}, count="n")
     is_number = F.col("column").isin(numeric) & (F.col("n_distinct") > numeric_over)
-    shown = {c: F.when(is_number, F.col(c)) for c in ("min", "max", "mean", "sd", "median") if numeric}
-    return table.withColumns({"kind": F.when(is_number, "numeric").otherwise("categorical"), **shown})
+    shown = {c: F.when(is_number, F.col(c)) for c in ("min", "max", "mean", "sd", "median")}
+    return table.join(medians, "column", "left").withColumns({"kind": F.when(is_number, "numeric").otherwise("categorical"), **shown})
 
 
 def dictionary(profiled: DataFrame, definitions: DataFrame, rules: Mapping[str, Sequence[str]], search: str = "") -> DataFrame:
@@ -169,5 +170,5 @@ def clustered_ols(df: DataFrame, y: str, xs: Sequence[str], effect: str, cluster
 
 __all__ = [
     "clustered_ols", "correlation_matrix", "coverage", "dictionary", "distinct_counts", "distribution", "families",
-    "histogram", "layer_of", "moments", "profile", "quantile_table", "ranked_drivers", "tally", "top_values",
+    "histogram", "layer_of", "profile", "ranked_drivers", "summary", "tally", "top_values",
 ]

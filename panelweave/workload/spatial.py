@@ -27,8 +27,8 @@ def _corner(key: str) -> tuple[Column, Column]:
 
 
 def _ring(key: str, shape) -> Column:
-    x, y = _corner(key)
-    return F.array(*[F.struct((x + a).alias("x"), (y + b).alias("y")) for a, b in shape])
+    points = ", ".join(f"named_struct('x', {key} % {WIDE} + {a}D, 'y', floor({key} / {WIDE}) + {b}D)" for a, b in shape)
+    return F.expr(f"array({points})")
 
 
 def district_rings(t: Tables) -> DataFrame:
@@ -71,7 +71,7 @@ PLACED_SQL = f"""select p.*, s.s_suppkey as district_id from ({POINTS_SQL}) p
 
 
 def placed(t: Tables, how: str = "left") -> DataFrame:
-    return spatial.points_to_polygons(points(t), districts(t), "district_id", "lon", "lat", 0.5, how)
+    return spatial.points_to_polygons(points(t), districts(t), "district_id", "lon", "lat", 1.0, how)
 
 
 @query(
@@ -102,7 +102,7 @@ _WIDE_SQL = ", ".join(
 )
 def located_event_panel(t: Tables):
     long, wide = spatial_layers.event_layers(
-        points(t), districts(t), "district_id", "lon", "lat", 0.5, "kind", KINDS, {"deaths": "best"}
+        points(t), districts(t), "district_id", "lon", "lat", 1.0, "kind", KINDS, {"deaths": "best"}
     )
     columns = [f"{m}_{s}" for m in ("n_events", "deaths") for s in (*KINDS.values(), "total")]
     wide = wide.select("district_id", "year", *[F.col(c).cast("bigint").alias(c) for c in columns])
@@ -292,7 +292,7 @@ def field_polygon_census(t: Tables):
 def deposit_point_census(t: Tables):
     coded = points(t).withColumn("precision", F.concat_ws("; ", F.col("kind"), F.col("l_linestatus")))
     precise = coded.filter(~reshape.any_part_in("precision", "[;,]", ["R"]))
-    hits = spatial.points_to_polygons(precise, districts(t), "district_id", "lon", "lat", 0.5, "inner")
+    hits = spatial.points_to_polygons(precise, districts(t), "district_id", "lon", "lat", 1.0, "inner")
     counts = {"n_alluvial": F.col("kind") == "A", "n_primary": F.col("l_linestatus") == "F"}
     return spatial_layers.deposit_census(hits, t.spine, "district_id", "deposits", counts=counts).select(
         "district_id", "n_deposits", "n_alluvial", "n_primary", "has_any"
@@ -313,7 +313,7 @@ def crop_mix(t: Tables):
     typed = points(t).join(t.read("part").select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
     area = F.when(F.col("best") >= 2, F.col("best")).otherwise(F.lit(0.0))
     pixels = typed.select("lon", "lat", *[F.when(F.col("p_type") == c, area).otherwise(F.lit(0.0)).alias(c) for c in _TYPES])
-    mix = spatial_layers.crop_mix(pixels, districts(t), "district_id", "lon", "lat", 0.5, _TYPES)
+    mix = spatial_layers.crop_mix(pixels, districts(t), "district_id", "lon", "lat", 1.0, _TYPES)
     return mix.select("district_id", "crop", "area", F.round("share", 8).alias("share"))
 
 
