@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +12,10 @@ from panelweave.operators.joins import lookup
 from panelweave.session import stage
 
 
+SLICE_ROWS = 1_000_000  # distinct values one task may order
+MAX_SLICES = 4096
+
+
 def sum_or_zero(c: str | Column) -> Column:
     """Sum where an all-null group is 0."""
     return F.coalesce(F.sum(c), F.lit(0))
@@ -70,15 +75,15 @@ def exact_quantiles(
     quantiles: Mapping[str, float],
     weight: str | None = None,
     count: str | None = None,
-    cuts: int = 64,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Exact quantiles per group without putting a group into one task.
 
     Equal values collapse to one row, written once; the input is read no
-    more after that. A mergeable sketch proposes up to ``cuts`` splitting
-    values per group, totals per split locate the slice that holds each
-    target rank, and only ranks inside a slice are ordered. The sketch only
-    shapes the work; any splits give the same answer.
+    more after that. Beyond ``slice_rows`` such rows a mergeable sketch
+    proposes splitting values per group, totals per slice give the ranks each
+    slice starts at, and only the rows of a slice are ordered together. The
+    sketch only shapes the work; any splits give the same answer.
 
     The result interpolates linearly between order statistics; ``count``
     names a column that says how often a row stands. With ``weight`` it is
@@ -90,11 +95,16 @@ def exact_quantiles(
     known = df.filter(F.col(value).isNotNull()).withColumnsRenamed({value: "_v"})
     known = known if keys else known.withColumn("_all", F.lit(0))
     tallied = stage(known.groupBy(*key, "_v").agg(mass.alias("_n")))
-    steps = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
-    splits = stage(tallied.groupBy(*key).agg(F.array_distinct(F.percentile_approx("_v", steps, F.lit(cuts * 20))).alias("_splits")))
-    # beyond a broadcast, spread by the value: the rows of a hot key land in many buckets
-    placed = lookup(tallied, splits, key, ["_v"], "inner", weight=F.size("_splits"))
-    placed = placed.withColumn("_slice", F.expr("size(filter(_splits, s -> s < _v))")).drop("_splits")
+    size = tallied.count()
+    if size <= slice_rows:
+        placed = tallied.withColumn("_slice", F.lit(0))
+    else:
+        cuts = min(MAX_SLICES, math.ceil(size / slice_rows) + 1)
+        steps = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
+        splits = stage(tallied.groupBy(*key).agg(F.array_distinct(F.percentile_approx("_v", steps, F.lit(cuts * 20))).alias("_splits")))
+        # beyond a broadcast, spread by the value: the rows of a hot key land in many buckets
+        placed = lookup(tallied, splits, key, ["_v"], "inner", weight=F.size("_splits"))
+        placed = placed.withColumn("_slice", F.expr("size(filter(_splits, s -> s < _v))")).drop("_splits")
     per_slice = placed.groupBy(*key, "_slice").agg(F.sum("_n").alias("_slice_n"))
     before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     base = (

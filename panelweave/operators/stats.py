@@ -67,7 +67,9 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
     """n, mean, sd, min, p5, p50, p95, max of one column."""
     base = df.agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("sd"), F.min(column).alias("min"), F.max(column).alias("max"))
     marks = exact_quantiles(df, [], column, {"p5": 0.05, "p50": 0.5, "p95": 0.95})
-    return base.withColumn("_k", F.lit(0)).join(marks.withColumn("_k", F.lit(0)), "_k").drop("_k")
+    # two one-row tables side by side: each column is known in one of them
+    both = base.unionByName(marks, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def profile(df: DataFrame, columns: Sequence[str], numeric_over: int = 12) -> DataFrame:

@@ -97,14 +97,17 @@ def food_phase(parts: DataFrame, ident: str, phase: str, area: str, crisis: int,
     return base.join(modal, [ident, year]).withColumns(flagged)
 
 
-def two_source_presence(spine: DataFrame, first: DataFrame, second: DataFrame, ident: str, use_first: Column, what: str) -> DataFrame:
-    """Counts from the source that fits the region, presence from either."""
-    u = first.groupBy(ident).agg(F.count(F.lit(1)).alias("_u"))
-    m = second.groupBy(ident).agg(F.count(F.lit(1)).alias("_m"))
+def two_source_presence(spine: DataFrame, hits: DataFrame, source: str, first: str, second: str, ident: str, use_first: Column, what: str) -> DataFrame:
+    """Counts from the source that fits the region, presence from either.
+
+    ``hits`` holds the located sites of both sources, so one spatial join and
+    one aggregation serve both.
+    """
+    of = F.col(source)
+    sums = hits.groupBy(ident).agg(F.count_if(of == first).alias("_u"), F.count_if(of == second).alias("_m"))
     n_u, n_m = F.coalesce("_u", F.lit(0)), F.coalesce("_m", F.lit(0))
     return (
-        spine.join(u, ident, "left")
-        .join(m, ident, "left")
+        spine.join(sums, ident, "left")
         .withColumns({f"n_{what}": F.when(use_first, n_u).otherwise(n_m), f"has_{what}": numeric.flag((n_u > 0) | (n_m > 0))})
         .drop("_u", "_m")
     )

@@ -349,10 +349,10 @@ def near_duplicate_sites(t: Tables):
     from ({SPINE_SQL}) s left join u on s.district_id = u.district_id left join m on s.district_id = m.district_id""",
 )
 def two_source_presence(t: Tables):
-    big = placed(t, "inner").filter(F.col("best") >= 50)
-    return spatial_layers.two_source_presence(
-        t.spine, big.filter(F.col("kind") == "A"), big.filter(F.col("kind") == "R"), "district_id", F.col("region") == "AFRICA", "gold"
-    ).select("district_id", "n_gold", "has_gold")
+    big = points(t).filter((F.col("best") >= 50) & F.col("kind").isin("A", "R"))
+    hits = spatial.points_to_polygons(big, districts(t), "district_id", "lon", "lat", 1.0, "inner")
+    found = spatial_layers.two_source_presence(t.spine, hits, "kind", "A", "R", "district_id", F.col("region") == "AFRICA", "gold")
+    return found.select("district_id", "n_gold", "has_gold")
 
 
 @query(
