@@ -14,15 +14,17 @@ HOT_SHARE = 0.005
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, weight: Column | None = None) -> tuple[DataFrame, bool]:
     """Mark ``df`` for broadcast only if a count shows it is small.
 
-    ``weight`` counts more than one unit per row (array lengths, say).
-    Returns the kept frame and whether it may be broadcast.
+    Only ``max_rows + 1`` rows are ever kept for the count; when fewer came,
+    they are the whole table. ``weight`` counts more than one unit per row
+    (array lengths, say).
     """
-    kept = df.persist()
-    size = F.sum(weight if weight is not None else F.lit(1))
-    units = kept.agg(size.alias("units")).first()["units"] or 0
-    if units <= max_rows:
-        return F.broadcast(kept), True
-    return kept, False
+    probe = df.limit(max_rows + 1).persist()
+    units = F.sum(weight if weight is not None else F.lit(1))
+    seen = probe.agg(F.count(F.lit(1)).alias("rows"), units.alias("units")).first()
+    if seen["rows"] <= max_rows and (seen["units"] or 0) <= max_rows:
+        return F.broadcast(probe), True
+    probe.unpersist()
+    return df, False
 
 
 def one_row_per(df: DataFrame, keys: Sequence[str]) -> DataFrame:

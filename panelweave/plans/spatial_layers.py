@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.functions import geo, numeric
-from panelweave.operators import aggregate, reshape, spatial
+from panelweave.operators import aggregate, checks, reshape, spatial
 
 
 def event_layers(
@@ -127,6 +127,11 @@ def market_access(cells: DataFrame, weights: DataFrame, spine: DataFrame, ident:
     )
 
 
+def coverage_guard(stats: DataFrame, name: str) -> DataFrame:
+    """A zonal mean must be unknown exactly where nothing was covered."""
+    return checks.rows_hold(stats, "zonal", {name: F.col("mean").isNull() == (F.col("count") == 0)})
+
+
 def alignment(cells: DataFrame, value: str, size: float, box: tuple[float, float, float, float], band: tuple[float, float]) -> DataFrame:
     """Mean over a known area and whether it lies in its expected band."""
     x, y = (F.col("cx") + 0.5) * size, (F.col("cy") + 0.5) * size
