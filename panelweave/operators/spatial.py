@@ -152,8 +152,11 @@ def points_to_polygons(
     that compile with the join. The points are never regrouped: a match that
     a lower-named polygon also holds is dropped on the row itself.
     """
+    if ident in points.columns:
+        raise ValueError(f"points already have a column {ident}")
     index = with_rivals(trapezoids(geom, ident, size).persist(), ident).select(
-        F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), ident, "low", "high", "rivals",
+        F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), ident,
+        *[F.col(c).alias(f"_{c}") for c in ("low", "high", "rivals")],
         *[F.col(f"{s}.{c}").alias(f"_{s}{c}") for s in "lr" for c in "xyk"],
     )
     located = points.withColumns({"_cx": cell(F.col(x), size), "_cy": cell(F.col(y), size)})
@@ -162,13 +165,13 @@ def points_to_polygons(
     def edge(s: str) -> Column:
         return F.col(f"_{s}x") + F.col(f"_{s}k") * (py - F.col(f"_{s}y"))
 
-    within = (py >= F.col("low")) & (py < F.col("high")) & (px >= edge("l")) & (px < edge("r"))
-    load = F.lit(1) + F.coalesce(F.size("rivals"), F.lit(0))
+    within = (py >= F.col("_low")) & (py < F.col("_high")) & (px >= edge("l")) & (px < edge("r"))
+    load = F.lit(1) + F.coalesce(F.size("_rivals"), F.lit(0))
     joined = lookup(located, index, ["_cx", "_cy"], [x, y], how, weight=load, where=within)
     taken = F.expr(
-        f"exists(rivals, t -> {y} >= t.low and {y} < t.high and {x} >= t.l.x + t.l.k * ({y} - t.l.y) and {x} < t.r.x + t.r.k * ({y} - t.r.y))"
+        f"exists(_rivals, t -> {y} >= t.low and {y} < t.high and {x} >= t.l.x + t.l.k * ({y} - t.l.y) and {x} < t.r.x + t.r.k * ({y} - t.r.y))"
     )
-    kept = joined.filter(F.col("rivals").isNull() | ~taken)
+    kept = joined.filter(F.col("_rivals").isNull() | ~taken)
     return kept.select(*points.columns, ident)
 
 

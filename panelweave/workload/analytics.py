@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelweave.operators import aggregate, frame, joins, series, stats
-from panelweave.workload.base import FACTS_SQL, FIRST, FRAME_SQL, LAST, NATIONAL_SQL, SEVERE_SQL, SPINE_SQL, Tables, YEARLY_SQL, query
+from panelweave.operators import aggregate, frame, stats
+from panelweave.workload.base import FACTS_SQL, FIRST, FRAME_SQL, LAST, NATIONAL_SQL, SEVERE_SQL, SPINE_SQL, Tables, query
 
 # A small wide panel: zero-filled counts, a masked count, a national series and a mean.
 PANEL_SQL = f"""select f.district_id, f.iso3, f.region, f.year, coalesce(e.n_events_total, 0) as n_events_total,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.functions import numeric
-from panelweave.operators import aggregate, frame, joins, reshape, select, spatial
+from panelweave.operators import frame, joins, reshape, select, spatial
 from panelweave.plans import spatial_layers
 from panelweave.workload.base import FIRST, FRAME_SQL, LAST, SPINE_SQL, Tables, query
 from panelweave.workload.panels import KINDS
