@@ -95,6 +95,12 @@ def exact_quantiles(
     known = df.filter(F.col(value).isNotNull()).withColumnsRenamed({value: "_v"})
     known = known if keys else known.withColumn("_all", F.lit(0))
     tallied = stage(known.groupBy(*key, "_v").agg(mass.alias("_n")))
+    result = tally_quantiles(tallied, key, quantiles, bool(weight), slice_rows)
+    return result if keys else result.drop("_all")
+
+
+def tally_quantiles(tallied: DataFrame, key: Sequence[str], quantiles: Mapping[str, float], weighted: bool = False, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Quantiles from a written table of (key, _v, _n), one row per distinct value."""
     size = tallied.count()
     if size <= slice_rows:
         placed = tallied.withColumn("_slice", F.lit(0))
@@ -121,7 +127,7 @@ def exact_quantiles(
     )
     out = []
     for name, p in quantiles.items():
-        if weight:
+        if weighted:
             out.append(F.min(F.when(F.col("_hi") >= F.col("_total") * F.lit(p), F.col("_v"))).alias(name))
             continue
         rank = (F.col("_total") - 1) * F.lit(p)
@@ -130,8 +136,7 @@ def exact_quantiles(
         at_high = F.max(F.when((F.col("_lo") <= high) & (high < F.col("_hi")), F.col("_v")))
         fraction = F.max(rank - low)
         out.append((at_low + (at_high - at_low) * fraction).alias(name))
-    result = ranked.groupBy(*key).agg(*out)
-    return result if keys else result.drop("_all")
+    return ranked.groupBy(*key).agg(*out)
 
 
 def histogram(df: DataFrame, value: str, bins: int, keys: Sequence[str] = ()) -> DataFrame:

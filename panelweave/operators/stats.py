@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.operators.aggregate import exact_quantiles
+from panelweave.operators.aggregate import exact_quantiles, tally_quantiles
 from panelweave.session import stage
 
 
@@ -39,10 +39,10 @@ def layer_of(column: Column, rules: Mapping[str, Sequence[str]], rest: str = "Ot
     return out.otherwise(rest)
 
 
-def tally(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value, n): every distinct known value counted, values as text."""
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    long = texts.unpivot([], list(columns), "column", "value").filter(F.col("value").isNotNull())
+def tally(df: DataFrame, columns: Sequence[str], kind: str = "string") -> DataFrame:
+    """(column, value, n): every distinct known value counted, values cast to ``kind``."""
+    alike = df.select(*[F.col(c).cast(kind).alias(c) for c in columns])
+    long = alike.unpivot([], list(columns), "column", "value").filter(F.col("value").isNotNull())
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -72,23 +72,38 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
     return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
+def kinds(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Columns by the type their values are tallied in; text for all but plain numbers."""
+    of = {c: df.schema[c].dataType.simpleString() for c in columns}
+    return {
+        "bigint": [c for c, k in of.items() if k in ("tinyint", "smallint", "int", "bigint")],
+        "double": [c for c, k in of.items() if k in ("float", "double")],
+        "string": [c for c, k in of.items() if k not in ("tinyint", "smallint", "int", "bigint", "float", "double")],
+    }
+
+
 def profile(df: DataFrame, columns: Sequence[str], numeric_over: int = 12) -> DataFrame:
     """Kind, coverage, distinct count and range per column.
 
     Numeric means a number type with more than ``numeric_over`` values. The
-    table is read twice: once for the moments, once for a tally of values
-    that answers distinct counts and medians of all columns.
+    moments come from one pass; distinct counts and medians from one tally
+    of values per type, so numbers are never turned into text.
     """
-    numbers = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
-    numeric = [c for c in columns if df.schema[c].dataType.simpleString().startswith(numbers)]
-    counted = stage(tally(df, columns))
-    seen = distinct_counts(counted).drop("known")
+    typed = {kind: names for kind, names in kinds(df, columns).items() if names}
+    numeric = [c for kind in ("bigint", "double") for c in typed.get(kind, [])]
+    seen, medians = None, None
+    for kind, names in typed.items():
+        counted = stage(tally(df, names, kind).withColumnsRenamed({"value": "_v", "n": "_n"}))
+        part = counted.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+        seen = part if seen is None else seen.unionByName(part)
+        if kind != "string":
+            half = tally_quantiles(counted, ["column"], {"median": 0.5}).withColumn("median", F.col("median").cast("double"))
+            medians = half if medians is None else medians.unionByName(half)
     table = summary(df, columns, numeric).join(seen, "column", "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
-    values = counted.filter(F.col("column").isin(numeric)).withColumn("value", F.col("value").cast("double"))
-    medians = exact_quantiles(values, ["column"], "value", {"median": 0.5}, count="n")
+    table = table.join(medians, "column", "left") if numeric else table.withColumn("median", F.lit(None).cast("double"))
     is_number = F.col("column").isin(numeric) & (F.col("n_distinct") > numeric_over)
     shown = {c: F.when(is_number, F.col(c)) for c in ("min", "max", "mean", "sd", "median")}
-    return table.join(medians, "column", "left").withColumns({"kind": F.when(is_number, "numeric").otherwise("categorical"), **shown})
+    return table.withColumns({"kind": F.when(is_number, "numeric").otherwise("categorical"), **shown})
 
 
 def dictionary(profiled: DataFrame, definitions: DataFrame, rules: Mapping[str, Sequence[str]], search: str = "") -> DataFrame:

@@ -8,6 +8,7 @@ from panelweave.functions import dates, numeric, text
 from panelweave.operators import aggregate, frame, spatial, stats
 from panelweave.plans import panel as pn
 from panelweave.plans import spatial_layers
+from panelweave.session import stage
 from panelweave.workload import spatial as sp
 from panelweave.workload.analytics import FAMILIES, MEASURES, PANEL_SQL, panel
 from panelweave.workload.base import FIRST, FRAME_SQL, LAST, SEVERE_SQL, Tables, query
@@ -125,7 +126,7 @@ def years_from_text(t: Tables):
     ) + ") where contains(definition, 'wb') or contains(definition, 'events')",
 )
 def column_dictionary(t: Tables):
-    data = panel(t)
+    data = stage(panel(t))  # written once, then read by each part of the profile
     words = t.spark.createDataFrame([(c, f"known as {c}") for c in MEASURES], "column string, definition string")
     profiled = stats.profile(data, MEASURES)
     found = stats.dictionary(profiled, words, FAMILIES, "WB").unionByName(stats.dictionary(profiled, words, FAMILIES, "events"))
