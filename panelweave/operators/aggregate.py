@@ -14,6 +14,7 @@ from panelweave.session import stage
 
 SLICE_ROWS = 1_000_000  # distinct values one task may order
 MAX_SLICES = 4096
+ROUNDING = 1e-9  # a weight sum this close to its target has reached it, whatever the order of addition
 
 
 def sum_or_zero(c: str | Column) -> Column:
@@ -128,7 +129,7 @@ def tally_quantiles(tallied: DataFrame, key: Sequence[str], quantiles: Mapping[s
     out = []
     for name, p in quantiles.items():
         if weighted:
-            out.append(F.min(F.when(F.col("_hi") >= F.col("_total") * F.lit(p), F.col("_v"))).alias(name))
+            out.append(F.min(F.when(F.col("_hi") >= F.col("_total") * F.lit(p - ROUNDING), F.col("_v"))).alias(name))
             continue
         rank = (F.col("_total") - 1) * F.lit(p)
         low, high = F.floor(rank), F.ceil(rank)

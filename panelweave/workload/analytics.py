@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelweave.operators import aggregate, frame, stats
-from panelweave.workload.base import FACTS_SQL, FIRST, FRAME_SQL, LAST, NATIONAL_SQL, SEVERE_SQL, SPINE_SQL, Tables, query
+from panelweave.workload.base import FACTS_SQL, FIRST, FRAME_SQL, LAST, NATIONAL_SQL, SEVERE_SQL, SPINE_SQL, Tables, mean_cents, mean_cents_sql, query
 
 # A small wide panel: zero-filled counts, a masked count, a national series and a mean.
 PANEL_SQL = f"""select f.district_id, f.iso3, f.region, f.year, coalesce(e.n_events_total, 0) as n_events_total,
@@ -13,7 +13,7 @@ PANEL_SQL = f"""select f.district_id, f.iso3, f.region, f.year, coalesce(e.n_eve
     case when u.unrest is not null then u.unrest when f.year between s.a and s.b then 0.0 end as acled_events_total,
     n.gdp as wb_gdp, n.n_orders::double as wb_orders, e.yield as yield_mean, c.area as cropland_ha
   from ({FRAME_SQL}) f
-  left join (select district_id, year, count(*) as n_events_total, sum(best) as deaths_best, round(avg(case when l_discount < 0.05 then l_extendedprice end), 4) as yield from ({FACTS_SQL}) where l_tax <= 0.06 group by 1, 2) e on f.district_id = e.district_id and f.year = e.year
+  left join (select district_id, year, count(*) as n_events_total, sum(best) as deaths_best, {mean_cents_sql('case when l_discount < 0.05 then l_extendedprice end')} as yield from ({FACTS_SQL}) where l_tax <= 0.06 group by 1, 2) e on f.district_id = e.district_id and f.year = e.year
   left join (select district_id, year, count(*)::double as unrest from ({SEVERE_SQL}) group by 1, 2) u on f.district_id = u.district_id and f.year = u.year
   left join (select iso3, min(year) as a, max(year) as b from ({SEVERE_SQL}) join ({SPINE_SQL}) using (district_id) group by 1) s on f.iso3 = s.iso3
   left join ({NATIONAL_SQL}) n on f.iso3 = n.iso3 and f.year = n.year
@@ -26,7 +26,7 @@ def panel(t: Tables):
     events = t.facts.filter(F.col("l_tax") <= 0.06).groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_events_total"),
         F.sum("best").alias("deaths_best"),
-        F.round(F.avg(F.when(F.col("l_discount") < 0.05, F.col("l_extendedprice"))), 4).alias("yield_mean"),
+        mean_cents(F.when(F.col("l_discount") < 0.05, F.col("l_extendedprice"))).alias("yield_mean"),
     )
     unrest = t.severe.groupBy(*key).agg(F.count(F.lit(1)).alias("acled_events_total"))
     span = frame.observed_span(t.severe.join(t.spine, "district_id"), "iso3")
@@ -52,7 +52,7 @@ def wide_panel(t: Tables):
     "country_rollup_typed",
     "AGG-22 AGG-24 ANA-4 ANA-5",
     f"""select iso3, year, cast(sum(n_events_total) as bigint) as n_events_total, round(coalesce(sum(acled_events_total), 0), 6) as acled_events_total,
-      round(avg(wb_gdp), 6) as wb_gdp, round(avg(yield_mean), 8) as yield_mean, coalesce(sum(cropland_ha), 0.0) as cropland_ha
+      round(avg(wb_gdp), 6) as wb_gdp, round(avg(yield_mean), 6) as yield_mean, coalesce(sum(cropland_ha), 0.0) as cropland_ha
     from ({PANEL_SQL}) group by 1, 2""",
 )
 def country_rollup_typed(t: Tables):
@@ -60,7 +60,7 @@ def country_rollup_typed(t: Tables):
     rules = {c: aggregate.rollup_rule(c, ["wb_gdp"]) for c in columns}
     out = aggregate.rollup(panel(t), ["iso3", "year"], rules)
     return out.withColumns({
-        "acled_events_total": F.round("acled_events_total", 6), "wb_gdp": F.round("wb_gdp", 6), "yield_mean": F.round("yield_mean", 8),
+        "acled_events_total": F.round("acled_events_total", 6), "wb_gdp": F.round("wb_gdp", 6), "yield_mean": F.round("yield_mean", 6),
     })
 
 

@@ -11,12 +11,22 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FIRST, LAST = 1993, 2003  # panel years; the data covers 1995-2001, so both edges are uncovered
 
 
+def mean_cents(c: str | Column) -> Column:
+    """Mean of a money column from exact integer sums: the same bits in any order of rows."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.try_divide(F.sum(F.round(x * 100).cast("bigint")).cast("double"), F.count(x) * F.lit(100.0))
+
+
+def mean_cents_sql(x: str) -> str:
+    return f"cast(sum(cast(round(({x}) * 100) as bigint)) as double) / (100.0 * nullif(count({x}), 0))"
+
+
 @dataclass(frozen=True)
 class Query:
     name: str
@@ -98,14 +108,14 @@ class Tables:
             .join(self.read("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(self.read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .groupBy(F.col("n_name").alias("iso3"), F.year("o_orderdate").alias("year"))
-            .agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.avg("o_totalprice"), 4).alias("gdp"))
+            .agg(F.count(F.lit(1)).alias("n_orders"), mean_cents("o_totalprice").alias("gdp"))
         )
 
     @cached_property
     def yearly(self) -> DataFrame:
         """District-year values: event count and mean price."""
         return self.facts.groupBy("district_id", "year").agg(
-            F.count(F.lit(1)).alias("n"), F.round(F.avg("l_extendedprice"), 4).alias("value")
+            F.count(F.lit(1)).alias("n"), mean_cents("l_extendedprice").alias("value")
         )
 
     @cached_property
@@ -128,11 +138,11 @@ FACTS_SQL = """select l_suppkey as district_id, cast(year(l_shipdate) as integer
 
 SEVERE_SQL = f"select * from ({FACTS_SQL}) where best >= 49 and l_discount >= 0.09"
 
-NATIONAL_SQL = """select n_name as iso3, cast(year(o_orderdate) as integer) as year, count(*) as n_orders,
-  round(avg(o_totalprice), 4) as gdp
+NATIONAL_SQL = f"""select n_name as iso3, cast(year(o_orderdate) as integer) as year, count(*) as n_orders,
+  {mean_cents_sql("o_totalprice")} as gdp
   from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by 1, 2"""
 
-YEARLY_SQL = f"""select district_id, year, count(*) as n, round(avg(l_extendedprice), 4) as value
+YEARLY_SQL = f"""select district_id, year, count(*) as n, {mean_cents_sql("l_extendedprice")} as value
   from ({FACTS_SQL}) group by 1, 2"""
 
 CROPS_SQL = """select l_suppkey as district_id, p_type as crop, sum(l_quantity) as area

@@ -11,13 +11,13 @@ from panelweave.plans import spatial_layers
 from panelweave.session import stage
 from panelweave.workload import spatial as sp
 from panelweave.workload.analytics import FAMILIES, MEASURES, PANEL_SQL, panel
-from panelweave.workload.base import FIRST, FRAME_SQL, LAST, SEVERE_SQL, Tables, query
+from panelweave.workload.base import FIRST, FRAME_SQL, LAST, SEVERE_SQL, Tables, mean_cents, mean_cents_sql, query
 
 
 def layers(t: Tables) -> list[pn.Layer]:
     key = ["district_id", "year"]
     events = t.facts.filter(F.col("l_tax") <= 0.06).groupBy(*key).agg(F.count(F.lit(1)).alias("n_events_total"), F.sum("best").alias("deaths_best"))
-    prices = t.facts.filter(F.col("l_tax") <= 0.06).groupBy(*key).agg(F.round(F.avg(F.when(F.col("l_discount") < 0.05, F.col("l_extendedprice"))), 4).alias("yield_mean"))
+    prices = t.facts.filter(F.col("l_tax") <= 0.06).groupBy(*key).agg(mean_cents(F.when(F.col("l_discount") < 0.05, F.col("l_extendedprice"))).alias("yield_mean"))
     unrest = t.severe.groupBy(*key).agg(F.count(F.lit(1)).alias("acled_events_total"))
     span = frame.observed_span(t.severe.join(t.spine, "district_id"), "iso3")
     area = t.crops.filter(F.col("crop").isin("ECONOMY", "PROMO")).groupBy("district_id").agg(F.sum("area").alias("cropland_ha"))
@@ -49,7 +49,7 @@ def assembled_panel(t: Tables):
     from (select district_id, iso3, year from ({FRAME_SQL})) f join kept k on f.iso3 = k.iso3 and k.area in ('AFRICA', 'ASIA')
     left join (select n_name as iso3, cast(year(o_orderdate) as integer) as year, count(*) filter (where o_orderstatus = 'F') as n_status_f
       from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by 1, 2) o on f.iso3 = o.iso3 and f.year = o.year
-    left join (select n_name as iso3, round(avg(c_acctbal), 4) as mean_balance from customer join nation on c_nationkey = n_nationkey group by 1) c on f.iso3 = c.iso3
+    left join (select n_name as iso3, {mean_cents_sql('c_acctbal')} as mean_balance from customer join nation on c_nationkey = n_nationkey group by 1) c on f.iso3 = c.iso3
     left join first a on f.district_id = a.district_id""",
 )
 def study_panel(t: Tables):
@@ -61,7 +61,7 @@ def study_panel(t: Tables):
     orders = t.read("orders").join(t.read("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t.read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     status = orders.groupBy(F.col("n_name").alias("iso3"), F.year("o_orderdate").alias("year")).agg(F.count_if(F.col("o_orderstatus") == "F").cast("double").alias("n_status_f"))
     people = t.read("customer").join(t.read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    balance = people.groupBy(F.col("n_name").alias("iso3")).agg(F.round(F.avg("c_acctbal"), 4).alias("mean_balance"))
+    balance = people.groupBy(F.col("n_name").alias("iso3")).agg(mean_cents("c_acctbal").alias("mean_balance"))
     first = pn.arrival(t.severe, F.col("kind") == "A", LAST, "first_year")
     rich = pn.enrich(study, [pn.Layer("status", status, "country_year", checked=True), pn.Layer("people", balance, "country", checked=True), pn.Layer("arrival", first, "district", checked=True)])
     timed = pn.arrival_clock(rich, "first_year", "years_since", "arrived")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelweave.operators import aggregate, frame, joins, reshape
 from panelweave.workload.base import (
-    FACTS_SQL, FIRST, FRAME_SQL, LAST, NATIONAL_SQL, SEVERE_SQL, SPINE_SQL, Tables, YEARLY_SQL, query,
+    FACTS_SQL, FIRST, FRAME_SQL, LAST, NATIONAL_SQL, SEVERE_SQL, SPINE_SQL, Tables, YEARLY_SQL, mean_cents, mean_cents_sql, query,
 )
 
 KINDS = {"A": "sb", "N": "ns", "R": "os"}
@@ -175,13 +175,13 @@ def carry_forward_asof(t: Tables):
 @query(
     "density_reindex",
     "JN-25",
-    f"""with c as (select district_id, year, kind, avg(l_extendedprice) as price from ({SEVERE_SQL}) group by 1, 2, 3)
-    select f.district_id, f.year, k.kind, round(c.price, 4) as price
+    f"""with c as (select district_id, year, kind, {mean_cents_sql('l_extendedprice')} as price from ({SEVERE_SQL}) group by 1, 2, 3)
+    select f.district_id, f.year, k.kind, c.price
     from ({FRAME_SQL}) f cross join (select unnest(['A', 'N', 'R']) as kind) k
     left join c on f.district_id = c.district_id and f.year = c.year and k.kind = c.kind""",
 )
 def density_reindex(t: Tables):
-    long = t.severe.groupBy("district_id", "year", "kind").agg(F.round(F.avg("l_extendedprice"), 4).alias("price"))
+    long = t.severe.groupBy("district_id", "year", "kind").agg(mean_cents("l_extendedprice").alias("price"))
     return frame.densify(long, t.spine, "district_id", "kind", ["A", "N", "R"], FIRST, LAST, ["price"])
 
 
@@ -210,11 +210,11 @@ def window_cap(t: Tables):
     f"""with c as (select district_id, crop, area, area / sum(area) over (partition by district_id) as share
       from (select l_suppkey as district_id, p_type as crop, sum(l_quantity) as area
             from lineitem join part on l_partkey = p_partkey group by 1, 2))
-    select f.district_id, f.year, round(coalesce(c.share, 0.0), 6) as promo_share
+    select f.district_id, f.year, coalesce(c.share, 0.0) as promo_share
     from ({FRAME_SQL}) f left join c on f.district_id = c.district_id and c.crop = 'PROMO'""",
 )
 def share_attached_zero(t: Tables):
     parts = aggregate.shares(t.crops, ["district_id"], "crop", "area", "share")
-    promo = parts.filter(F.col("crop") == "PROMO").select("district_id", F.round("share", 6).alias("promo_share"))
+    promo = parts.filter(F.col("crop") == "PROMO").select("district_id", F.col("share").alias("promo_share"))
     named = frame.attach(t.spine.select("district_id"), promo, ["district_id"], ["promo_share"], "zero", checked=True)
     return frame.dense_frame(named, FIRST, LAST)

@@ -75,10 +75,10 @@ def standardised_anomaly(t: Tables):
 @query(
     "category_shares",
     "AGG-7 WIN-7",
-    f"select district_id, crop, area, round(area / sum(area) over (partition by district_id), 8) as share from ({CROPS_SQL})",
+    f"select district_id, crop, area, area / sum(area) over (partition by district_id) as share from ({CROPS_SQL})",
 )
 def category_shares(t: Tables):
-    return aggregate.shares(t.crops, ["district_id"], "crop", "area", "share").withColumn("share", F.round("share", 8))
+    return aggregate.shares(t.crops, ["district_id"], "crop", "area", "share")
 
 
 @query(
@@ -190,7 +190,7 @@ def status_in_period(t: Tables):
     "AGG-13 AGG-12",
     """with g as (select l_suppkey as district_id, cast(year(l_shipdate) as integer) as year, p_type as crop, sum(l_quantity) as a
       from lineitem join part on l_partkey = p_partkey group by 1, 2, 3)
-    select district_id, year, count(distinct crop) as n_groups, round(1 - sum(a * a) / (sum(a) * sum(a)), 6) as frac from g group by 1, 2""",
+    select district_id, year, count(distinct crop) as n_groups, 1 - sum(a * a) / (sum(a) * sum(a)) as frac from g group by 1, 2""",
 )
 def fractionalisation(t: Tables):
     lines = (
@@ -200,7 +200,7 @@ def fractionalisation(t: Tables):
     )
     frac = aggregate.fractionalisation(lines, ["district_id", "year"], "crop", "a", "frac")
     groups = lines.groupBy("district_id", "year").agg(F.count_distinct("crop").alias("n_groups"))
-    return groups.join(frac, ["district_id", "year"]).withColumn("frac", F.round("frac", 6))
+    return groups.join(frac, ["district_id", "year"])
 
 
 @query(
@@ -254,14 +254,14 @@ def catch_rate(t: Tables):
 @query(
     "monthly_to_annual",
     "AGG-33",
-    f"""select district_id, year, round(avg(m), 4) as annual from (
-      select district_id, year, cast(month(l_shipdate) as integer) as month, avg(case when l_discount < 0.08 then l_extendedprice end) as m
+    f"""select district_id, year, avg(m) as annual from (
+      select district_id, year, cast(month(l_shipdate) as integer) as month, sum(case when l_discount < 0.08 then best end) as m
       from ({FACTS_SQL}) group by 1, 2, 3) group by 1, 2""",
 )
 def monthly_to_annual(t: Tables):
-    value = F.when(F.col("l_discount") < 0.08, F.col("l_extendedprice"))
-    monthly = t.facts.groupBy("district_id", "year", F.month("l_shipdate").alias("month")).agg(F.avg(value).alias("m"))
-    return monthly.groupBy("district_id", "year").agg(F.round(F.avg("m"), 4).alias("annual"))
+    value = F.when(F.col("l_discount") < 0.08, F.col("best"))
+    monthly = t.facts.groupBy("district_id", "year", F.month("l_shipdate").alias("month")).agg(F.sum(value).alias("m"))
+    return monthly.groupBy("district_id", "year").agg(F.avg("m").alias("annual"))
 
 
 @query(
@@ -281,9 +281,9 @@ def decade_totals(t: Tables):
     q as (select p.*, e, e2, sin(radians(lat)) as s from p, c)
     select l_orderkey, l_linenumber, l_partkey, l_quantity,
       round(((lon0 + 180.0) % 360.0) - 180.0, 6) as lon,
-      round(radians(((lon0 + 180.0) % 360.0) - 180.0) * 6378137.0 * cos(radians(30)) / sqrt(1 - e2 * pow(sin(radians(30)), 2)), 3) as x,
+      round(radians(((lon0 + 180.0) % 360.0) - 180.0) * 6378137.0 * cos(radians(30)) / sqrt(1 - e2 * pow(sin(radians(30)), 2)), 1) as x,
       round(6378137.0 * (1 - e2) * (s / (1 - e2 * s * s) - ln((1 - e * s) / (1 + e * s)) / (2 * e))
-        / (2 * cos(radians(30)) / sqrt(1 - e2 * pow(sin(radians(30)), 2))), 3) + 0.0 as y
+        / (2 * cos(radians(30)) / sqrt(1 - e2 * pow(sin(radians(30)), 2))), 1) + 0.0 as y
     from q""",
 )
 def equal_area_projection(t: Tables):
@@ -292,8 +292,8 @@ def equal_area_projection(t: Tables):
     return t.read("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
         F.round(lon, 6).alias("lon"),
-        F.round(geo.equal_area_x(lon), 3).alias("x"),
-        (F.round(geo.equal_area_y(lat), 3) + 0.0).alias("y"),
+        F.round(geo.equal_area_x(lon), 1).alias("x"),
+        (F.round(geo.equal_area_y(lat), 1) + 0.0).alias("y"),
     )
 
 

@@ -133,7 +133,7 @@ WEIGHTS_SQL = f"""select district_id, cast(cx as bigint) as cx, cast(cy as bigin
     from (select *, unnest(generate_series(cast(floor(x0 / {GRID}) as bigint), cast(floor(x1 / {GRID}) as bigint))) as cx from ({_BOX_SQL})))
   where least(x1, (cx + 1) * {GRID}::double) - greatest(x0, cx * {GRID}::double) > 1e-9 and least(y1, (cy + 1) * {GRID}::double) - greatest(y0, cy * {GRID}::double) > 1e-9"""
 CELLS_SQL = f"""select cx, cy, year, case when m <= 34 then m end as value from (
-  select cast(floor(lon / {GRID}) as bigint) as cx, cast(floor(lat / {GRID}) as bigint) as cy, year, round(avg(best), 4) as m
+  select cast(floor(lon / {GRID}) as bigint) as cx, cast(floor(lat / {GRID}) as bigint) as cy, year, sum(best) / count(best) as m
   from ({POINTS_SQL}) group by 1, 2, 3)"""
 
 
@@ -144,7 +144,7 @@ def weights(t: Tables) -> DataFrame:
 def cells(t: Tables) -> DataFrame:
     """A yearly raster: mean event size per grid cell, with a nodata sentinel above 34."""
     placed_cells = points(t).withColumns({"cx": spatial.cell(F.col("lon"), GRID), "cy": spatial.cell(F.col("lat"), GRID)})
-    mean = placed_cells.groupBy("cx", "cy", "year").agg(F.round(F.avg("best"), 4).alias("m"))
+    mean = placed_cells.groupBy("cx", "cy", "year").agg((F.sum("best") / F.count("best")).alias("m"))
     raw = F.when(F.col("m") <= 34, F.col("m")).otherwise(F.lit(-9999.0))
     return mean.select("cx", "cy", "year", numeric.without_nodata(raw, -9999.0).alias("value"))
 
@@ -174,7 +174,7 @@ def zonal_mean(t: Tables):
     f"""with j as (select district_id, value as v, sum(w) as w from ({CELLS_SQL}) c join ({WEIGHTS_SQL}) w on c.cx = w.cx and c.cy = w.cy
       where value is not null group by 1, 2),
     r as (select *, sum(w) over (partition by district_id order by v) as run, sum(w) over (partition by district_id) as tot from j)
-    select district_id, min(v) filter (where run >= tot * 0.5) as median from r group by 1""",
+    select district_id, min(v) filter (where run >= tot * (0.5 - 1e-9)) as median from r group by 1""",
 )
 def zonal_median(t: Tables):
     return spatial.zonal_quantile(cells(t), weights(t), "district_id", "value", 0.5, "median")
@@ -307,26 +307,26 @@ _TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
     "SP-7 PRJ-5 AGG-7 AGG-37 VAL-28",
     f"""with a as (select district_id, p_type as crop, sum(case when best >= 2 then best else 0.0 end) as area
       from ({PLACED_SQL}) join part on p_partkey = l_partkey where district_id is not null group by 1, 2)
-    select district_id, crop, area, round(area / sum(area) over (partition by district_id), 8) as share from a where area > 0""",
+    select district_id, crop, area, area / sum(area) over (partition by district_id) as share from a where area > 0""",
 )
 def crop_mix(t: Tables):
     typed = points(t).join(t.read("part").select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
     area = F.when(F.col("best") >= 2, F.col("best")).otherwise(F.lit(0.0))
     pixels = typed.select("lon", "lat", *[F.when(F.col("p_type") == c, area).otherwise(F.lit(0.0)).alias(c) for c in _TYPES])
     mix = spatial_layers.crop_mix(pixels, districts(t), "district_id", "lon", "lat", 1.0, _TYPES)
-    return mix.select("district_id", "crop", "area", F.round("share", 8).alias("share"))
+    return mix.select("district_id", "crop", "area", "share")
 
 
 @query(
     "tile_mosaic",
     "SRC-14 SRC-13",
-    f"""with tl as (select cast(floor(lon / {GRID}) as bigint) as cx, cast(floor(lat / {GRID}) as bigint) as cy, kind, round(avg(best), 4) as m
+    f"""with tl as (select cast(floor(lon / {GRID}) as bigint) as cx, cast(floor(lat / {GRID}) as bigint) as cy, kind, sum(best) / count(best) as m
       from ({POINTS_SQL}) group by 1, 2, 3)
     select cx, cy, arg_min(case when m <= 27 then m end, kind) filter (where m <= 27) as value from tl group by 1, 2""",
 )
 def tile_mosaic(t: Tables):
     gridded = points(t).withColumns({"cx": spatial.cell(F.col("lon"), GRID), "cy": spatial.cell(F.col("lat"), GRID)})
-    tiles = gridded.groupBy("cx", "cy", "kind").agg(F.round(F.avg("best"), 4).alias("m"))
+    tiles = gridded.groupBy("cx", "cy", "kind").agg((F.sum("best") / F.count("best")).alias("m"))
     return spatial.mosaic(tiles.withColumn("value", F.when(F.col("m") <= 27, F.col("m"))), "value", "kind")
 
 
