@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from panelweave.functions import geo
 from panelweave.operators.aggregate import exact_quantiles
-from panelweave.operators.joins import lookup
+from panelweave.operators.joins import BROADCAST_ROWS, lookup
 
 SLIVER = 1e-9
 
@@ -144,7 +144,7 @@ def with_rivals(index: DataFrame, ident: str) -> DataFrame:
 
 
 def points_to_polygons(
-    points: DataFrame, geom: DataFrame, ident: str, x: str, y: str, size: float, how: str = "left"
+    points: DataFrame, geom: DataFrame, ident: str, x: str, y: str, size: float, how: str = "left", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Give each point the lowest-named polygon it lies in (half-open edges).
 
@@ -167,7 +167,7 @@ def points_to_polygons(
 
     within = (py >= F.col("_low")) & (py < F.col("_high")) & (px >= edge("l")) & (px < edge("r"))
     load = F.lit(1) + F.coalesce(F.size("_rivals"), F.lit(0))
-    joined = lookup(located, index, ["_cx", "_cy"], [x, y], how, weight=load, where=within)
+    joined = lookup(located, index, ["_cx", "_cy"], [x, y], how, max_rows, load, within)
     taken = F.expr(
         f"exists(_rivals, t -> {y} >= t.low and {y} < t.high and {x} >= t.l.x + t.l.k * ({y} - t.l.y) and {x} < t.r.x + t.r.k * ({y} - t.r.y))"
     )

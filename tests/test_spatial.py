@@ -61,14 +61,14 @@ def test_overlapping_polygons_give_the_lowest_once(frame):
     assert got == [(1, "a"), (2, "b")]
 
 
-@pytest.mark.parametrize("size", [0.3, 0.5, 1.0, 5.0, 100.0])
-def test_points_match_brute_force(spark, frame, size):
+@pytest.mark.parametrize("size,max_rows", [(0.3, 10**6), (0.5, 10**6), (1.0, 10**6), (5.0, 10**6), (100.0, 10**6), (1.0, 1), (100.0, 1)])
+def test_points_match_brute_force(spark, frame, size, max_rows):
     rng = random.Random(4)
     shapes = {f"s{i:02d}": [(False, star(rng, rng.uniform(0, 6), rng.uniform(0, 6)))] for i in range(12)}
     shapes["hole"] = [(False, square(-3, -3, -1, -1)), (True, square(-2.5, -2.5, -1.5, -1.5)), (False, square(-2.2, -2.2, -1.8, -1.8))]
     pts = np.random.default_rng(1).uniform(-4, 8, (4000, 2))
     df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(pts)], "p int, x double, y double")
-    out = spatial.points_to_polygons(df, geometry(frame, shapes), "id", "x", "y", size)
+    out = spatial.points_to_polygons(df, geometry(frame, shapes), "id", "x", "y", size, max_rows=max_rows)
     got = {r["p"]: r["id"] for r in out.collect()}
     assert len(got) == 4000 and out.count() == 4000
     masks = {i: even_odd([r for _, r in rings], pts[:, 0], pts[:, 1]) for i, rings in shapes.items()}
