@@ -75,14 +75,14 @@ def block_masks() -> list[tuple[int, list[int]]]:
 
 def forest(members: np.ndarray) -> list[tuple[int, int]]:
     """Links that tie together exactly those members which links within the set connect."""
-    left, found = np.unique(members), []
+    left, found = np.unique(members).view("u8"), []  # unsigned: of a negative number the bits of its size would be counted
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             here = queue.pop()
             near = np.bitwise_count(here ^ left) <= BITS
             if near.any():
-                found += [(int(here), int(x)) for x in left[near]]
+                found += [(int(a), int(b)) for a, b in zip(np.full(near.sum(), here).view("i8"), left[near].view("i8"))]
                 queue += list(left[near])
                 left = left[~near]
     return found

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from panelweave.llm import host_quality, line_runs, mixing, near_duplicates, packing
+from panelweave.llm import host_quality, line_runs, mixing, near_duplicates, packing, posting_lists, surrogates, token_counts, token_files, url_rules
 from panelweave.llm.shared import table
 
 
@@ -14,17 +14,43 @@ def op2_simhash(spark, folder):
     return near_duplicates.digest(table(spark, folder, "documents"))
 
 
+def op3_url_rules(spark, folder):
+    return url_rules.digest(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
 def op4_packing(spark, folder):
     return packing.packed(table(spark, folder, "documents"))
 
 
+def op5_surrogates(spark, folder):
+    return surrogates.digest(table(spark, folder, "documents"))
+
+
 def op6_line_runs(spark, folder):
     return line_runs.digest(table(spark, folder, "documents"))
 
 
+def op7_token_counts(spark, folder):
+    return token_counts.digest(table(spark, folder, "documents"))
+
+
 def op8_mixing(spark, folder):
     return mixing.digest(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_host_quality, op2_simhash, op4_packing, op6_line_runs, op8_mixing)}
-SQL = {"op1_host_quality": host_quality.SQL, "op4_packing": packing.SQL, "op6_line_runs": line_runs.SQL}
+def op9_token_files(spark, folder):
+    return token_files.digest(table(spark, folder, "documents"))
+
+
+def op10_posting_lists(spark, folder):
+    return posting_lists.nearest(table(spark, folder, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_host_quality, op2_simhash, op3_url_rules, op4_packing, op5_surrogates, op6_line_runs, op7_token_counts,
+        op8_mixing, op9_token_files, op10_posting_lists,
+    )
+}
+SQL = {"op1_host_quality": host_quality.SQL, "op3_url_rules": url_rules.SQL, "op4_packing": packing.SQL, "op6_line_runs": line_runs.SQL}
