@@ -83,7 +83,7 @@ class LineRuns:
         if len(levels[level]) == FANOUT:
             old, levels[level] = levels[level], []
             # read as plain files: a union of bucketed scans passes for dealt rows, and is not
-            merged = self.spark.read.parquet(*[f"{self.folder}/{name.rsplit('_', 1)[1]}" for name in old])
+            merged = self.spark.read.schema(self.spark.table(old[0]).schema).parquet(*[f"{self.folder}/{name.rsplit('_', 1)[1]}" for name in old])
             # a key can echo in many batches, but is fresh in one only
             self._add(kind, self._write(merged, total=kind == "echoes"), level + 1)
             self._drop(old)
@@ -126,7 +126,8 @@ class LineRuns:
 
 def _batch_of(docs: DataFrame, batches: int) -> Column:
     """Which batch a ``doc_id`` falls in: 0 has the largest ids, nulls come last. Cuts are quantiles of the ids alone."""
-    cuts = docs.select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [k / batches for k in range(1, batches)], 0.01)
+    shares = [k / batches for k in range(1, batches)]
+    cuts = docs.select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", shares, 0.01) if shares else []
     later = F.lit(0)
     for cut in cuts:
         later = later + F.when(F.col("doc_id") > F.lit(int(cut)), 0).otherwise(1)

@@ -158,20 +158,21 @@ def drawn(entities: DataFrame, key: str) -> DataFrame:
 
 
 def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
-    """(kind, canonical, surrogate): distinct entities with distinct surrogates, none of which is an entity itself.
+    """(kind, canonical, variant, surrogate): distinct entities with distinct surrogates, none of which is an entity itself.
 
     Of several that drew the same, the least keeps it; the others and those
     that hit a real entity draw again, until none has to.
     """
     current = stage(drawn(entities.withColumn("draw", F.lit(0)), key))
-    real = entities.select("kind", F.col("canonical").alias("surrogate"), F.lit(True).alias("real"))
+    real = entities.select("kind", F.col("canonical").alias("surrogate"), F.lit(True).alias("real")).distinct()
+    who = F.struct("canonical", "variant")
     for _ in range(DRAWS):
-        keeper = current.groupBy("kind", "surrogate").agg(F.min("canonical").alias("keeper"))
+        keeper = current.groupBy("kind", "surrogate").agg(F.min(who).alias("keeper"))
         seen = current.join(keeper, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
-        again = (F.col("canonical") != F.col("keeper")) | F.coalesce(F.col("real"), F.lit(False))
+        again = (who != F.col("keeper")) | F.coalesce(F.col("real"), F.lit(False))
         marked = stage(seen.select("kind", "canonical", "variant", "draw", "surrogate", again.alias("again")))
         if marked.filter("again").isEmpty():
-            return marked.select("kind", "canonical", "surrogate")
+            return marked.select("kind", "canonical", "variant", "surrogate")
         anew = drawn(marked.filter("again").select("kind", "canonical", "variant", (F.col("draw") + 1).alias("draw")), key)
         current = stage(marked.filter("not again").drop("again").unionByName(anew))
     raise RuntimeError(f"surrogates still collide after {DRAWS} draws")
@@ -213,8 +214,8 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     raws = stage(hit.groupBy("h1", "h2").agg(F.first("matches").alias("matches")).select("h1", "h2", F.posexplode("matches").alias("pos", "raw")))
     kind = kind_of(F.col("raw"))
     forms = stage(raws.select("raw").distinct().select("raw", kind.alias("kind")).select("raw", "kind", canonical(F.col("kind"), F.col("raw")).alias("canonical"), variant(F.col("kind"), F.col("raw")).alias("variant")))
-    entities = forms.groupBy("kind", "canonical").agg(F.min("variant").alias("variant"))
-    made = forms.join(surrogates(stage(entities), key), ["kind", "canonical"]).select("raw", laid_out(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("made"))
+    entities = forms.select("kind", "canonical", "variant").distinct()
+    made = forms.join(surrogates(stage(entities), key), ["kind", "canonical", "variant"]).select("raw", laid_out(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("made"))
     # a very common entity is split by the join at run time
     lists = raws.join(stage(made), "raw").groupBy("h1", "h2").agg(F.sort_array(F.collect_list(F.struct("pos", "made"))).alias("fill"))
     gaps = F.split(text, ANY, -1)
