@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 
 def clean(c: Column) -> Column:
@@ -27,8 +24,9 @@ def bare_code(c: Column) -> Column:
 
 
 def strip_footnote(c: Column) -> Column:
-    """Drop a trailing run of asterisks and collapse blanks."""
-    return F.trim(F.regexp_replace(F.regexp_replace(c, r"\s*\*+\s*$", ""), r"\s+", " "))
+    """The words of a label without the asterisks at its end, one blank apart."""
+    words = F.filter(F.split(F.rtrim(c, F.lit("* \t\n\r")), r"\s"), lambda w: w != "")
+    return F.array_join(words, " ")
 
 
 def unwrap(c: Column) -> Column:
@@ -58,20 +56,31 @@ def brace_names(c: Column) -> Column:
     return F.when(c.contains("{"), many).otherwise(F.array(c))
 
 
-def ascii_slug(text: str | None) -> str | None:
-    if text is None:
-        return None
-    plain = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode().lower()
-    return re.sub(r"[^a-z0-9]+", "_", plain).strip("_")
+def _plain(c: str) -> str:
+    """What a character leaves in ASCII once its accents and its compatibility form are taken apart."""
+    return "".join(x for x in unicodedata.normalize("NFKD", c) if x < "\x80")
 
 
-@F.pandas_udf(StringType())
-def slug(names: pd.Series) -> pd.Series:
-    """Column-name form of a label. Spark has no NFKD, so this one runs over Arrow."""
-    return names.map(ascii_slug)
+_LETTERS = [(chr(k), _plain(chr(k))) for k in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F))]
+_ONE = [(c, p) for c, p in _LETTERS if len(p) == 1]
+_MORE = [(c, p) for c, p in _LETTERS if len(p) > 1]
+
+
+def slug(c: Column) -> Column:
+    """Column-name form of a label: its runs of ASCII letters and digits, lower-cased, joined by underscores.
+
+    Accented and compatibility letters of the Latin blocks count as their
+    plain ones; other characters beyond ASCII are skipped, splitting nothing.
+    """
+    spelled = c
+    for one, many in _MORE:
+        spelled = F.replace(spelled, F.lit(one), F.lit(many))
+    accented = F.translate(F.when(c.rlike("[" + "".join(x for x, _ in _MORE) + "]"), spelled).otherwise(c), "".join(x for x, _ in _ONE), "".join(x for _, x in _ONE))
+    plain = F.lower(F.regexp_replace(F.when(c.rlike(r"[^\x00-\x7F]"), accented).otherwise(c), r"[^\x00-\x7F]", ""))
+    return F.array_join(F.regexp_extract_all(plain, F.lit("([a-z0-9]+)"), 1), "_")
 
 
 def with_slug(df: DataFrame, name: str, out: str) -> DataFrame:
     """Slug each distinct name once and join it back."""
-    names = df.select(name).distinct().withColumn(out, slug(name))
+    names = df.select(name).distinct().withColumn(out, slug(F.col(name)))
     return df.join(names, name, "left")

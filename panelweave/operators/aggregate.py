@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import math
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelweave.operators.joins import lookup
 from panelweave.session import stage
 
 
-SLICE_ROWS = 1_000_000  # distinct values one task may order
-MAX_SLICES = 4096
-ROUNDING = 1e-9  # a weight sum this close to its target has reached it, whatever the order of addition
+EXACT = "decimal(38,15)"  # weights are added in this type, so their sum does not depend on the order
 
 
 def sum_or_zero(c: str | Column) -> Column:
@@ -30,8 +27,8 @@ def weighted_mean(value: str, weight: str | Column) -> Column:
 
 
 def share_where(holds: Column, amount: str) -> Column:
-    """Share of the group's amount on rows where ``holds``; 0 when none do."""
-    return F.coalesce(F.sum(F.when(holds, F.col(amount))), F.lit(0.0)) / F.sum(amount)
+    """Share of the group's amount on rows where ``holds``; 0 when none do, null when the group has no amount."""
+    return F.try_divide(F.coalesce(F.sum(F.when(holds, F.col(amount))), F.lit(0.0)), F.sum(amount))
 
 
 def clipped_sum(holds: Column, amount: str | Column) -> Column:
@@ -41,21 +38,21 @@ def clipped_sum(holds: Column, amount: str | Column) -> Column:
 
 
 def shares(df: DataFrame, keys: Sequence[str], category: str, amount: str, share: str) -> DataFrame:
-    """Amount per (keys, category) and its share of the keys' total.
+    """Amount per (keys, category) and its share of the keys' total; null where that is 0.
 
     Rows are summed per category first, so the window that takes the total
     holds one row per category however many facts a key has.
     """
     parts = df.groupBy(*keys, category).agg(F.sum(amount).alias(amount))
     total = F.sum(amount).over(Window.partitionBy(*keys))
-    return parts.withColumn(share, F.col(amount) / total)
+    return parts.withColumn(share, F.try_divide(F.col(amount), total))
 
 
 def fractionalisation(df: DataFrame, keys: Sequence[str], group: str, area: str, name: str) -> DataFrame:
-    """1 - sum of squared group shares, by two partial aggregations."""
+    """1 - sum of squared group shares, by two partial aggregations; null where the total is 0."""
     per_group = df.groupBy(*keys, group).agg(F.sum(area).alias("_a"))
     total = F.sum("_a")
-    return per_group.groupBy(*keys).agg((1 - F.sum(F.col("_a") * F.col("_a")) / (total * total)).alias(name))
+    return per_group.groupBy(*keys).agg((1 - F.try_divide(F.sum(F.col("_a") * F.col("_a")), total * total)).alias(name))
 
 
 def weighted_mode(df: DataFrame, keys: Sequence[str], category: str, area: str, name: str) -> DataFrame:
@@ -76,42 +73,35 @@ def exact_quantiles(
     quantiles: Mapping[str, float],
     weight: str | None = None,
     count: str | None = None,
-    slice_rows: int = SLICE_ROWS,
+    interpolate: bool = False,
 ) -> DataFrame:
     """Exact quantiles per group without putting a group into one task.
 
     Equal values collapse to one row, written once; the input is read no
-    more after that. Beyond ``slice_rows`` such rows a mergeable sketch
-    proposes splitting values per group, totals per slice give the ranks each
-    slice starts at, and only the rows of a slice are ordered together. The
-    sketch only shapes the work; any splits give the same answer.
+    more after that. Those rows are dealt by ranges of (key, value), so a
+    large group lies in many ranges, each ordered by itself; totals per range
+    give the ranks that a range starts at.
 
     The result interpolates linearly between order statistics; ``count``
     names a column that says how often a row stands. With ``weight`` it is
-    instead the lowest value at which the running weight reaches the
-    fraction of the total.
+    instead the lowest value at which the running weight reaches the fraction
+    of the total, or, with ``interpolate``, a point on the line through the
+    middles of the values' weights.
     """
-    mass = F.sum(weight or count) if weight or count else F.count(F.lit(1))
+    mass = F.sum(F.col(weight).cast(EXACT)) if weight else F.sum(count) if count else F.count(F.lit(1))
     key = list(keys) or ["_all"]
     known = df.filter(F.col(value).isNotNull()).withColumnsRenamed({value: "_v"})
     known = known if keys else known.withColumn("_all", F.lit(0))
     tallied = stage(known.groupBy(*key, "_v").agg(mass.alias("_n")))
-    result = tally_quantiles(tallied, key, quantiles, bool(weight), slice_rows)
+    result = tally_quantiles(tallied, key, quantiles, bool(weight), interpolate)
     return result if keys else result.drop("_all")
 
 
-def tally_quantiles(tallied: DataFrame, key: Sequence[str], quantiles: Mapping[str, float], weighted: bool = False, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def tally_quantiles(tallied: DataFrame, key: Sequence[str], quantiles: Mapping[str, float], weighted: bool = False, interpolate: bool = False) -> DataFrame:
     """Quantiles from a written table of (key, _v, _n), one row per distinct value."""
-    size = tallied.count()
-    if size <= slice_rows:
-        placed = tallied.withColumn("_slice", F.lit(0))
-    else:
-        cuts = min(MAX_SLICES, math.ceil(size / slice_rows) + 1)
-        steps = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
-        splits = stage(tallied.groupBy(*key).agg(F.array_distinct(F.percentile_approx("_v", steps, F.lit(cuts * 20))).alias("_splits")))
-        # beyond a broadcast, spread by the value: the rows of a hot key land in many buckets
-        placed = lookup(tallied, splits, key, ["_v"], "inner", weight=F.size("_splits"))
-        placed = placed.withColumn("_slice", F.expr("size(filter(_splits, s -> s < _v))")).drop("_splits")
+    ranges = int(tallied.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # staged, as the range of a row must be the same wherever it is read
+    placed = stage(tallied.repartitionByRange(ranges, *key, "_v").withColumn("_slice", F.spark_partition_id()))
     per_slice = placed.groupBy(*key, "_slice").agg(F.sum("_n").alias("_slice_n"))
     before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     base = (
@@ -128,8 +118,12 @@ def tally_quantiles(tallied: DataFrame, key: Sequence[str], quantiles: Mapping[s
     )
     out = []
     for name, p in quantiles.items():
+        if weighted and interpolate:
+            out.append(_between_middles(p).alias(name))
+            continue
         if weighted:
-            out.append(F.min(F.when(F.col("_hi") >= F.col("_total") * F.lit(p - ROUNDING), F.col("_v"))).alias(name))
+            reached = F.col("_hi").cast("double") >= F.col("_total").cast("double") * F.lit(p)
+            out.append(F.min(F.when(reached, F.col("_v"))).alias(name))
             continue
         rank = (F.col("_total") - 1) * F.lit(p)
         low, high = F.floor(rank), F.ceil(rank)
@@ -140,6 +134,16 @@ def tally_quantiles(tallied: DataFrame, key: Sequence[str], quantiles: Mapping[s
     return ranked.groupBy(*key).agg(*out)
 
 
+def _between_middles(p: float) -> Column:
+    """The value at which a line through the middles of the values' weights crosses the fraction; the ends are flat."""
+    middle = (F.col("_lo").cast("double") + F.col("_hi").cast("double")) / 2
+    target = F.col("_total").cast("double") * F.lit(p)
+    under = F.max(F.when(middle <= target, F.struct(middle.alias("at"), F.col("_v").cast("double").alias("v"))))
+    over = F.min(F.when(middle >= target, F.struct(middle.alias("at"), F.col("_v").cast("double").alias("v"))))
+    along = F.coalesce(F.try_divide(F.max(target) - under["at"], over["at"] - under["at"]), F.lit(0.0))
+    return F.coalesce(under["v"] + (over["v"] - under["v"]) * along, under["v"], over["v"])
+
+
 def histogram(df: DataFrame, value: str, bins: int, keys: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins over the observed range; the top edge falls in the last bin."""
     known = df.filter(F.col(value).isNotNull())
@@ -196,12 +200,18 @@ COUNT_NAMES = ("acled_fatalities", "cropland_ha", "dl_area_treated_ha", "statele
 COUNT_SUFFIXES = ("_prod_t", "_area_ha")  # fixed values
 
 
+#: (what a column name must match, rule), read in order
+ROLLUP_RULES = (
+    (r"^(?:" + "|".join(COUNT_PREFIXES) + ")", "sum"),
+    (r"^(?:" + "|".join(COUNT_NAMES) + ")$", "sum"),
+    (r"(?:" + "|".join(COUNT_SUFFIXES) + ")$", "sum"),
+)
+
+
 def rollup_rule(column: str, national: Sequence[str]) -> str:
     """``mean`` for national columns, ``sum`` for district counts, else ``mean``."""
-    if column in national:
-        return "mean"
-    counted = column.startswith(COUNT_PREFIXES) or column in COUNT_NAMES or column.endswith(COUNT_SUFFIXES)
-    return "sum" if counted else "mean"
+    table = () if column in national else ROLLUP_RULES
+    return next((rule for pattern, rule in table if re.search(pattern, column)), "mean")
 
 
 def rollup(df: DataFrame, keys: Sequence[str], rules: Mapping[str, str], order: str | None = None) -> DataFrame:

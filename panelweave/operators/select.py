@@ -13,8 +13,8 @@ SLICES = 64
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the lowest by ``order`` and then by all columns.
 
-    An aggregate, not a window: each task keeps only its best row per key
-    before the shuffle, so a key with very many copies costs nothing extra.
+    An aggregate, not a window: each task sorts its rows by key and keeps only
+    the best of each, so a key with very many copies sends one row a task.
     """
     rest = [c for c in df.columns if c not in keys]
     ranked = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c) for c in rest])
@@ -74,9 +74,14 @@ def mask_outside(df: DataFrame, holds: Column, columns: Sequence[str]) -> DataFr
     return df.withColumns({c: F.when(holds, F.col(c)) for c in columns})
 
 
+def seeded(seed: int, by: Sequence[str]) -> Column:
+    """A draw that any engine can repeat: the md5 of the seed and the key."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by]))
+
+
 def sample_entities(df: DataFrame, entity: str, n: int, seed: int, always: Sequence = ()) -> DataFrame:
     """All rows of ``n`` entities picked by a seeded hash, plus the named ones."""
-    drawn = df.select(entity).distinct().orderBy(F.xxhash64(F.col(entity), F.lit(seed)), entity).limit(n)
+    drawn = df.select(entity).distinct().orderBy(seeded(seed, [entity]), entity).limit(n)
     if always:
         named = df.filter(F.col(entity).isin(list(always))).select(entity)
         drawn = drawn.union(named).distinct()
@@ -85,7 +90,7 @@ def sample_entities(df: DataFrame, entity: str, n: int, seed: int, always: Seque
 
 def sample_rows(df: DataFrame, n: int, seed: int, by: Sequence[str]) -> DataFrame:
     """At most ``n`` rows, the lowest by a seeded hash of ``by``; a top-n, not a sort."""
-    return df.orderBy(F.xxhash64(*by, F.lit(seed)), *by).limit(n)
+    return df.orderBy(seeded(seed, by), *by).limit(n)
 
 
 def preview(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:

@@ -16,7 +16,7 @@ from panelweave.functions import geo
 from panelweave.operators.aggregate import exact_quantiles
 from panelweave.operators.joins import BROADCAST_ROWS, lookup
 
-SLIVER = 1e-9
+NOISE = 1e-11  # of a polygon's own area: what rounding leaves where nothing overlaps
 
 
 def polygons(rings: DataFrame, ident: Sequence[str]) -> DataFrame:
@@ -38,15 +38,23 @@ def projected(geom: DataFrame) -> DataFrame:
     return boxed(geom.withColumn("edges", geo.project_edges(F.col("edges"))))
 
 
+def own_area(edges: str = "edges") -> Column:
+    """Area inside the edges, taken from the box corner so that a small polygon far out keeps its digits."""
+    return F.expr(f"abs(aggregate({edges}, 0D, (a, e) -> a + (e.x1 - xmin) * (e.y2 - ymin) - (e.x2 - xmin) * (e.y1 - ymin))) / 2")
+
+
 def ring_faults(rings: DataFrame) -> DataFrame:
     """Rings that cannot be used, with the reason; the rest may go on."""
     ring = F.col("ring")
+    box = F.expr("(array_max(transform(ring, p -> p.x)) - array_min(transform(ring, p -> p.x))) * (array_max(transform(ring, p -> p.y)) - array_min(transform(ring, p -> p.y)))")
+    unknown = F.exists(ring, lambda p: p.isNull() | p["x"].isNull() | p["y"].isNull() | F.isnan(p["x"]) | F.isnan(p["y"]) | (F.abs(p["x"]) == float("inf")) | (F.abs(p["y"]) == float("inf")))
     ends_differ = F.element_at(ring, 1) != F.element_at(ring, -1)
     fault = (
         F.when(ring.isNull() | (F.size(ring) == 0), "empty")
+        .when(unknown, "unknown coordinate")
         .when(F.size(ring) < 4, "too few points")
         .when(ends_differ, "not closed")
-        .when(F.abs(geo.ring_area("ring")) < 1e-15, "zero area")
+        .when(F.abs(geo.ring_area("ring")) <= box * NOISE, "zero area")
     )
     return rings.withColumn("fault", fault).filter(F.col("fault").isNotNull())
 
@@ -226,7 +234,7 @@ def coverage_weights(geom: DataFrame, ident: str, size: float) -> DataFrame:
     spreads the latter, so interior cells never see an edge. Computed once per
     grid and reused for every time step.
     """
-    pieces = column_pieces(geom, [ident], size)
+    pieces = column_pieces(geom.withColumn("_own", own_area()), [ident, "_own"], size)
     low, high = cell(F.least("yl", "yr"), size), cell(F.greatest("yl", "yr"), size)
     rows = pieces.withColumn("_first", low).withColumn("cy", _span(F.col("_first") - 1, high))
     width = F.col("xr") - F.col("xl")
@@ -234,7 +242,7 @@ def coverage_weights(geom: DataFrame, ident: str, size: float) -> DataFrame:
     below = F.col("cy") < F.col("_first")
     part = F.when(~below, _integral_above(floor_y, floor_y + F.lit(size), F.col("yl"), F.col("yr"), width) * F.col("sign"))
     full = F.when(below, width * F.lit(size) * F.col("sign"))
-    per_row = rows.groupBy(ident, "cx", "cy").agg(
+    per_row = rows.groupBy(ident, "_own", "cx", "cy").agg(
         F.coalesce(F.sum(part), F.lit(0.0)).alias("_part"), F.coalesce(F.sum(full), F.lit(0.0)).alias("_full")
     )
     down = Window.partitionBy(ident, "cx").orderBy(F.desc("cy"))
@@ -243,11 +251,11 @@ def coverage_weights(geom: DataFrame, ident: str, size: float) -> DataFrame:
         "_next": F.lead("cy").over(down),
     })
     filled = carried.select(
-        ident, "cx", "_part", "_carry", F.col("cy").alias("_top"), _span(F.coalesce(F.col("_next") + 1, F.col("cy")), F.col("cy")).alias("cy")
+        ident, "_own", "cx", "_part", "_carry", F.col("cy").alias("_top"), _span(F.coalesce(F.col("_next") + 1, F.col("cy")), F.col("cy")).alias("cy")
     )
     area = F.col("_carry") + F.when(F.col("cy") == F.col("_top"), F.col("_part")).otherwise(F.lit(0.0))
     share = F.least(F.lit(1.0), area / F.lit(size * size))
-    return filled.select(ident, "cx", "cy", share.alias("w")).filter(F.col("w") > SLIVER)
+    return filled.filter(area > F.col("_own") * F.lit(NOISE)).select(ident, "cx", "cy", share.alias("w"))
 
 
 def zonal_stats(
@@ -274,11 +282,13 @@ def zonal_stats(
     return dense.withColumn("count", F.coalesce("count", F.lit(0.0)))
 
 
-def zonal_quantile(cells: DataFrame, weights: DataFrame, ident: str, value: str, p: float, name: str, by: Sequence[str] = ()) -> DataFrame:
-    """Lowest cell value at which the running covered area reaches ``p`` of the total."""
+def zonal_quantile(
+    cells: DataFrame, weights: DataFrame, ident: str, value: str, p: float, name: str, by: Sequence[str] = (), interpolate: bool = False
+) -> DataFrame:
+    """Lowest cell value at which the running covered area reaches ``p`` of the total, or the interpolated one."""
     known = cells.filter(F.col(value).isNotNull()).select("cx", "cy", *by, value)
     joined = lookup(known, weights, ["cx", "cy"], [*by, value], "inner")
-    return exact_quantiles(joined, [ident, *by], value, {name: p}, weight="w")
+    return exact_quantiles(joined, [ident, *by], value, {name: p}, weight="w", interpolate=interpolate)
 
 
 def mosaic(tiles: DataFrame, value: str, order: str) -> DataFrame:
@@ -295,7 +305,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame, a: str, b: str, size: flo
     """
     def spread(df: DataFrame, ident: str, tag: str) -> DataFrame:
         return df.select(
-            F.col(ident), *[F.col(c).alias(c + tag) for c in ("xmin", "xmax", "ymin", "ymax")],
+            F.col(ident), own_area().alias("own" + tag), *[F.col(c).alias(c + tag) for c in ("xmin", "xmax", "ymin", "ymax")],
             _span(cell(F.col("xmin"), size), cell(F.col("xmax"), size)).alias("_cx"),
         ).select("*", _span(cell(F.col("ymin" + tag), size), cell(F.col("ymax" + tag), size)).alias("_cy"))
 
@@ -306,7 +316,10 @@ def candidate_pairs(left: DataFrame, right: DataFrame, a: str, b: str, size: flo
         spread(left, a, "_a")
         .join(spread(right, b, "_b"), ["_cx", "_cy"])
         .filter(met & owner)
-        .select(a, b, F.least("ymin_a", "ymin_b").alias("_base"))
+        .select(
+            a, b, F.least("ymin_a", "ymin_b").alias("_base"), F.least("own_a", "own_b").alias("_own"),
+            cell(west, size).alias("_west"), cell(F.least("xmax_a", "xmax_b"), size).alias("_east"),
+        )
     )
 
 
@@ -315,12 +328,13 @@ def overlay_area(left: DataFrame, right: DataFrame, a: str, b: str, size: float)
 
     Both boundaries are cut at grid columns. The area is the signed sum, over
     boundary pieces that share a column and a stretch of it, of the area
-    under the lower of the two; pieces of one column only meet each other.
+    under the lower of the two. A pair is unfolded into the columns of its
+    common box, so a large polygon brings to each pair only the pieces there.
     """
-    pairs = candidate_pairs(left, right, a, b, size)
+    pairs = candidate_pairs(left, right, a, b, size).withColumn("cx", _span(F.col("_west"), F.col("_east")))
     ours = column_pieces(left, [a], size).select(a, "cx", F.col("sign").alias("s1"), *[F.col(c).alias(c + "1") for c in ("xl", "yl", "xr", "yr")])
     theirs = column_pieces(right, [b], size).select(b, "cx", F.col("sign").alias("s2"), *[F.col(c).alias(c + "2") for c in ("xl", "yl", "xr", "yr")])
-    met = pairs.join(ours, a).join(theirs, [b, "cx"]).filter(F.greatest("xl1", "xl2") < F.least("xr1", "xr2"))
+    met = pairs.join(ours, [a, "cx"]).join(theirs, [b, "cx"]).filter(F.greatest("xl1", "xl2") < F.least("xr1", "xr2"))
     stretch = met.withColumns({"_l": F.greatest("xl1", "xl2"), "_r": F.least("xr1", "xr2")})
 
     def height(n: str, at: str) -> Column:
@@ -335,7 +349,8 @@ def overlay_area(left: DataFrame, right: DataFrame, a: str, b: str, size: float)
     straight = (low1 + low2) / 2
     bent = (low1 + top) / 2 * meet + (top + low2) / 2 * (1 - meet)
     under = width * F.when(d1 * d2 < 0, bent).otherwise(straight)
-    return h.groupBy(a, b).agg(F.sum(F.col("s1") * F.col("s2") * under).alias("area")).filter(F.col("area") > SLIVER * SLIVER)
+    parts = h.groupBy(a, b).agg(F.sum(F.col("s1") * F.col("s2") * under).alias("area"), F.max("_own").alias("_own"))
+    return parts.filter(F.col("area") > F.col("_own") * F.lit(NOISE)).drop("_own")
 
 
 def same_home(pairs: DataFrame, left: str, right: str) -> DataFrame:
@@ -348,5 +363,5 @@ def unmatched_shares(joined: DataFrame, ident: str, masses: Mapping[str, str]) -
     lost = F.col(ident).isNull()
     out = [F.count(F.lit(1)).alias("n"), F.count_if(lost).alias("n_unmatched")]
     for name, column in masses.items():
-        out.append((F.coalesce(F.sum(F.when(lost, F.col(column))), F.lit(0.0)) / F.sum(column)).alias(name))
+        out.append(F.try_divide(F.coalesce(F.sum(F.when(lost, F.col(column))), F.lit(0.0)), F.sum(column)).alias(name))
     return joined.agg(*out)

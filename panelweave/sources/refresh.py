@@ -15,11 +15,16 @@ def due_years(first: int, last: int, present: Sequence[int], trailing: int) -> l
 
 
 def refresh_years(incoming: DataFrame, path: str, years: Sequence[int], year: str = "year") -> None:
-    """Overwrite just these year partitions; settled ones keep their files."""
+    """Overwrite just these year partitions; one without rows now goes, settled ones keep their files."""
     due = incoming.filter(F.col(year).isin(list(years)))
     # rows of one year spread over tasks by all columns, so a heavy year is not one file
     spread = due.repartition(F.col(year), F.pmod(F.xxhash64(*[c for c in due.columns if c != year]), F.lit(16)))
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
+    spark = incoming.sparkSession
+    held = {r[year] for r in due.select(year).distinct().collect()}  # calendar years
+    for empty in sorted(set(years) - held):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{year}={empty}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def refresh_trailing(incoming: DataFrame, path: str, last: int, trailing: int = 2, year: str = "year") -> None:

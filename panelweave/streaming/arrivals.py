@@ -15,24 +15,30 @@ from panelweave.session import stage
 def follow_files(spark: SparkSession, folder: str, schema: StructType, out: str, checkpoint: str, event_id: str, year: str = "year") -> StreamingQuery:
     """Load files that arrived since the last run, then stop.
 
-    A batch touches only the years it mentions. An event seen before is
-    replaced by its newer row. The merged years are staged before they
-    overwrite the partitions they were read from.
+    A batch writes the years it mentions and those its events stood in before,
+    so an event whose year was revised leaves its old partition. An event seen
+    before is replaced by its row from the newest file. The merged years are
+    staged before they overwrite the partitions they were read from.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        years = sorted(r[year] for r in batch.select(year).distinct().collect())  # calendar years: a few dozen at most
+        fresh = stage(batch.withColumn("_old", F.lit(0)))
+        years = {r[year] for r in fresh.select(year).distinct().collect()}  # calendar years: a few dozen at most
         if not years:
             return
-        fresh = batch.withColumn("_old", F.lit(0))
+        rows = fresh
         try:
-            held = batch.sparkSession.read.schema(schema).parquet(out).filter(F.col(year).isin(years))
-            fresh = fresh.unionByName(held.select(*batch.columns).withColumn("_old", F.lit(1)))
+            held = batch.sparkSession.read.schema(schema).parquet(out)
+            moved = held.select(event_id, year).join(fresh.select(event_id).distinct(), event_id, "left_semi")
+            years |= {r[year] for r in moved.select(year).distinct().collect()}
+            kept = held.filter(F.col(year).isin(sorted(years))).select(*schema.names)
+            rows = fresh.unionByName(kept.withColumns({"_old": F.lit(1), "_age": F.lit(0).cast("bigint"), "_file": F.lit("")}))
         except Exception as error:  # noqa: BLE001
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-        merged = keep_one(fresh, [event_id], [F.col("_old")]).drop("_old")
-        refresh_years(stage(merged), out, years, year)
+        merged = keep_one(rows, [event_id], [F.col("_old"), F.col("_age"), F.col("_file")]).select(*schema.names)
+        refresh_years(stage(merged), out, sorted(years), year)
 
     stream = spark.readStream.schema(schema).parquet(folder)
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    dated = stream.select("*", (-F.unix_micros("_metadata.file_modification_time")).alias("_age"), F.col("_metadata.file_path").alias("_file"))
+    return dated.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

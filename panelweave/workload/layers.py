@@ -94,7 +94,7 @@ def zonal_guard(t: Tables):
 )
 def slugged_names(t: Tables):
     named = t.read("part").groupBy("p_name").agg(F.count(F.lit(1)).alias("n"), F.max("p_brand").alias("b"))
-    marked = named.withColumns({"raw": F.concat("p_name", F.lit(" **")), "unit": text.unwrap(F.concat(F.lit("("), "b", F.lit(")")))})
+    marked = named.withColumns({"raw": F.concat(F.translate("p_name", "aeo", "áèö"), F.lit(" **")), "unit": text.unwrap(F.concat(F.lit("("), "b", F.lit(")")))})
     slugged = text.with_slug(marked.withColumn("clean", text.strip_footnote(F.col("raw"))), "clean", "slug")
     return slugged.select("p_name", "slug", "n", "unit")
 

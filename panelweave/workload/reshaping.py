@@ -176,13 +176,14 @@ def override_and_impute(t: Tables):
 @query(
     "outer_join_two_sources",
     "JN-9 JN-11",
-    f"""with a as (select iso3, year, n_orders from ({NATIONAL_SQL}) where n_orders >= 85),
+    f"""with n as ({NATIONAL_SQL}), a as (select iso3, year, n_orders from n where n_orders >= (select avg(n_orders) from n)),
     b as (select s.iso3, y.year, count(*) as n_lines from ({FACTS_SQL}) y join ({SPINE_SQL}) s on y.district_id = s.district_id where y.best >= 45 and y.l_discount >= 0.07 group by 1, 2)
     select coalesce(a.iso3, b.iso3) as iso3, coalesce(a.year, b.year) as year, n_orders::double as n_orders, n_lines::double as n_lines
     from a full join b on a.iso3 = b.iso3 and a.year = b.year""",
 )
 def outer_join_two_sources(t: Tables):
-    a = t.national.filter(F.col("n_orders") >= 85).select("iso3", "year", F.col("n_orders").cast("double").alias("n_orders"))
+    busy = F.col("n_orders") >= t.national.agg(F.avg("n_orders")).scalar()
+    a = t.national.filter(busy).select("iso3", "year", F.col("n_orders").cast("double").alias("n_orders"))
     big = t.facts.filter((F.col("best") >= 45) & (F.col("l_discount") >= 0.07)).join(t.spine, "district_id")
     b = big.groupBy("iso3", "year").agg(F.count(F.lit(1)).cast("double").alias("n_lines"))
     return joins.outer_merge(a, b, ["iso3", "year"])
@@ -326,10 +327,11 @@ def quarantined_suppliers(t: Tables):
     "study_members",
     "FLT-8 DOM-5 JN-15",
     f"""select district_id, case when region in ('AMERICA') then 'South' else region end as area, region in ('AFRICA', 'AMERICA') as kept
-    from ({SPINE_SQL}) where iso3 in (select iso3 from ({NATIONAL_SQL}) group by 1 having sum(n_orders) >= 560)""",
+    from ({SPINE_SQL}) where iso3 in (select iso3 from (select iso3, sum(n_orders) as n, avg(sum(n_orders)) over () as m from ({NATIONAL_SQL}) group by 1) where n >= m)""",
 )
 def study_members(t: Tables):
-    members = t.national.groupBy("iso3").agg(F.sum("n_orders").alias("n")).filter(F.col("n") >= 560)
+    sizes = t.national.groupBy("iso3").agg(F.sum("n_orders").alias("n"))
+    members = sizes.filter(F.col("n") >= sizes.agg(F.avg("n")).scalar())
     area = F.when(F.col("region") == "AMERICA", "South").otherwise(F.col("region"))
     return joins.keep_members(t.spine, members, ["iso3"]).select("district_id", area.alias("area"), F.col("region").isin("AFRICA", "AMERICA").alias("kept"))
 
@@ -411,12 +413,22 @@ def top_rows_per_group(t: Tables):
     return select.picked_groups(lines, picks, ["l_suppkey"], 100, ["l_extendedprice", "l_orderkey"])
 
 
-@query("entity_sample", "ORD-4", None)
+@query(
+    "entity_sample",
+    "ORD-4",
+    f"""select district_id, year, n, value from ({YEARLY_SQL}) where district_id = 3 or district_id in (
+      select s_suppkey from supplier order by md5('42|' || s_suppkey), s_suppkey limit 20)""",
+)
 def entity_sample(t: Tables):
-    return select.sample_entities(t.yearly, "district_id", 20, 42, always=[3])
+    drawn = select.sample_entities(t.spine.select("district_id"), "district_id", 20, 42, always=[3])
+    return joins.keep_members(t.yearly, drawn, ["district_id"])
 
 
-@query("row_sample", "ORD-5", None)
+@query(
+    "row_sample",
+    "ORD-5",
+    f"select district_id, year, n, value from ({YEARLY_SQL}) order by md5('0|' || district_id || '|' || year), district_id, year limit 5000",
+)
 def row_sample(t: Tables):
     return select.sample_rows(t.yearly, 5000, 0, ["district_id", "year"])
 

@@ -239,11 +239,11 @@ def worst_category(t: Tables):
     f"""select district_id, year, count(*) as n_checks, sum(case when l_discount >= 0.05 then 1 else 0 end)::bigint as confirmed,
       (sum(case when l_discount >= 0.05 then 1 else 0 end) > 0)::integer as present,
       round(sum(case when l_discount >= 0.05 then 1 else 0 end)::double / count(*), 6) as catch_rate
-    from ({SEVERE_SQL}) group by 1, 2""",
+    from ({FACTS_SQL}) group by 1, 2""",
 )
 def catch_rate(t: Tables):
     confirmed, checks = F.count_if(F.col("l_discount") >= 0.05), F.count(F.lit(1))
-    return t.severe.groupBy("district_id", "year").agg(
+    return t.facts.groupBy("district_id", "year").agg(
         checks.alias("n_checks"),
         confirmed.alias("confirmed"),
         numeric.flag(confirmed > 0).alias("present"),

@@ -171,10 +171,10 @@ def zonal_mean(t: Tables):
 @query(
     "zonal_median",
     "AGG-11 SP-3",
-    f"""with j as (select district_id, value as v, sum(w) as w from ({CELLS_SQL}) c join ({WEIGHTS_SQL}) w on c.cx = w.cx and c.cy = w.cy
+    f"""with j as (select district_id, value as v, sum(cast(w as decimal(38,15))) as w from ({CELLS_SQL}) c join ({WEIGHTS_SQL}) w on c.cx = w.cx and c.cy = w.cy
       where value is not null group by 1, 2),
     r as (select *, sum(w) over (partition by district_id order by v) as run, sum(w) over (partition by district_id) as tot from j)
-    select district_id, min(v) filter (where run >= tot * (0.5 - 1e-9)) as median from r group by 1""",
+    select district_id, min(v) filter (where run::double >= tot::double * 0.5) as median from r group by 1""",
 )
 def zonal_median(t: Tables):
     return spatial.zonal_quantile(cells(t), weights(t), "district_id", "value", 0.5, "median")
@@ -333,23 +333,24 @@ def tile_mosaic(t: Tables):
 @query(
     "near_duplicate_sites",
     "WIN-3",
-    f"select count(*) as sites from (select distinct round(lon, 1), round(lat, 1) from ({POINTS_SQL}))",
+    f"""select round(lon, 6) as lon, round(lat, 6) as lat from (select lon, lat, row_number() over (partition by round(lon, 3), round(lat, 3) order by lon, lat) as rn
+      from ({POINTS_SQL})) where rn = 1""",
 )
 def near_duplicate_sites(t: Tables):
-    return select.near_duplicates(points(t).select("lon", "lat"), "lon", "lat", 1).agg(F.count(F.lit(1)).alias("sites"))
+    return select.near_duplicates(points(t).select("lon", "lat"), "lon", "lat").select(F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
 
 
 @query(
     "two_source_presence",
     "SET-5",
-    f"""with u as (select district_id, count(*) as n from ({PLACED_SQL}) where district_id is not null and kind = 'A' and best >= 50 group by 1),
-    m as (select district_id, count(*) as n from ({PLACED_SQL}) where district_id is not null and kind = 'R' and best >= 50 group by 1)
+    f"""with u as (select district_id, count(*) as n from ({PLACED_SQL}) where district_id is not null and kind = 'A' group by 1),
+    m as (select district_id, count(*) as n from ({PLACED_SQL}) where district_id is not null and kind = 'R' group by 1)
     select s.district_id, case when s.region = 'AFRICA' then coalesce(u.n, 0) else coalesce(m.n, 0) end as n_gold,
       (coalesce(u.n, 0) > 0 or coalesce(m.n, 0) > 0)::integer as has_gold
     from ({SPINE_SQL}) s left join u on s.district_id = u.district_id left join m on s.district_id = m.district_id""",
 )
 def two_source_presence(t: Tables):
-    big = points(t).filter((F.col("best") >= 50) & F.col("kind").isin("A", "R"))
+    big = points(t).filter(F.col("kind").isin("A", "R"))
     hits = spatial.points_to_polygons(big, districts(t), "district_id", "lon", "lat", 1.0, "inner")
     found = spatial_layers.two_source_presence(t.spine, hits, "kind", "A", "R", "district_id", F.col("region") == "AFRICA", "gold")
     return found.select("district_id", "n_gold", "has_gold")

@@ -35,15 +35,14 @@ def test_sum_forms(frame):
     assert got["null_form"] is None and got["zero_form"] == 0.0
 
 
-@pytest.mark.parametrize("slice_rows", [100, 700, 1_000_000])
-def test_exact_quantiles_with_a_hot_group(spark, slice_rows):
+def test_exact_quantiles_with_a_hot_group(spark):
     rng = np.random.default_rng(0)
     groups = np.where(rng.random(6000) < 0.4, 0, rng.integers(1, 30, 6000))
     values = np.where(rng.random(6000) < 0.3, 5.0, np.round(rng.normal(0, 10, 6000), 2))
     values[groups == 7] = 1.0
     df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(groups, values)], "g int, v double")
     marks = {"p0": 0.0, "p5": 0.05, "p50": 0.5, "p95": 0.95, "p100": 1.0}
-    got = {r["g"]: r for r in aggregate.exact_quantiles(df, ["g"], "v", marks, slice_rows=slice_rows).collect()}
+    got = {r["g"]: r for r in aggregate.exact_quantiles(df, ["g"], "v", marks).collect()}
     assert len(got) == len(set(groups))
     for g in set(groups):
         want = np.quantile(values[groups == g], list(marks.values()))
@@ -56,6 +55,39 @@ def test_weighted_quantile(frame):
     assert got == {1: 30.0, 2: 1.0}
 
 
+def test_interpolated_weighted_quantile(frame):
+    """By hand: middles of the weights at 0.5, 1.5, 4.5 of 7, so 3.5 lies two thirds of the way from 20 to 30."""
+    df = frame("k int, v double, w double", (1, 10.0, 1.0), (1, 20.0, 1.0), (1, 30.0, 5.0), (2, 1.0, 0.5), (2, 2.0, 0.5), (3, 4.0, 0.1))
+    got = {r["k"]: r["m"] for r in aggregate.exact_quantiles(df, ["k"], "v", {"m": 0.5}, weight="w", interpolate=True).collect()}
+    assert got == {1: pytest.approx(20 + 10 * 2 / 3), 2: 1.5, 3: 4.0}
+
+
+def test_weights_add_up_the_same_in_any_order(spark):
+    """Ten tenths on either side of the half: no rounding decides which value is the median."""
+    rows = [(v, 0.1) for v in range(20)]
+    for seed in range(3):
+        shuffled = [rows[i] for i in np.random.default_rng(seed).permutation(20)]
+        df = spark.createDataFrame(shuffled, "v int, w double").repartition(5)
+        assert aggregate.exact_quantiles(df, [], "v", {"m": 0.5}, weight="w").first()["m"] == 9
+
+
+def test_zero_totals_are_unknown_not_fatal(frame):
+    df = frame("k int, c string, a double", (1, "x", 0.0), (1, "y", 0.0), (2, "x", 1.0), (2, "y", 3.0))
+    share = {(r["k"], r["c"]): r["s"] for r in aggregate.shares(df, ["k"], "c", "a", "s").collect()}
+    assert share == {(1, "x"): None, (1, "y"): None, (2, "x"): 0.25, (2, "y"): 0.75}
+    mixed = {r["k"]: r["f"] for r in aggregate.fractionalisation(df, ["k"], "c", "a", "f").collect()}
+    assert mixed == {1: None, 2: 0.375}
+    where = df.groupBy("k").agg(aggregate.share_where(F.col("c") == "x", "a").alias("s")).collect()
+    assert {r["k"]: r["s"] for r in where} == {1: None, 2: 0.25}
+
+
+def test_gate_names_every_failing_check(frame):
+    rows = [("g", f"check {k:02d}", "FAIL", 1) for k in range(80)]
+    with pytest.raises(checks.CheckFailed) as failed:
+        checks.gate(frame("grp string, name string, status string, violations bigint", *rows))
+    assert all(name in str(failed.value) for _, name, _, _ in rows)
+
+
 def test_histogram_edges(frame):
     df = frame("v double", *[(float(i),) for i in range(13)])
     got = {r["bin"]: r["n"] for r in aggregate.histogram(df, "v", 12).collect()}

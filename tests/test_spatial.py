@@ -83,6 +83,29 @@ def test_coverage_weights_of_a_shifted_square(frame):
     assert got == {(i, j): pytest.approx(0.25) for i in (0, 1) for j in (0, 1)}
 
 
+def test_tiny_polygons_keep_their_cells(frame):
+    tiny = {"thin": [(False, square(3, 2, 3.00001, 3))], "dot": [(False, square(100, 50, 100 + 1e-7, 50 + 1e-7))]}
+    geom = geometry(frame, tiny)
+    got = {(r["id"], r["cx"], r["cy"]): r["w"] for r in spatial.coverage_weights(geom, "id", 1.0).collect()}
+    assert got == {("thin", 3, 2): pytest.approx(1e-5), ("dot", 100, 50): pytest.approx(1e-14, rel=1e-6)}
+    other = geometry(frame, {"big": [(False, square(0, 0, 200, 200))]}).withColumnRenamed("id", "other")
+    area = {r["id"]: r["area"] for r in spatial.overlay_area(geom, other, "id", "other", 1.0).collect()}
+    assert area == {"thin": pytest.approx(1e-5), "dot": pytest.approx(1e-14, rel=1e-6)}
+
+
+def test_one_large_polygon_against_many_small(frame):
+    """Each pair meets only the large polygon's pieces in its own columns."""
+    rng = random.Random(2)
+    large = star(rng, 50, 50, 4000, 20, 49)
+    small = {f"s{k}": [(False, square(x, y, x + 1, y + 1))] for k, (x, y) in enumerate((rng.uniform(0, 99), rng.uniform(0, 99)) for _ in range(200))}
+    left, right = geometry(frame, {"large": [(False, large)]}), geometry(frame, small).withColumnRenamed("id", "other")
+    area = {r["other"]: r["area"] for r in spatial.overlay_area(left, right, "id", "other", 1.0).collect()}
+    g = (np.arange(40) + 0.5) / 40
+    for name, [(_, ring)] in list(small.items())[:40]:
+        x, y = (a.ravel() for a in np.meshgrid(ring[0][0] + g, ring[0][1] + g))
+        assert area.get(name, 0) == pytest.approx(even_odd([large], x, y).mean(), abs=0.05)
+
+
 def test_zonal_mean_skips_nodata(frame):
     geom = geometry(frame, {"a": [(False, square(0.5, 0.5, 1.5, 1.5))], "b": [(False, square(5, 5, 6, 6))]})
     cells = frame("cx bigint, cy bigint, v double", (0, 0, 1.0), (1, 0, 2.0), (0, 1, 3.0), (1, 1, None), (5, 5, None))
@@ -165,9 +188,9 @@ def test_hole_area_is_subtracted(frame):
 
 
 def test_ring_faults(frame):
-    df = frame(RINGS, ("ok", False, floats(square(0, 0, 1, 1))), ("open", False, floats(square(0, 0, 1, 1)[:4])), ("flat", False, floats([(0, 0), (1, 1), (2, 2), (0, 0)])), ("few", False, floats([(0, 0), (1, 1)])), ("none", False, []))
+    df = frame(RINGS, ("ok", False, floats(square(0, 0, 1, 1))), ("open", False, floats(square(0, 0, 1, 1)[:4])), ("flat", False, floats([(0, 0), (1, 1), (2, 2), (0, 0)])), ("few", False, floats([(0, 0), (1, 1)])), ("none", False, []), ("nan", False, floats([(0, 0), (1, 0), (float("nan"), 1), (0, 0)])), ("small", False, floats(square(5, 5, 5 + 1e-9, 5 + 1e-9))))
     got = {r["id"]: r["fault"] for r in spatial.ring_faults(df).collect()}
-    assert got == {"open": "not closed", "flat": "zero area", "few": "too few points", "none": "empty"}
+    assert got == {"open": "not closed", "flat": "zero area", "few": "too few points", "none": "empty", "nan": "unknown coordinate"}
 
 
 def test_mosaic_first_tile_with_data(frame):
