@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panelweave.session import stage
 
 
-EXACT = "decimal(38,15)"  # weights are added in this type, so their sum does not depend on the order
+EXACT = "decimal(38,12)"  # weights, as shares of their group's largest, are added in this type: their sum does not depend on the order
 
 
 def sum_or_zero(c: str | Column) -> Column:
@@ -88,7 +88,7 @@ def exact_quantiles(
     of the total, or, with ``interpolate``, a point on the line through the
     middles of the values' weights.
     """
-    mass = F.sum(F.col(weight).cast(EXACT)) if weight else F.sum(count) if count else F.count(F.lit(1))
+    mass = F.sum(weight) if weight else F.sum(count) if count else F.count(F.lit(1))
     key = list(keys) or ["_all"]
     known = df.filter(F.col(value).isNotNull()).withColumnsRenamed({value: "_v"})
     known = known if keys else known.withColumn("_all", F.lit(0))
@@ -100,6 +100,10 @@ def exact_quantiles(
 def tally_quantiles(tallied: DataFrame, key: Sequence[str], quantiles: Mapping[str, float], weighted: bool = False, interpolate: bool = False) -> DataFrame:
     """Quantiles from a written table of (key, _v, _n), one row per distinct value."""
     ranges = int(tallied.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if weighted:
+        most = tallied.groupBy(*key).agg(F.max("_n").alias("_most"))
+        share = F.coalesce(F.try_divide(F.col("_n"), F.col("_most")), F.lit(0.0))
+        tallied = tallied.join(most, list(key)).withColumn("_n", share.cast(EXACT)).drop("_most")
     # staged, as the range of a row must be the same wherever it is read
     placed = stage(tallied.repartitionByRange(ranges, *key, "_v").withColumn("_slice", F.spark_partition_id()))
     per_slice = placed.groupBy(*key, "_slice").agg(F.sum("_n").alias("_slice_n"))

@@ -103,6 +103,21 @@ def parse_lines(spark: SparkSession, path: str, pattern: str, names: Sequence[st
     return out
 
 
+def split_header(sheet: DataFrame, label: str, rows: Sequence[str]) -> tuple[dict[str, dict[str, object]], DataFrame]:
+    """The header rows inside a wide sheet, and its body.
+
+    ``label`` is the column that names the row; those named in ``rows`` are
+    header rows, one of each. They come back as ``matrix_to_long`` takes them.
+    """
+    columns = [c for c in sheet.columns if c != label]
+    name = F.trim(label)
+    found = {r[label].strip(): r for r in sheet.filter(name.isin(list(rows))).collect()}  # a row for each name
+    if missing := [r for r in rows if r not in found]:
+        raise ValueError(f"header rows {missing} are not in the sheet")
+    header = {c: {r: found[r][c] for r in rows} for c in columns}
+    return header, sheet.filter(~F.coalesce(name.isin(list(rows)), F.lit(False)))
+
+
 def matrix_to_long(sheet: DataFrame, ids: Sequence[str], header: Mapping[str, Mapping[str, object]], value: str) -> DataFrame:
     """A wide sheet with extra header rows to long form.
 

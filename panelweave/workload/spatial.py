@@ -48,7 +48,7 @@ def boxes(t: Tables, table: str, key: str, shape, ident: str, *extra: str) -> Da
     return spatial.polygons(rings, [ident, *extra])
 
 
-def points(t: Tables) -> DataFrame:
+def points(t: Tables, *extra: str) -> DataFrame:
     x, y = _corner("l_suppkey")
     return t.read("lineitem").select(
         (x + (F.col("l_orderkey") % 997 + 0.37) / 997 * 1.5 - 0.25).alias("lon"),
@@ -58,6 +58,7 @@ def points(t: Tables) -> DataFrame:
         F.col("l_quantity").alias("best"),
         "l_linestatus",
         "l_partkey",
+        *extra,
     )
 
 
@@ -171,8 +172,9 @@ def zonal_mean(t: Tables):
 @query(
     "zonal_median",
     "AGG-11 SP-3",
-    f"""with j as (select district_id, value as v, sum(cast(w as decimal(38,15))) as w from ({CELLS_SQL}) c join ({WEIGHTS_SQL}) w on c.cx = w.cx and c.cy = w.cy
+    f"""with i as (select district_id, value as v, sum(w) as w from ({CELLS_SQL}) c join ({WEIGHTS_SQL}) w on c.cx = w.cx and c.cy = w.cy
       where value is not null group by 1, 2),
+    j as (select district_id, v, cast(w / max(w) over (partition by district_id) as decimal(38,12)) as w from i),
     r as (select *, sum(w) over (partition by district_id order by v) as run, sum(w) over (partition by district_id) as tot from j)
     select district_id, min(v) filter (where run::double >= tot::double * 0.5) as median from r group by 1""",
 )
