@@ -66,6 +66,20 @@ def oriented_edges(ring: str, is_hole: str) -> Column:
     return F.expr(f"flatten(transform(array({turned}), r -> transform(slice(r, 1, size(r) - 1), (p, i) -> {step})))")
 
 
+def inside_point(edges: Column) -> Column:
+    """A point inside a polygon: the middle of the widest stretch on a line half-way up its box."""
+    ys = F.flatten(F.transform(edges, lambda e: F.array(e["y1"], e["y2"])))
+    # half-way between two neighbouring vertex heights, so the line meets no vertex
+    tall = F.array_sort(F.array_distinct(ys))
+    middle = F.array_max(F.transform(tall, lambda y, i: F.when(y <= (F.array_min(ys) + F.array_max(ys)) / 2, i)))
+    at = F.least(middle, F.size(tall) - 2)
+    y = (tall[at] + tall[at + 1]) / 2
+    crossing = F.filter(edges, lambda e: (e["y1"] > y) != (e["y2"] > y))
+    xs = F.array_sort(F.transform(crossing, lambda e: e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])))
+    turns = F.filter(F.transform(xs, lambda x, i: F.struct((F.get(xs, i + 1) - x).alias("wide"), ((F.get(xs, i + 1) + x) / 2).alias("x"), (i % 2).alias("odd"))), lambda s: (s["odd"] == 0) & s["wide"].isNotNull())
+    return F.struct(F.array_max(turns)["x"].alias("x"), y.alias("y"))
+
+
 def project_edges(edges: Column) -> Column:
     """Edges in degrees to edges in equal-area metres."""
     return F.transform(

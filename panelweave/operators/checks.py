@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelweave.functions import text
+
 COLUMNS = ["grp", "name", "status", "violations"]
 
 
@@ -67,12 +69,31 @@ def types_match(df: DataFrame, group: str, families: Mapping[str, str]) -> DataF
 
 
 def documented(df: DataFrame, group: str, name: str, dictionary: DataFrame) -> DataFrame:
-    """Columns the dictionary does not list."""
+    """Columns the dictionary does not list; ``fao_{a,b}_t`` there stands for a family."""
     columns = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column string")
-    undocumented = columns.join(dictionary.select("column"), "column", "left_anti")
+    listed = dictionary.select(F.explode(text.brace_names(F.col("column"))).alias("column"))
+    undocumented = columns.join(listed, "column", "left_anti")
     return _judged(undocumented, group, {name: F.count(F.lit(1))})
 
 
+def some_known(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
+    """Columns that hold no value at all, one pass."""
+    return aggregates_hold(df, group, {f"{c} has values": F.count(c) > 0 for c in columns})
+
+
+def gaps_documented(df: DataFrame, group: str, columns: Sequence[str], origin: int, width: int, gaps: DataFrame, year: str = "year") -> DataFrame:
+    """Eras where a column has no value although no gap is documented, and documented gaps that have values.
+
+    ``gaps`` is (column, era).
+    """
+    from panelweave.operators.aggregate import era_missingness
+
+    empty = era_missingness(df, columns, origin, width, year).withColumn("_empty", F.col("pct_known") == 0)
+    told = gaps.select("column", F.col("era").cast("int").alias("era")).distinct().withColumn("_told", F.lit(True))
+    both = empty.join(told, ["column", "era"], "left").withColumn("_told", F.coalesce("_told", F.lit(False)))
+    return rows_hold(both, group, {"every empty era is documented": F.col("_told") | ~F.col("_empty"), "every documented gap is empty": F.col("_empty") | ~F.col("_told")})
+
+
 def totals_match(panel: DataFrame, source: DataFrame, group: str, columns: Sequence[str], tolerance: float = 1e-6) -> DataFrame:
     """Grand totals of the panel against those of the source layer, one pass each."""
     def totals(df: DataFrame, value: str) -> DataFrame:

@@ -120,6 +120,19 @@ def guard_mapped(joined: DataFrame, target: str, must_map: Column, label: str) -
     return joined.withColumn(target, F.when(lost, F.raise_error(F.lit(f"unmapped row in {label}"))).otherwise(F.col(target)))
 
 
+def successor_codes(df: DataFrame, successors: DataFrame, code: str, period: str) -> DataFrame:
+    """Former codes renamed to their successor's; the job fails where both report the same period.
+
+    ``successors`` is (code, successor), one row for each former code.
+    """
+    renamed = successors.select(F.col(code), F.col("successor").alias("_to"))
+    moved = df.join(one_row_per(renamed, [code]), code, "left").withColumn("_was", F.col(code)).withColumn(code, F.coalesce("_to", code))
+    heirs = moved.groupBy(code, period).agg(F.min("_was").alias("_a"), F.max("_was").alias("_b")).filter(F.col("_a") != F.col("_b"))
+    clash = F.concat(F.lit("two codes report "), F.concat_ws(" ", F.col(code).cast("string"), F.col(period).cast("string")))
+    guarded = moved.join(heirs.select(code, period, F.lit(True).alias("_clash")), [code, period], "left")
+    return guarded.withColumn(code, F.when(F.col("_clash"), F.raise_error(clash).cast(df.schema[code].dataType)).otherwise(F.col(code))).select(*df.columns)
+
+
 def override_join(df: DataFrame, overrides: DataFrame, on: Sequence[str], column: str, only_null: bool = False) -> DataFrame:
     """Replace ``column`` by the override table's value for the keys it names."""
     fix = overrides.select(*on, F.col(column).alias("_fix"))

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelweave.sources.contracts import require_values
+
 
 def melt_positive(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:
     """Wide to long, keeping cells above zero."""
@@ -26,7 +28,11 @@ def pivot_fixed(
 
     ``names`` maps category value to column suffix. A category that never
     occurs still gets its columns: 0 when ``absent_zero``, else null.
+    With ``totals`` a category outside the list fails the job, as a total
+    would lack it.
     """
+    if totals:
+        df = require_values(df, category, list(names))
     coded = df.filter(F.col(category).isin(list(names)))
     wide = coded.groupBy(*keys).pivot(category, list(names)).agg(*[m.alias(n) for n, m in measures.items()])
     single = len(measures) == 1

@@ -297,8 +297,8 @@ def mosaic(tiles: DataFrame, value: str, order: str) -> DataFrame:
     return tiles.groupBy("cx", "cy").agg(F.min_by(value, F.when(known, F.col(order))).alias(value))
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame, a: str, b: str, size: float) -> DataFrame:
-    """Polygon pairs whose boxes meet, each once.
+def candidate_pairs(left: DataFrame, right: DataFrame, a: str, b: str, size: float, touching: bool = False) -> DataFrame:
+    """Polygon pairs whose boxes overlap, or with ``touching`` at least touch, each once.
 
     Boxes are spread over cells; a pair is kept only in the cell that holds
     the lower-left corner of the common box, so no distinct is needed.
@@ -310,7 +310,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame, a: str, b: str, size: flo
         ).select("*", _span(cell(F.col("ymin" + tag), size), cell(F.col("ymax" + tag), size)).alias("_cy"))
 
     west, south = F.greatest("xmin_a", "xmin_b"), F.greatest("ymin_a", "ymin_b")
-    met = (west < F.least("xmax_a", "xmax_b")) & (south < F.least("ymax_a", "ymax_b"))
+    east, north = F.least("xmax_a", "xmax_b"), F.least("ymax_a", "ymax_b")
+    met = (west <= east) & (south <= north) if touching else (west < east) & (south < north)
     owner = (F.col("_cx") == cell(west, size)) & (F.col("_cy") == cell(south, size))
     return (
         spread(left, a, "_a")
@@ -353,6 +354,34 @@ def overlay_area(left: DataFrame, right: DataFrame, a: str, b: str, size: float)
     return parts.filter(F.col("area") > F.col("_own") * F.lit(NOISE)).drop("_own")
 
 
+def intersecting(left: DataFrame, right: DataFrame, a: str, b: str, size: float) -> DataFrame:
+    """Polygon pairs that have a point in common, a touching corner or side included: (a, b).
+
+    Either the pair shares area, or two of its edges meet. Edges meet only
+    inside a grid column of the pair's common box, and only where their own
+    boxes do.
+    """
+    pairs = candidate_pairs(left, right, a, b, size, touching=True)
+    unfolded = pairs.select(a, b, _span(F.col("_west"), F.col("_east")).alias("cx"))
+
+    def edges(df: DataFrame, ident: str, n: str) -> DataFrame:
+        each = df.select(ident, F.explode("edges").alias("e"))
+        low, high = cell(F.least("e.x1", "e.x2"), size), cell(F.greatest("e.x1", "e.x2"), size)
+        return each.select(ident, _span(low, high).alias("cx"), *[F.col(f"e.{c}").alias(c + n) for c in ("x1", "y1", "x2", "y2")])
+
+    def side(p: str, q: str, x: str, y: str) -> Column:
+        """Which side of the line p-q a point lies on."""
+        return F.signum((F.col("x2" + p) - F.col("x1" + p)) * (F.col(y + q) - F.col("y1" + p)) - (F.col("y2" + p) - F.col("y1" + p)) * (F.col(x + q) - F.col("x1" + p)))
+
+    boxes_meet = F.lit(True)
+    for c in "xy":
+        low = F.greatest(F.least(c + "1_p", c + "2_p"), F.least(c + "1_q", c + "2_q"))
+        boxes_meet = boxes_meet & (low <= F.least(F.greatest(c + "1_p", c + "2_p"), F.greatest(c + "1_q", c + "2_q")))
+    cross = (side("_p", "_q", "x1", "y1") * side("_p", "_q", "x2", "y2") <= 0) & (side("_q", "_p", "x1", "y1") * side("_q", "_p", "x2", "y2") <= 0)
+    met = unfolded.join(edges(left, a, "_p"), [a, "cx"]).join(edges(right, b, "_q"), [b, "cx"]).filter(boxes_meet & cross).select(a, b)
+    return met.union(overlay_area(left, right, a, b, size).select(a, b)).distinct()
+
+
 def same_home(pairs: DataFrame, left: str, right: str) -> DataFrame:
     """Overlaps inside the polygon's own country; slivers across a border go."""
     return pairs.filter(F.col(left) == F.col(right))

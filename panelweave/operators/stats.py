@@ -118,10 +118,12 @@ def dictionary(profiled: DataFrame, definitions: DataFrame, rules: Mapping[str,
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlations as rows (x, y, r), one pass."""
-    pairs = [(a, b) for a in columns for b in columns]
+    """Pairwise-complete Pearson correlations as rows (x, y, r), one pass; each pair is computed once."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     cells = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r")) for a, b in pairs]
-    return df.agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
+    half = df.agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
+    sides = F.when(F.col("x") == F.col("y"), F.array(F.struct("x", "y"))).otherwise(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))))
+    return half.select("r", F.explode(sides).alias("_s")).select("_s.x", "_s.y", "r")
 
 
 def ranked_drivers(df: DataFrame, target: str, drivers: Sequence[str]) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelweave.functions import geo
+from panelweave.operators import checks, joins, spatial
 from panelweave.plans import country_layers, district_layers, spatial_layers
-from panelweave.workload.base import FACTS_SQL, SPINE_SQL, Tables, query
-from panelweave.workload.spatial import CELLS_SQL, PLACED_SQL, POINTS_SQL, WEIGHTS_SQL, boxes, BOX, cells, districts, points, weights
+from panelweave.workload.base import FACTS_SQL, SPINE_SQL, YEARLY_SQL, Tables, query
+from panelweave.workload.spatial import BOX, CELLS_SQL, INSIDE_SQL, PLACED_SQL, POINTS_SQL, WEIGHTS_SQL, WIDE, boxes, cells, districts, points, weights
 
 LINES_SQL = POINTS_SQL.replace("l_quantity as best,", "l_quantity as best, l_orderkey, l_linenumber, l_suppkey,")
 LOCATED_SQL = PLACED_SQL.replace(POINTS_SQL, LINES_SQL)
@@ -173,3 +175,70 @@ def production_long(t: Tables):
 def production_wide(t: Tables):
     wide = country_layers.production_wide(country_layers.production_long(_production(t), _m49(t)))
     return wide.select("iso3", "year", "fao_cereal_prod_t", "fao_cereal_yield_kgha", "fao_wheat_prod_t", "fao_rice_yield_kgha")
+
+
+_UNIT, _NEXT = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)], [(1.0, 0.0), (2.0, 0.0), (2.0, 1.0), (1.0, 1.0), (1.0, 0.0)]
+
+
+@query(
+    "touching_footprints",
+    "JN-18",
+    f"""select s_suppkey as district_id, c_custkey from supplier join customer
+      on s_suppkey % {WIDE} - c_custkey % {WIDE} between 0 and 2 and floor(s_suppkey / {WIDE}) - floor(c_custkey / {WIDE}) between -1 and 1""",
+)
+def touching_footprints(t: Tables):
+    """Unit squares against unit squares one to the east: most pairs share only a side or a corner."""
+    ours, theirs = boxes(t, "supplier", "s_suppkey", _UNIT, "district_id"), boxes(t, "customer", "c_custkey", _NEXT, "c_custkey")
+    return spatial.intersecting(ours, theirs, "district_id", "c_custkey", 1.0)
+
+
+@query(
+    "inside_points",
+    "FN-15",
+    "select s_suppkey as district_id, true as inside from supplier",
+)
+def inside_points(t: Tables):
+    """A point of each district, located again with the districts' own rule."""
+    point = geo.inside_point(F.col("edges"))
+    found = districts(t).select(F.col("district_id").alias("of"), point.alias("p")).select("of", F.col("p.x").alias("lon"), F.col("p.y").alias("lat"))
+    located = spatial.points_to_polygons(found, districts(t), "district_id", "lon", "lat", 1.0)
+    return located.select(F.col("of").alias("district_id"), (F.col("of") == F.col("district_id")).alias("inside"))
+
+
+@query(
+    "successor_codes",
+    "FLT-13",
+    f"""select case when district_id between 91 and 100 and year < 1998 then district_id - 90 when district_id between 91 and 100 then district_id - 60 else district_id end as district_id, year, n
+    from ({YEARLY_SQL}) where district_id between 91 and 100 or (district_id <= 10 and year >= 1998) or district_id between 41 and 60""",
+)
+def successor_codes(t: Tables):
+    """Ten former codes report until 1997, their successors after that; ten more have no successor's report at all."""
+    yearly, d, y = t.yearly.select("district_id", "year", "n"), F.col("district_id"), F.col("year")
+    late = d.between(91, 100)
+    coded = yearly.filter(late | ((d <= 10) & (y >= 1998)) | d.between(41, 60)).withColumn("district_id", F.when(late & (y >= 1998), d - 60).otherwise(d))
+    former = t.spine.filter("district_id between 91 and 100").select("district_id", (F.col("district_id") - 90).alias("successor"))
+    return joins.successor_codes(coded, former, "district_id", "year")
+
+
+@query(
+    "coverage_checks",
+    "VAL-6 VAL-14 VAL-15",
+    f"""with y as (select *, case when year >= 1999 then n end as late, case when year < 0 then n end as never from ({YEARLY_SQL})),
+    e as (select c, (floor((year - 1990) / 5) * 5 + 1990)::int as era, count(v) as k from (
+      select year, unnest(['n', 'late']) as c, unnest([n, late]) as v from y) group by 1, 2),
+    g as (select e.*, (c = 'late' and era = 1990) as told from e)
+    select 'coverage' as grp, c || ' has values' as name, case when v = 0 then 'PASS' else 'FAIL' end as status, v::bigint as violations from (
+      select 'n' as c, (count(n) = 0)::int as v from y union all select 'late', (count(late) = 0)::int from y union all select 'never', (count(never) = 0)::int from y)
+    union all select 'coverage', 'every empty era is documented', case when count(*) filter (k = 0 and not told) = 0 then 'PASS' else 'FAIL' end, count(*) filter (k = 0 and not told) from g
+    union all select 'coverage', 'every documented gap is empty', case when count(*) filter (k > 0 and told) = 0 then 'PASS' else 'FAIL' end, count(*) filter (k > 0 and told) from g
+    union all select 'coverage', 'columns documented', 'FAIL', 2""",
+)
+def coverage_checks(t: Tables):
+    yearly = t.yearly.withColumns({"late": F.when(F.col("year") >= 1999, F.col("n")), "never": F.when(F.col("year") < 0, F.col("n"))})
+    gaps = t.spark.createDataFrame([("late", 1990)], "column string, era int")
+    words = t.spark.createDataFrame([("{district_id,year}",), ("n",), ("{value,other}",)], "column string")
+    return checks.report(
+        checks.some_known(yearly, "coverage", ["n", "late", "never"]),
+        checks.gaps_documented(yearly, "coverage", ["n", "late"], 1990, 5, gaps),
+        checks.documented(yearly, "coverage", "columns documented", words),
+    )

@@ -22,7 +22,8 @@ TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 )
 def pivot_fixed(t: Tables):
     names = {"A": "sb", "N": "ns", "X": "xx"}  # X never occurs: its column is still there
-    wide = reshape.pivot_fixed(t.facts, ["district_id"], "kind", names, {"area": F.sum("best")}, absent_zero=False, totals=True)
+    chosen = t.facts.filter(F.col("kind").isin("A", "N"))
+    wide = reshape.pivot_fixed(chosen, ["district_id"], "kind", names, {"area": F.sum("best")}, absent_zero=False, totals=True)
     return reshape.prefix_columns(wide, "fao_", ["district_id"])
 
 

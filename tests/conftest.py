@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,7 @@ from panelweave.session import get_spark  # noqa: E402
 def spark():
     session = get_spark(
         "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__driver__memory="4g",
-        spark__ui__showConsoleProgress="false",
+        spark__ui__showConsoleProgress="false", spark__checkpoint__dir=tempfile.mkdtemp(prefix="tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

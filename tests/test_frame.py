@@ -132,3 +132,12 @@ def test_crosswalk_guard(frame):
     with pytest.raises(Exception, match="unmapped row"):
         joins.guard_mapped(joined, "iso3", F.col("year") >= 1989, "names").collect()
     assert joins.guard_mapped(joined, "iso3", F.col("year") > 2000, "names").count() == 2
+
+
+def test_successors_must_not_overlap(frame):
+    codes = frame("code string, successor string", ("SUN", "RUS"), ("YUG", "SRB"))
+    df = frame("code string, year int, v int", ("SUN", 1990, 1), ("RUS", 1992, 2), ("YUG", 1990, 3), ("FRA", 1990, 4))
+    got = sorted((r["code"], r["year"], r["v"]) for r in joins.successor_codes(df, codes, "code", "year").collect())
+    assert got == [("FRA", 1990, 4), ("RUS", 1990, 1), ("RUS", 1992, 2), ("SRB", 1990, 3)]
+    with pytest.raises(Exception, match="two codes report RUS 1990"):
+        joins.successor_codes(df.union(frame("code string, year int, v int", ("RUS", 1990, 9))), codes, "code", "year").collect()

@@ -209,3 +209,19 @@ def test_located_events_plan_has_no_nested_loop(frame):
     pts = frame("p int, x double, y double", (1, 0.5, 0.5))
     plan = spatial.points_to_polygons(pts, geom, "id", "x", "y", 1.0)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
+def test_points_inside_random_shapes(frame):
+    rng = random.Random(9)
+    shapes = {f"s{k}": [(False, star(rng, 5 * k, 3 * k))] for k in range(20)} | {"holed": [(False, square(0, 0, 10, 10)), (True, square(1, 1, 9, 9)[::-1])]}
+    for r in geometry(frame, shapes).select("id", geo.inside_point(F.col("edges")).alias("p")).collect():
+        rings = [ring for _, ring in shapes[r["id"]]]
+        assert even_odd(rings, np.array([r["p"]["x"]]), np.array([r["p"]["y"]]))[0], r["id"]
+
+
+def test_intersecting_counts_touch(frame):
+    left = geometry(frame, {"a": [(False, square(0, 0, 1, 1))], "b": [(False, square(3, 3, 4, 4))]})
+    others = {"side": (1, 0, 2, 1), "corner": (1, 1, 2, 2), "inside": (0.2, 0.2, 0.4, 0.4), "around": (-1, -1, 2, 2), "apart": (1.001, 0, 2, 1), "same": (0, 0, 1, 1)}
+    right = geometry(frame, {n: [(False, square(*s))] for n, s in others.items()}).withColumnRenamed("id", "other")
+    got = sorted((r["id"], r["other"]) for r in spatial.intersecting(left, right, "id", "other", 0.7).collect())
+    assert got == [("a", n) for n in ("around", "corner", "inside", "same", "side")]
