@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelweave.operators import aggregate, frame, stats
-from panelweave.workload.base import FACTS_SQL, FIRST, FRAME_SQL, LAST, NATIONAL_SQL, SEVERE_SQL, SPINE_SQL, Tables, mean_cents, mean_cents_sql, query
+from panelweave.plans import panel as pn
+from panelweave.workload.base import FACTS_SQL, FIRST, FRAME_SQL, LAST, NATIONAL_SQL, SEVERE_SQL, SPINE_SQL, Tables, mean_cents_sql, query
 
 # A small wide panel: zero-filled counts, a masked count, a national series and a mean.
 PANEL_SQL = f"""select f.district_id, f.iso3, f.region, f.year, coalesce(e.n_events_total, 0) as n_events_total,
@@ -22,25 +23,23 @@ MEASURES = ["n_events_total", "deaths_best", "acled_events_total", "wb_gdp", "wb
 
 
 def panel(t: Tables):
-    key = ["district_id", "year"]
-    events = t.facts.filter(F.col("l_tax") <= 0.06).groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n_events_total"),
-        F.sum("best").alias("deaths_best"),
-        mean_cents(F.when(F.col("l_discount") < 0.05, F.col("l_extendedprice"))).alias("yield_mean"),
-    )
-    unrest = t.severe.groupBy(*key).agg(F.count(F.lit(1)).alias("acled_events_total"))
-    span = frame.observed_span(t.severe.join(t.spine, "district_id"), "iso3")
+    out = pn.assemble(t.spine.select("district_id", "iso3", "region"), FIRST, LAST, layers(t))
+    return pn.ordered_panel(out, ["district_id", "iso3", "region", "year", *MEASURES])
+
+
+def layers(t: Tables) -> list[pn.Layer]:
+    yearly, key = t.district_years, ["district_id", "year"]
+    unrest = yearly.select(*key, "acled_events_total").na.drop()
+    span = frame.observed_span(unrest.join(t.spine, "district_id"), "iso3")
     area = t.crops.filter(F.col("crop").isin("ECONOMY", "PROMO")).groupBy("district_id").agg(F.sum("area").alias("cropland_ha"))
     national = t.national.select("iso3", "year", F.col("gdp").alias("wb_gdp"), F.col("n_orders").cast("double").alias("wb_orders"))
-    # constants join the spine before the years unfold
-    named = frame.attach(t.spine.select("district_id", "iso3", "region"), area, ["district_id"], ["cropland_ha"], checked=True)
-    base = frame.dense_frame(named, FIRST, LAST)
-    counted = frame.attach(base, events, key, ["n_events_total", "deaths_best", "yield_mean"], "null", checked=True).withColumns({
-        "n_events_total": F.coalesce("n_events_total", F.lit(0)), "deaths_best": F.coalesce("deaths_best", F.lit(0.0)),
-    })
-    masked = frame.attach(counted, unrest, key, ["acled_events_total"], "mask", span, "iso3", checked=True)
-    full = frame.attach(masked, national, ["iso3", "year"], ["wb_gdp", "wb_orders"], checked=True)
-    return full.select("district_id", "iso3", "region", "year", *MEASURES)
+    return [
+        pn.Layer("events", yearly.select(*key, "n_events_total", "deaths_best"), "district_year", policy="zero", checked=True),
+        pn.Layer("unrest", unrest, "district_year", policy="mask", span=span, checked=True),
+        pn.Layer("national", national, "country_year", checked=True),
+        pn.Layer("prices", yearly.select(*key, "yield_mean"), "district_year", checked=True),
+        pn.Layer("crops", area, "district", checked=True),
+    ]
 
 
 @query("wide_panel", "DOM-1 DOM-6 JN-2 JN-3 JN-4 JN-5 JN-7 JN-8", PANEL_SQL)

@@ -14,6 +14,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelweave.session import stage
+
 FIRST, LAST = 1993, 2003  # panel years; the data covers 1995-2001, so both edges are uncovered
 
 
@@ -100,6 +102,20 @@ class Tables:
         """A sparse event source: the largest, most discounted lines."""
         return self.facts.filter((F.col("best") >= 49) & (F.col("l_discount") >= 0.09))
 
+    @cached_property
+    def district_years(self) -> DataFrame:
+        """All layers of one key from one pass over the facts: located events, their prices, severe ones.
+
+        Staged, as the panel, the observed span and each of its checks read it.
+        """
+        located, severe = F.col("l_tax") <= 0.06, (F.col("best") >= 49) & (F.col("l_discount") >= 0.09)
+        return stage(self.facts.groupBy("district_id", "year").agg(
+            F.count_if(located).alias("n_events_total"),
+            F.sum(F.when(located, F.col("best"))).alias("deaths_best"),
+            mean_cents(F.when(located & (F.col("l_discount") < 0.05), F.col("l_extendedprice"))).alias("yield_mean"),
+            F.nullif(F.count_if(severe), F.lit(0)).alias("acled_events_total"),
+        ))
+
     @cached_property
     def national(self) -> DataFrame:
         """Country-year series: orders by the customer's nation."""

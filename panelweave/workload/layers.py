@@ -14,27 +14,10 @@ from panelweave.workload.analytics import FAMILIES, MEASURES, PANEL_SQL, panel
 from panelweave.workload.base import FIRST, FRAME_SQL, LAST, SEVERE_SQL, Tables, mean_cents, mean_cents_sql, query
 
 
-def layers(t: Tables) -> list[pn.Layer]:
-    key = ["district_id", "year"]
-    events = t.facts.filter(F.col("l_tax") <= 0.06).groupBy(*key).agg(F.count(F.lit(1)).alias("n_events_total"), F.sum("best").alias("deaths_best"))
-    prices = t.facts.filter(F.col("l_tax") <= 0.06).groupBy(*key).agg(mean_cents(F.when(F.col("l_discount") < 0.05, F.col("l_extendedprice"))).alias("yield_mean"))
-    unrest = t.severe.groupBy(*key).agg(F.count(F.lit(1)).alias("acled_events_total"))
-    span = frame.observed_span(t.severe.join(t.spine, "district_id"), "iso3")
-    area = t.crops.filter(F.col("crop").isin("ECONOMY", "PROMO")).groupBy("district_id").agg(F.sum("area").alias("cropland_ha"))
-    national = t.national.select("iso3", "year", F.col("gdp").alias("wb_gdp"), F.col("n_orders").cast("double").alias("wb_orders"))
-    return [
-        pn.Layer("events", events, "district_year", policy="zero", checked=True),
-        pn.Layer("unrest", unrest, "district_year", policy="mask", span=span, checked=True),
-        pn.Layer("national", national, "country_year", checked=True),
-        pn.Layer("prices", prices, "district_year", checked=True),
-        pn.Layer("crops", area, "district", checked=True),
-    ]
-
-
 @query("assembled_panel", "DOM-1 JN-1 JN-2 JN-3 JN-4 JN-5 JN-7 JN-8 ORD-2", PANEL_SQL)
 def assembled_panel(t: Tables):
-    out = pn.assemble(t.spine.select("district_id", "iso3", "region"), FIRST, LAST, layers(t))
-    return pn.ordered_panel(out, ["district_id", "iso3", "region", "year", "n_events_total", "deaths_best", "acled_events_total", "wb_gdp", "wb_orders", "yield_mean", "cropland_ha"])
+    """The panel, finished: written once and read back."""
+    return stage(panel(t))
 
 
 @query(

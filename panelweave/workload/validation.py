@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelweave.operators import aggregate, checks, frame
+from panelweave.session import stage
 from panelweave.sources import contracts
 from panelweave.workload.analytics import MEASURES, PANEL_SQL, panel
 from panelweave.workload.base import FACTS_SQL, FIRST, LAST, NATIONAL_SQL, SEVERE_SQL, SPINE_SQL, Tables, YEARLY_SQL, query
@@ -39,7 +40,7 @@ _P = f"from ({PANEL_SQL})"
     ),
 )
 def structure_checks(t: Tables):
-    p = panel(t)
+    p = stage(panel(t))  # built once for all the checks of the report
     size = t.spine.count() * (LAST - FIRST + 1)
     return checks.report(
         contracts.exact_rows(p, "structure", "rows = districts x years", size),
@@ -61,7 +62,7 @@ def structure_checks(t: Tables):
     ),
 )
 def reconciliation_checks(t: Tables):
-    p = panel(t)
+    p = stage(panel(t))
     source = t.facts.filter(F.col("l_tax") <= 0.06).select(F.lit(1).alias("n_events_total"), F.col("best").alias("deaths_best"))
     spread = t.national.join(t.spine.select("iso3", "district_id"), "iso3").select(F.col("gdp").alias("wb_gdp"))
     return checks.report(
