@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelweave.llm.shared import encoded
+from panelweave.llm.shared import encoded, small_batches
 from panelweave.session import stage
 
 MIN_WORDS, REPEAT_PCT = 50, 50
@@ -114,6 +114,7 @@ def judged(measured: DataFrame, hosts: DataFrame) -> DataFrame:
 
 
 def measured(docs: DataFrame, *keep: str | Column) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(*keep, "source", counts(F.col("text")).alias("c")).select("*", "c.*").drop("c")
 
 

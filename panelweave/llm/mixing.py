@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.llm.shared import hash128, numbered, word_count
+from panelweave.llm.shared import hash128, numbered, small_batches, word_count
 from panelweave.session import stage
 
 WEIGHTS = (1, 2, 3)  # of the sources by code point, repeating
@@ -135,6 +135,7 @@ def copies(docs: DataFrame) -> DataFrame:
 
 
 def sized(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
 
 

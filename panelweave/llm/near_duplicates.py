@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelweave.llm.graph import components
-from panelweave.llm.shared import UPPER, LOWER, encoded, hash128
+from panelweave.llm.shared import LOWER, UPPER, encoded, hash128, small_batches
 from panelweave.session import stage
 
 WORDS, SEED, BITS = 3, 42, 3
@@ -121,6 +121,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``root`` is the least fingerprint of the component, ``h1`` and ``h2`` key the
     row's id and text. Copies share a fingerprint and enter the search once.
     """
+    small_batches(docs.sparkSession)
     h1, h2 = hash128(F.col("doc_id"), F.col("text"))
     rows = stage(docs.select("doc_id", h1.alias("h1"), h2.alias("h2"), fingerprint(F.col("text")).alias("fp")))
     prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.llm.shared import WORD, numbered, word_count
+from panelweave.llm.shared import WORD, numbered, small_batches, word_count
 from panelweave.session import stage
 
 BUCKETS, BUDGET = 8, 16_384
@@ -60,6 +60,7 @@ def best_cuts(longest: list[int], n: list[int], total: list[int], buckets: int =
 
 def packed(docs: DataFrame, length: Column | None = None, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
     """(doc_id, n_tokens, bucket, padded_to, batch, slot): where each document goes."""
+    small_batches(docs.sparkSession)
     n = F.coalesce(length if length is not None else word_count(F.col("text")), F.lit(0)).cast("bigint")
     lengths = stage(docs.select("doc_id", n.alias("n_tokens")))
     bins = histogram(lengths).orderBy("longest").collect()  # bounded by the bins, not by the rows

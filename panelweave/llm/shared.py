@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,6 +14,7 @@ from panelweave.session import stage
 #: A word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BATCH = 8 << 20
 DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -47,9 +48,18 @@ def hash128(*columns: Column) -> tuple[Column, Column]:
     return F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
 
 
-def encoded(texts: pa.Array) -> list[bytes | None]:
-    """The UTF-8 bytes of each text, without decoding them first."""
-    return texts.cast(pa.binary()).to_pylist()
+def small_batches(spark: SparkSession) -> None:
+    """Hold the Arrow batches that go to Python workers to ``BATCH`` bytes, however long the texts are."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > BATCH:
+        spark.conf.set(key, str(BATCH))
+
+
+def encoded(texts: pa.Array) -> Iterator[bytes | None]:
+    """The UTF-8 bytes of one text after the other; what the batch held is given back at its end."""
+    for value in texts.cast(pa.binary()):
+        yield value.as_py()
+    pa.default_memory_pool().release_unused()
 
 
 @F.arrow_udf(T.LongType())

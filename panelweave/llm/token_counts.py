@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelweave.llm.shared import encoded
+from panelweave.llm.shared import encoded, small_batches
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048  # tokens
@@ -89,8 +89,9 @@ def lengths(words: list[list[bytes]], path: str) -> list[int]:
     return [sum(memory[w] if w in memory else here[w] for w in own) for own in words]
 
 
-def token_counts(texts: list[bytes | None], path: str) -> np.ndarray:
-    out = np.zeros(len(texts), "i8")
+def token_counts(texts: Iterable[bytes | None], n: int, path: str) -> np.ndarray:
+    """Tokens of each of the ``n`` texts."""
+    out = np.zeros(n, "i8")
     owner, held, size = [], [], 0
 
     def settle():
@@ -112,10 +113,11 @@ def token_counts(texts: list[bytes | None], path: str) -> np.ndarray:
 def digest(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
     """The query's columns: doc_id, n_bytes, n_tokens, over_limit. No row is dealt out: input splits are balanced by bytes."""
     path = path or public_tokenizers.path(VOCABULARY)
+    small_batches(docs.sparkSession)
 
     @F.arrow_udf(T.LongType())
     def tokens(texts: pa.Array) -> pa.Array:
-        return pa.array(token_counts(encoded(texts), path))
+        return pa.array(token_counts(encoded(texts), len(texts), path))
 
     counted = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), tokens(F.col("text")).alias("n_tokens"))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -38,7 +38,7 @@ def test_counts(documents, word, monkeypatch):
     assert [tuple(r) for r in rows] == [(k, len((t or "").encode()), count(word, t), count(word, t) > 2048) for k, t in enumerate(TEXTS)]
     monkeypatch.setattr(token_counts, "BATCH_BYTES", 7)
     encoded = [None if t is None else t.encode() for t in TEXTS]
-    assert token_counts.token_counts(encoded, WORD).tolist() == [count(word, t) for t in TEXTS]
+    assert token_counts.token_counts(encoded, len(encoded), WORD).tolist() == [count(word, t) for t in TEXTS]
 
 
 def test_given_documents(given, word, byte):
@@ -88,4 +88,4 @@ def test_pieces_change_no_token(parts):
     t = token_counts.tokenizer(BYTE)
     assert token_files.token_ids([text.encode()], BYTE)[0] == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     w = token_counts.tokenizer(WORD)
-    assert token_counts.token_counts([text.encode()], WORD)[0] == len(w.encode(text, add_special_tokens=False).ids)
+    assert token_counts.token_counts([text.encode()], 1, WORD)[0] == len(w.encode(text, add_special_tokens=False).ids)
