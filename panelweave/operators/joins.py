@@ -7,24 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+from panelweave.session import stage
+
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 HOT_SHARE = 0.005
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, weight: Column | None = None) -> tuple[DataFrame, bool]:
-    """Mark ``df`` for broadcast only if a count shows it is small.
+    """Mark ``df`` for broadcast only if it was measured to be small, in rows and in bytes.
 
-    Only ``max_rows + 1`` rows are ever kept for the count; when fewer came,
-    they are the whole table. ``weight`` counts more than one unit per row
+    The table is staged, so it is made once whichever way the join goes, and
+    its written size is known. ``weight`` counts more than one unit per row
     (array lengths, say).
     """
-    probe = df.limit(max_rows + 1).persist()
+    held = stage(df)
     units = F.sum(weight if weight is not None else F.lit(1))
-    seen = probe.agg(F.count(F.lit(1)).alias("rows"), units.alias("units")).first()
-    if seen["rows"] <= max_rows and (seen["units"] or 0) <= max_rows:
-        return F.broadcast(probe), True
-    probe.unpersist()
-    return df, False
+    seen = held.agg(F.count(F.lit(1)).alias("rows"), units.alias("units")).first()
+    size = int(str(held._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    fits = seen["rows"] <= max_rows and (seen["units"] or 0) <= max_rows and size <= BROADCAST_BYTES
+    return (F.broadcast(held) if fits else held), fits
 
 
 def one_row_per(df: DataFrame, keys: Sequence[str]) -> DataFrame:

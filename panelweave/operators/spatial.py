@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from panelweave.functions import geo
 from panelweave.operators.aggregate import exact_quantiles
 from panelweave.operators.joins import BROADCAST_ROWS, lookup
+from panelweave.session import stage
 
 NOISE = 1e-11  # of a polygon's own area: what rounding leaves where nothing overlaps
 
@@ -162,7 +163,7 @@ def points_to_polygons(
     """
     if ident in points.columns:
         raise ValueError(f"points already have a column {ident}")
-    index = with_rivals(trapezoids(geom, ident, size).persist(), ident).select(
+    index = with_rivals(stage(trapezoids(geom, ident, size)), ident).select(
         F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), ident,
         *[F.col(c).alias(f"_{c}") for c in ("low", "high", "rivals")],
         *[F.col(f"{s}.{c}").alias(f"_{s}{c}") for s in "lr" for c in "xyk"],

@@ -43,6 +43,21 @@ def shared_folder(spark: SparkSession) -> str:
     return root
 
 
+_made: set[str] = set()
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder under the shared one; it goes when the driver's JVM ends."""
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    if folder not in _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _made.add(folder)
+    return folder
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once under the shared folder and read it back.
 
@@ -50,6 +65,6 @@ def stage(df: DataFrame) -> DataFrame:
     order-dependent choice made upstream, and gives Catalyst the true file
     size, so a later join broadcasts it only when it really is small.
     """
-    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelweave.operators import checks, spatial
 from panelweave.plans import country_layers
-from panelweave.session import shared_folder
+from panelweave.session import run_folder
 from panelweave.sources import readers, refresh, sinks
 from panelweave.workload.base import LAST, NATIONAL_SQL, SPINE_SQL, YEARLY_SQL, Tables, query
 from panelweave.workload.spatial import BOX, GRID, POINTS_SQL, WIDE, _ring, points
@@ -17,7 +17,7 @@ from panelweave.workload.spatial import BOX, GRID, POINTS_SQL, WIDE, _ring, poin
 
 def scratch(t: Tables) -> str:
     """A folder of this run's own that all executors share."""
-    return f"{shared_folder(t.spark)}/exchange-{uuid.uuid4().hex}"
+    return f"{run_folder(t.spark)}/exchange-{uuid.uuid4().hex}"
 
 
 @query("csv_contract_roundtrip", "SRC-2 SNK-2", "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
