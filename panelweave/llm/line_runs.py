@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelweave.llm.shared import ascii_lower, ascii_strip, hash128, partitions
-from panelweave.session import shared_folder, stage
+from panelweave.session import run_folder, stage
 
 MIN_CHARS, MIN_DOCS = 20, 3
 BATCHES = 4  # of the one-off query; a feed has as many as it likes
@@ -52,7 +52,7 @@ class LineRuns:
     def __init__(self, spark: SparkSession):
         self.spark, self.buckets = spark, partitions(spark)
         self.name = f"line_runs_{uuid.uuid4().hex}"
-        self.folder = f"{shared_folder(spark)}/{self.name}"
+        self.folder = f"{run_folder(spark)}/{self.name}"
         self.levels: dict[str, list[list[str]]] = {"fresh": [], "echoes": []}
         self.made = 0
 
