@@ -15,10 +15,11 @@ and gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -32,16 +33,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelweave.llm.shared import encoded, partitions
-from panelweave.llm.token_counts import balanced, tokenizer
-from panelweave.session import shared_folder, stage
+from panelweave.llm.shared import encoded, partitions, small_batches
+from panelweave.llm.token_counts import BATCH_BYTES, balanced, tokenizer
+from panelweave.session import run_folder, stage
 
 VOCABULARY, END = "byte_bpe_50k.json", 0
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY = 256, 16_384, 1 << 16  # documents, ids of each and bytes of the dictionary trained on them
 LEVEL = 3
-KNOWN, LONGEST = 1 << 19, 64  # words whose ids a worker remembers, and their bytes at most
+KNOWN, LONGEST = 1 << 20, 64  # words whose ids a worker remembers, and their bytes at most
+MARKS = [b".", b",", b";", b":", b"!", b"?"]
 MAGIC = b"PWIDS\x01"
 WIDTHS = {2: "<u2", 4: "<u4"}
+_CUT = re.compile(rb"(?<=[A-Za-z0-9.,])(?=[ \n][A-Za-z0-9])")
 _BLANK = frozenset(b" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f")
 
 MANIFEST = "shard int, name string, documents bigint, tokens bigint, bytes bigint"
@@ -58,8 +61,9 @@ def place(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 @lru_cache(maxsize=4)
-def _memory(path: str) -> dict[bytes, np.ndarray]:
-    return {}
+def _memory(path: str) -> tuple[dict[bytes, bytes], dict[bytes, bytes]]:
+    """Ids of the words met so far, at the head of a line and after a single space. A worker keeps them from task to task."""
+    return {}, {}
 
 
 def _solid(edge: bytes) -> bool:
@@ -95,29 +99,86 @@ def pieces(text: bytes) -> list[bytes]:
     return out
 
 
+def _encode(words: list[bytes], path: str) -> list[bytes]:
+    out: list[bytes] = []
+    for batch in balanced(words):
+        found = tokenizer(path).encode_batch([w.decode() for w in batch], add_special_tokens=False)
+        out += [array("I", e.ids).tobytes() for e in found]
+    return out
+
+
+def _learn(words: set[bytes], before: bytes, known: dict[bytes, bytes], path: str) -> None:
+    """The ids of the words that are new, encoded behind ``before``. A mark after an ASCII letter is a token of its own, so only the rest is encoded."""
+    fit = [w for w in words if w not in known and len(w) <= LONGEST and _solid(w)]
+    stems = {w: w[:-1] for w in fit if w[-1:] in MARKS and w[-2:-1].isalpha()}
+    new = [w for w in {stems.get(w, w) for w in fit} if w not in known]
+    known.update(zip(new, _encode([before + w for w in new], path)))
+    marks = dict(zip(MARKS, _encode(MARKS, path)))
+    known.update((w, known[stem] + marks[w[-1:]]) for w, stem in stems.items())
+
+
+def sections(text: bytes) -> Iterator[bytes]:
+    """``text`` in pieces of about ``BATCH_BYTES`` that no token reaches across."""
+    at = 0
+    while len(text) - at > BATCH_BYTES:
+        found = _CUT.search(text, at + BATCH_BYTES)
+        if not found:
+            break
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:] if at else text
+
+
 def token_ids(texts: list[bytes], path: str) -> list[bytes]:
-    """The ids of each text, as little-endian 32-bit integers."""
-    memory = _memory(path)
-    if len(memory) > KNOWN:
-        memory.clear()
-    cut = [pieces(t) if t else [] for t in texts]
-    here: dict[bytes, bytes] = {}
-    for batch in balanced({p for own in cut for p in own if p not in memory}):
-        found = tokenizer(path).encode_batch([p.decode() for p in batch], add_special_tokens=False)
-        here.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(batch, found))
-    memory.update((p, ids) for p, ids in here.items() if len(p) <= LONGEST)
-    return [b"".join([memory[p] if p in memory else here[p] for p in own]) for own in cut]
+    """The ids of each text, as 32-bit integers.
+
+    Even texts (lines of words with single spaces between, no other white
+    space) are looked up word by word; others are encoded in longer pieces.
+    """
+    head, tail = _memory(path)
+    if len(head) + len(tail) > KNOWN:
+        head.clear()
+        tail.clear()
+    split = [[line.split(b" ") for line in text.split(b"\n")] for text in texts]
+    first, later = set(), set()
+    for lines in split:
+        for words in lines:
+            first.add(words[0])
+            later.update(words[1:])
+    _learn(first, b"", head, path)
+    _learn(later, b" ", tail, path)
+    feed, out = _encode([b"\n"], path)[0], []
+    for text, lines in zip(texts, split):
+        try:
+            out.append(feed.join([head[words[0]] + b"".join(map(tail.__getitem__, words[1:])) for words in lines]))
+        except KeyError:
+            out.append(b"".join(_encode(pieces(text), path)) if text else b"")
+    return out
 
 
 def _documents(batches, path: str) -> Iterator[tuple[int | None, bytes]]:
-    """(doc_id, ids with the end id) of each row, in order, a few texts encoded at a time."""
+    """(doc_id, ids with the end id) of each row, in order, about ``BATCH_BYTES`` of text encoded at a time."""
     end = np.array([END], "<u4").tobytes()
     for batch in batches:
-        ids, texts, at = batch.column(0).to_pylist(), [t or b"" for t in encoded(batch.column(1))], 0
-        for part in balanced(texts):
-            for k, found in enumerate(token_ids(part, path)):
-                yield ids[at + k], found + end
-            at += len(part)
+        ids, held, size, before = batch.column(0).to_pylist(), [], 0, b""
+
+        def settled():
+            nonlocal before
+            for (k, last, _), found in zip(held, token_ids([part for _, _, part in held], path)):
+                before += found
+                if last:
+                    yield ids[k], before + end
+                    before = b""
+
+        for k, text in enumerate(encoded(batch.column(1))):
+            own = list(sections(text or b""))
+            for n, part in enumerate(own, 1):
+                held.append((k, n == len(own), part))
+                size += len(part)
+                if size >= BATCH_BYTES:
+                    yield from settled()
+                    held, size = [], 0
+        yield from settled()
 
 
 @dataclass(frozen=True)
@@ -163,6 +224,7 @@ def write(docs: DataFrame, folder: str, path: str) -> tuple[Format, DataFrame]:
     under the name of its attempt, so a lost or repeated attempt leaves a file
     that the manifest does not know.
     """
+    small_batches(docs.sparkSession)
     width = 2 if tokenizer(path).get_vocab_size() <= 1 << 16 else 4
     spec = Format(folder, path, width, train(docs, path, width))
     system, root = place(folder)
@@ -245,5 +307,5 @@ def read(spec: Format, manifest: DataFrame) -> DataFrame:
 
 def digest(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The query's columns, read back from files written in a folder of this run under the shared one."""
-    folder = os.path.join(shared_folder(docs.sparkSession), f"token-files-{uuid.uuid4().hex}")
+    folder = f"{run_folder(docs.sparkSession)}/token-files-{uuid.uuid4().hex}"
     return read(*write(docs, folder, path or public_tokenizers.path(VOCABULARY)))
