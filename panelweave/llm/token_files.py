@@ -40,7 +40,7 @@ from panelweave.session import run_folder, stage
 VOCABULARY, END = "byte_bpe_50k.json", 0
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY = 256, 16_384, 1 << 16  # documents, ids of each and bytes of the dictionary trained on them
 LEVEL = 3
-KNOWN, LONGEST = 1 << 20, 64  # words whose ids a worker remembers, and their bytes at most
+KNOWN, LONGEST = 3 << 19, 64  # words whose ids a worker remembers, and their bytes at most
 MARKS = [b".", b",", b";", b":", b"!", b"?"]
 MAGIC = b"PWIDS\x01"
 WIDTHS = {2: "<u2", 4: "<u4"}
@@ -107,12 +107,30 @@ def _encode(words: list[bytes], path: str) -> list[bytes]:
     return out
 
 
+@lru_cache(maxsize=4)
+def _space(path: str) -> str | None:
+    """How the vocabulary spells the space before a word, if it takes a run of ASCII letters as one piece and as it is; else None."""
+    t = tokenizer(path)
+    found = [piece for piece, _ in t.pre_tokenizer.pre_tokenize_str("Ab Cd")] if t.pre_tokenizer and t.normalizer is None else []
+    return found[1][:-2] if len(found) == 2 and found[0] == "Ab" and found[1].endswith("Cd") else None
+
+
+def _words(words: list[bytes], before: bytes, path: str) -> list[tuple[bytes, bytes]]:
+    """(word, ids) of each. A word of ASCII letters is one piece, which the vocabulary's model takes without the steps before it."""
+    space = _space(path)
+    letters = [w for w in words if w.isalpha()] if space is not None else []
+    rest = [w for w in words if not w.isalpha()] if space is not None else words
+    take, lead = tokenizer(path).model.tokenize, space if before else ""
+    found = [(w, array("I", [t.id for t in take(lead + w.decode())]).tobytes()) for w in letters]
+    return found + list(zip(rest, _encode([before + w for w in rest], path)))
+
+
 def _learn(words: set[bytes], before: bytes, known: dict[bytes, bytes], path: str) -> None:
     """The ids of the words that are new, encoded behind ``before``. A mark after an ASCII letter is a token of its own, so only the rest is encoded."""
     fit = [w for w in words if w not in known and len(w) <= LONGEST and _solid(w)]
     stems = {w: w[:-1] for w in fit if w[-1:] in MARKS and w[-2:-1].isalpha()}
     new = [w for w in {stems.get(w, w) for w in fit} if w not in known]
-    known.update(zip(new, _encode([before + w for w in new], path)))
+    known.update(_words(new, before, path))
     marks = dict(zip(MARKS, _encode(MARKS, path)))
     known.update((w, known[stem] + marks[w[-1:]]) for w, stem in stems.items())
 
