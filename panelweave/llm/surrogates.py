@@ -42,31 +42,41 @@ SYLLABLES = {
 
 _TITLES = "|".join(FEMALE + MALE)
 _NAME = r"\p{Lu}[\p{L}'’-]{1,30}(?:[ ]\p{Lu}[\p{L}'’-]{1,30}){0,2}"
-#: kind -> pattern, first that fits at a place wins. Repeats are bounded, so a long run of letters costs no more than its length.
+_SECRET = r"(?i:password|passwd|pwd|secret|token|api[_-]?key) {0,3}[=:] {0,3}[\"']?"
+#: kind -> (what it can begin with, pattern); the first that fits at a place wins. Repeats are bounded, so a long run of letters costs no more than its length.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z])",
-    "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<=(?i:password|passwd|pwd|secret|token|api_key|api-key|apikey) {0,3}[=:] {0,3}[\"']?)[A-Za-z0-9+/_.~-]{6,200}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{3,4}){3}[0-9]{0,3}(?![0-9A-Za-z])",
-    "national": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{2,4}[ .-][0-9]{2,4}(?:[ .-][0-9]{2,4}){0,2}(?![0-9A-Za-z])",
-    "mobile": r"(?<![0-9A-Za-z])\+[0-9]{8,15}(?![0-9A-Za-z])",
-    "name": rf"(?<![\p{{L}}])(?:{_TITLES})\.?[ ]{_NAME}",
+    "email": (r"[A-Za-z0-9._%+-]", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z])"),
+    "key": (r"A", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"),
+    "secret": (r"[AaPpSsTt]", _SECRET + r"[A-Za-z0-9+/_.~-]{6,200}"),
+    "iban": (r"[A-Z]", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
+    "card": (r"[0-9]", r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{3,4}){3}[0-9]{0,3}(?![0-9A-Za-z])"),
+    "national": (r"[0-9]", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
+    "ip": (r"[0-9]", r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"),
+    "phone": (r"[0-9+(]", r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{2,4}[ .-][0-9]{2,4}(?:[ .-][0-9]{2,4}){0,2}(?![0-9A-Za-z])"),
+    "mobile": (r"\+", r"(?<![0-9A-Za-z])\+[0-9]{8,15}(?![0-9A-Za-z])"),
+    "name": (r"[MFHSг]", rf"(?<![\p{{L}}])(?:{_TITLES})\.?[ ]{_NAME}"),
 }
 #: Only alphanumerics tell two of these apart; the rest is layout.
 SPACED = ["iban", "card", "national", "phone", "mobile"]
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A text without one of these has no entity.
-HINT = rf"[0-9@]|(?i:password|passwd|pwd|secret|token|api.?key)|(?:{_TITLES})\.?[ ]"
+ANY = "|".join(f"(?={first})(?:{p})" for first, p in PATTERNS.values())
+
+
+def hinted(text: Column) -> Column:
+    """False only for a text without an entity: nearly all are told by a plain search for a digit or an at sign."""
+    spoken = F.lower(text)
+    hint = text.rlike("[0-9@]")
+    for word in ("password", "passwd", "pwd", "secret", "token", "key"):
+        hint = hint | spoken.contains(word)
+    for word in ["AKIA", "ASIA", *(t for t in FEMALE + MALE if not any(t != u and u in t for u in FEMALE + MALE))]:
+        hint = hint | text.contains(word)
+    return F.coalesce(hint, F.lit(False))
 
 
 def kind_of(raw: Column) -> Column:
-    """Kind of a matched text; the look-behind of a secret is gone with its context, so it is what remains."""
-    kind = F.lit("secret")
-    for name in reversed([k for k in PATTERNS if k != "secret"]):
-        kind = F.when(raw.rlike(f"^(?:{PATTERNS[name]})$"), name).otherwise(kind)
+    """Kind of a matched text."""
+    kind = F.lit(None).cast("string")
+    for name, (_, pattern) in reversed(PATTERNS.items()):
+        kind = F.when(raw.rlike(f"^(?:{pattern})$"), name).otherwise(kind)
     return F.when(kind == "mobile", "phone").otherwise(kind)
 
 
@@ -74,7 +84,7 @@ def canonical(kind: Column, raw: Column) -> Column:
     """What all layouts of an entity share."""
     bare = F.regexp_replace(raw, r"[^0-9A-Za-z]", "")
     person = F.lower(F.regexp_replace(raw, rf"^(?:{_TITLES})\.?[ ]", ""))
-    return F.when(kind.isin(SPACED), bare).when(kind == "email", F.lower(raw)).when(kind == "name", person).otherwise(raw)
+    return F.when(kind.isin(SPACED), bare).when(kind == "email", F.lower(raw)).when(kind == "name", person).when(kind == "secret", F.regexp_replace(raw, f"^{_SECRET}", "")).otherwise(raw)
 
 
 def variant(kind: Column, raw: Column) -> Column:
@@ -195,6 +205,7 @@ def laid_out(kind: Column, raw: Column, made: Column) -> Column:
         F.when(kind.isin(SPACED), F.array_join(F.transform(chars, spaced), ""))
         .when(kind == "email", F.array_join(F.transform(chars, cased), ""))
         .when(kind == "name", F.concat(title, F.initcap(made)))
+        .when(kind == "secret", F.concat(F.regexp_extract(raw, f"^({_SECRET})", 1), made))
         .otherwise(made)
     )
 
@@ -202,27 +213,25 @@ def laid_out(kind: Column, raw: Column, made: Column) -> Column:
 def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     """(row, n_entities, text): each row of ``docs`` with its text's entities replaced.
 
-    Texts without an entity pass by. The rest are keyed by a hash of the text,
+    Texts without a hint of an entity pass by. The rest are keyed by a hash of the text,
     so copies are worked out once; entities travel without their texts and
     come back as one array a text, which its gaps are filled from.
     """
     text = F.col("row.text")
     h1, h2 = hash128(text)
-    rows = docs.select(F.struct("*").alias("row")).withColumn("matches", F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(f"({ANY})"), 1)))
-    has = F.coalesce(F.size("matches") > 0, F.lit(False))
-    hit = rows.filter(has).select("row", h1.alias("h1"), h2.alias("h2"), "matches")
-    raws = stage(hit.groupBy("h1", "h2").agg(F.first("matches").alias("matches")).select("h1", "h2", F.posexplode("matches").alias("pos", "raw")))
+    rows = docs.select(F.struct("*").alias("row"))
+    hit = rows.filter(hinted(text)).select("row", h1.alias("h1"), h2.alias("h2"))
+    raws = stage(hit.select("h1", "h2", F.posexplode(F.regexp_extract_all(text, F.lit(f"({ANY})"), 1)).alias("pos", "raw")).distinct())
     kind = kind_of(F.col("raw"))
     forms = stage(raws.select("raw").distinct().select("raw", kind.alias("kind")).select("raw", "kind", canonical(F.col("kind"), F.col("raw")).alias("canonical"), variant(F.col("kind"), F.col("raw")).alias("variant")))
     entities = forms.select("kind", "canonical", "variant").distinct()
     made = forms.join(surrogates(stage(entities), key), ["kind", "canonical", "variant"]).select("raw", laid_out(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("made"))
     # a very common entity is split by the join at run time
     lists = raws.join(stage(made), "raw").groupBy("h1", "h2").agg(F.sort_array(F.collect_list(F.struct("pos", "made"))).alias("fill"))
-    gaps = F.split(text, ANY, -1)
+    joined = hit.join(stage(lists), ["h1", "h2"], "left").withColumn("gaps", F.when(F.col("fill").isNotNull(), F.split(text, ANY, -1)))
     whole = F.array_join(F.transform(F.col("gaps"), lambda g, i: F.concat(F.when(i > 0, F.col("fill")[i - 1]["made"]).otherwise(F.lit("")), g)), "")
-    joined = hit.select("row", "h1", "h2").join(stage(lists), ["h1", "h2"]).withColumn("gaps", gaps)
-    done = joined.select("row", F.size("fill").cast("bigint").alias("n_entities"), whole.alias("text"))
-    return rows.filter(~has).select("row", F.lit(0).cast("bigint").alias("n_entities"), text.alias("text")).union(done)
+    done = joined.select("row", F.coalesce(F.size("fill"), F.lit(0)).cast("bigint").alias("n_entities"), F.coalesce(whole, text).alias("text"))
+    return rows.filter(~hinted(text)).select("row", F.lit(0).cast("bigint").alias("n_entities"), text.alias("text")).union(done)
 
 
 def digest(docs: DataFrame, key: str = KEY) -> DataFrame:
