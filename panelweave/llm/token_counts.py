@@ -30,6 +30,7 @@ VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048  # tokens
 BATCH_BYTES = 1 << 20
 KNOWN, LONGEST = 1 << 20, 64  # words that a worker remembers, and their bytes at most
+MARKS = frozenset((b".", b",", b";", b":", b"!", b"?"))
 
 _SPACE = re.compile(rb"[ \t-\r]")
 
@@ -73,16 +74,25 @@ def chunks(text: bytes) -> Iterator[bytes]:
     yield text[at:] if at else text
 
 
+def _stem(word: bytes) -> tuple[bytes, bytes]:
+    """``word`` without a mark after an ASCII letter, which is a token of its own, and the mark. The vocabulary knows no case."""
+    stem, mark = (word[:-1], word[-1:]) if word[-1:] in MARKS and word[-2:-1].isalpha() else (word, b"")
+    return stem.lower() if stem.isalpha() else stem, mark
+
+
 def lengths(words: list[list[bytes]], path: str) -> list[int]:
     """Tokens in each list of words."""
     memory = _memory(path)
     if len(memory) > KNOWN:
         memory.clear()
-    new = {w for own in words for w in own if w not in memory}
+    wanted = set().union(*words)
+    stems = {w: _stem(w) for w in wanted if w not in memory}
     here = {}
-    for batch in balanced(new):
+    for batch in balanced(w for w in {stem for stem, _ in stems.values()} if w not in memory):
         found = tokenizer(path).encode_batch([w.decode() for w in batch], add_special_tokens=False)
         here.update(zip(batch, map(len, found)))
+    for w, (stem, mark) in stems.items():
+        here[w] = (here[stem] if stem in here else memory[stem]) + (mark != b"")
     memory.update((w, n) for w, n in here.items() if len(w) <= LONGEST)
     if all(len(w) <= LONGEST for w in here):
         return [sum(map(memory.__getitem__, own)) for own in words]
