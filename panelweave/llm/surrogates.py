@@ -41,13 +41,13 @@ SYLLABLES = {
 }
 
 _TITLES = "|".join(FEMALE + MALE)
-_NAME = r"\p{Lu}[\p{L}'’-]{1,30}(?:[ ]\p{Lu}[\p{L}'’-]{1,30}){0,2}"
+_NAME = r"\p{Lu}[\p{L}'’-]++(?:[ ]\p{Lu}[\p{L}'’-]++){0,2}"
 _SECRET = r"(?i:password|passwd|pwd|secret|token|api[_-]?key) {0,3}[=:] {0,3}[\"']?"
-#: kind -> (what it can begin with, pattern); the first that fits at a place wins. Repeats are bounded, so a long run of letters costs no more than its length.
+#: kind -> (what it can begin with, pattern); the first that fits at a place wins. Repeats are bounded or give nothing back, so a long run of letters costs no more than its length.
 PATTERNS = {
     "email": (r"[A-Za-z0-9._%+-]", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z])"),
     "key": (r"A", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"),
-    "secret": (r"[AaPpSsTt]", _SECRET + r"[A-Za-z0-9+/_.~-]{6,200}"),
+    "secret": (r"[AaPpSsTt]", _SECRET + r"[A-Za-z0-9+/_.~-]{6,}+"),
     "iban": (r"[A-Z]", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     "card": (r"[0-9]", r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{3,4}){3}[0-9]{0,3}(?![0-9A-Za-z])"),
     "national": (r"[0-9]", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
@@ -94,14 +94,20 @@ def variant(kind: Column, raw: Column) -> Column:
     return F.when(kind == "name", F.concat_ws(" ", gender, script)).otherwise("")
 
 
+def _bound(value: Column, made) -> Column:
+    """``made(value)``, with the value worked out once, also where ``made`` repeats it for each character."""
+    return F.transform(F.array(value), made)[0]
+
+
 def _stream(key: str, draw: Column) -> Column:
-    """A keyed hexadecimal stream, four digits for each character of the canonical form."""
+    """A keyed hexadecimal stream in blocks of 64 digits, four digits for each character of the canonical form."""
+    seed = F.sha2(F.concat_ws("|", F.lit(key), "kind", "canonical", draw.cast("string")), 256)
     blocks = F.sequence(F.lit(0), F.floor(F.length("canonical") / F.lit(16)).cast("int"))
-    return F.array_join(F.transform(blocks, lambda b: F.sha2(F.concat_ws("|", F.lit(key), "kind", "canonical", draw.cast("string"), b.cast("string")), 256)), "")
+    return _bound(seed, lambda s: F.transform(blocks, lambda b: F.sha2(F.concat_ws("|", s, b.cast("string")), 256)))
 
 
 def _at(stream: Column, i: Column, size: Column | int) -> Column:
-    number = F.conv(F.substr(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int")
+    number = F.conv(F.substr(stream[F.shiftright(i, 4)], F.pmod(i, F.lit(16)) * 4 + 1, F.lit(4)), 16, 10).cast("int")
     return F.pmod(number, size if isinstance(size, Column) else F.lit(size))
 
 
@@ -115,13 +121,14 @@ def _like(stream: Column) -> Column:
     fixed = F.when(F.col("kind") == "email", F.length("canonical") - F.length(F.substring_index("canonical", ".", -1))).otherwise(F.length("canonical"))
     begin = F.when(F.col("kind") == "key", 4).when(F.col("kind") == "iban", 2).otherwise(0)
 
-    def swap(c: Column, i: Column) -> Column:
-        letter = F.when(hexa, _pick("abcdef", _at(stream, i, 6))).otherwise(_pick("abcdefghijklmnopqrstuvwxyz", _at(stream, i, 26)))
+    def swap(c: Column, i: Column, own: Column) -> Column:
+        letter = F.when(own["hexa"], _pick("abcdef", _at(stream, i, 6))).otherwise(_pick("abcdefghijklmnopqrstuvwxyz", _at(stream, i, 26)))
         digit = F.when((i == 0) & (F.col("kind") == "phone"), _pick("123456789", _at(stream, i, 9))).otherwise(_pick("0123456789", _at(stream, i, 10)))
         made = F.when(c.rlike("[0-9]"), digit).when(c.rlike("[a-z]"), letter).when(c.rlike("[A-Z]"), F.upper(_pick("abcdefghijklmnopqrstuvwxyz", _at(stream, i, 26)))).otherwise(c)
-        return F.when((i < begin) | (i >= fixed), c).otherwise(made)
+        return F.when((i < own["begin"]) | (i >= own["fixed"]), c).otherwise(made)
 
-    return F.array_join(F.transform(F.split("canonical", ""), swap), "")
+    whole = F.struct(hexa.alias("hexa"), begin.alias("begin"), fixed.alias("fixed"))
+    return _bound(whole, lambda own: F.array_join(F.transform(F.split("canonical", ""), lambda c, i: swap(c, i, own)), ""))
 
 
 def _luhn(digits: Column) -> Column:

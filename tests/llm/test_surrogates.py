@@ -83,3 +83,16 @@ def test_no_room_is_an_error(spark, monkeypatch):
     rows = [("phone", str(k), "") for k in range(1, 10)]
     with pytest.raises(RuntimeError):
         S.surrogates(spark.createDataFrame(rows, "kind string, canonical string, variant string"))
+
+
+def test_long_secrets_and_names(documents):
+    """The whole run goes, however long, and what differs at its end only stays two entities."""
+    run = "aB3-" * 1500
+    texts = [f"token: {run}x end", f"token: {run}y end", f"token: {run}x end", "password=" + "0a" * 100_000, "Mr " + "Ab" + "c" * 60 + " left"]
+    out = {r["doc_id"]: (r["n_entities"], r["text"]) for r in S.digest(documents(*texts)).collect()}
+    a, b, c = (out[k][1].removeprefix("token: ").removesuffix(" end") for k in range(3))
+    assert a == c != b and len(a) == len(b) == len(run) + 1 and all(n == 1 for n, _ in out.values())
+    for made in (a, b):
+        assert re.fullmatch("(?:[a-z][A-Z][0-9]-){1500}[a-z]", made) and sum(x == y for x, y in zip(made, run)) < len(run) / 2
+    assert re.fullmatch("password=(?:[0-9][a-f]){100000}", out[3][1]) and out[3][1] != texts[3]
+    assert re.fullmatch(r"Mr [A-Z][a-z]{7} left", out[4][1])
