@@ -96,3 +96,37 @@ def test_long_secrets_and_names(documents):
         assert re.fullmatch("(?:[a-z][A-Z][0-9]-){1500}[a-z]", made) and sum(x == y for x, y in zip(made, run)) < len(run) / 2
     assert re.fullmatch("password=(?:[0-9][a-f]){100000}", out[3][1]) and out[3][1] != texts[3]
     assert re.fullmatch(r"Mr [A-Z][a-z]{7} left", out[4][1])
+
+
+SHAPES = [
+    "+49 170 1234567", "+44 7700 900123", "(030) 1234567", "+1 5551234567", "5551234567", "+33 6 12 34 56 78", "01 23 45 67 89", "0170/1234567", "555-1234", "98765 43210",
+    "2001:db8::8a2e:370:7334", "2001:0DB8:0:0:0:8a2e:370:7334", "ghp_abcdefghij0123456789abcdefghij012345", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.abc-DEF_123",
+]
+CLEAN = ["2024-01-15", "15.01.2024 and 01/15/24", "2024-01-15 2024-01-16", "1999-2000 or 1914/1918", "12 34 56", "08.30-12.00", "3.14159265358", "12:30:45", "std::vector", "a bearer of certificates", "1500000 people"]
+
+
+def test_more_shapes(documents):
+    """Formats of other places are found whole; dates and the like stay."""
+    out = [r["text"] for r in S.digest(documents(*(f"see {x}, then" for x in SHAPES + CLEAN))).orderBy("doc_id").collect()]
+    for old, new in zip(SHAPES, out):
+        made = new.removeprefix("see ").removesuffix(", then")
+        assert made != old and len(made) == len(old) and re.sub("[0-9a-zA-Z]", "", made) == re.sub("[0-9a-zA-Z]", "", old) and f"see {made}, then" == new, old
+        assert ":" not in old or re.fullmatch("[0-9a-fA-F:]+", made)
+    assert out[len(SHAPES) :] == [f"see {x}, then" for x in CLEAN]
+
+
+def test_names_and_their_mentions(documents):
+    texts = [
+        "Smithson met Mr J. Smith. Smith left; J. Smith's hat and Mr J. Smith's dog.", "Prof. Dr. Anna Meyer and Dr Bob Stone; Anna Meyer, Meyer, Stone.", "Mrs Anna Meyer", "Smith and Meyer alone",
+        "Herr von der Berg, Mrs Mary-Ann O'Neil", "Mr Smith, 2024-01-15, Smith",
+    ]
+    out = {r["doc_id"]: (r["n_entities"], r["text"]) for r in S.digest(documents(*texts)).collect()}
+    got = re.fullmatch(r"Smithson met Mr ([A-Z]\.) ([A-Z]\w+)\. (\w+) left; (\S+ \w+)'s hat and Mr (\S+ \w+)'s dog\.", out[0][1])
+    assert got and got[2] == got[3] != "Smith" and got[4] == got[5] == f"{got[1]} {got[2]}" and out[0][0] == 4
+    got = re.fullmatch(r"Prof\. Dr\. (\w+) (\w+) and Dr (\w+) (\w+); (\w+ \w+), (\w+), (\w+)\.", out[1][1])
+    assert got and got[5] == f"{got[1]} {got[2]}" and got[6] == got[2] and got[7] == got[4] and out[1][0] == 5
+    assert out[2][1] == f"Mrs {got[5]}" and got[1] in S.GIVEN["female latin"] and got[3] in S.GIVEN["neutral latin"]
+    assert out[3] == (0, texts[3])
+    assert out[4][0] == 2 and not re.search("Berg|Mary|Ann|Neil", out[4][1])
+    got = re.fullmatch(r"Mr (\w+), 2024-01-15, (\w+)", out[5][1])
+    assert got[1] == got[2] != "Smith" and out[5][0] == 2
