@@ -3,8 +3,10 @@
 A rule list judges the URLs it fits, the longest rule winning. FP-growth over
 the labelled pages finds token combinations that go with bad labels; those
 with enough support and confidence block every other URL that holds all their
-tokens. Each mined rule is indexed under its rarest token, so a URL meets only
-rules it shares such a token with.
+tokens. Tokens that stand in too few bad pages are left out first, as no rule can
+hold them; tokens that stand in the same labelled pages are one class, of which
+a rule takes any. Each mined rule is indexed under its rarest class, so a URL
+meets only rules it shares such a token with.
 
 A null URL, or one without ``://``, has an empty host and path and fits no
 rule; its verdict is the method's, allow. Labels are bad if quality is 0 or
@@ -19,7 +21,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.llm.shared import LOWER, UPPER
+from panelweave.llm.shared import LOWER, UPPER, hash128
 from panelweave.session import stage
 
 #: (verdict, host, path prefix)
@@ -31,7 +33,6 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 MIN_SHARE, MIN_PAGES, MIN_CONFIDENCE = 0.002, 8, 0.6  # of the labelled pages; pages; share of a rule's pages that are bad
-FIT_TOKENS = 16  # of a labelled URL that mining looks at, host first; matching looks at all
 BAD = "bad label"
 
 
@@ -69,27 +70,45 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.coalesce(F.concat(*parts), none))
 
 
-def mined(urls: DataFrame, labels: DataFrame) -> DataFrame:
-    """(items, token): combinations that mean a bad page, under the rarest of their tokens.
+def fitted(urls: DataFrame, labels: DataFrame) -> DataFrame:
+    """(parts, rarest): combinations that mean a bad page, each part a class of tokens of which any one will do, and the rarest of them.
 
-    ``urls`` has page_id and tokens; labels meet pages on their id.
+    ``urls`` has page_id and tokens; labels meet pages on their id. A rule's
+    tokens stand together in enough bad pages, so each of them does.
     """
     bad = F.max(F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(False)))
     verdicts = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("page_id")).agg(bad.alias("bad"))
-    seen = F.slice("tokens", 1, FIT_TOKENS)
-    baskets = stage(urls.join(verdicts, "page_id").select(F.when(F.col("bad"), F.array_append(seen, F.lit(BAD))).otherwise(seen).alias("items")))
+    baskets = stage(urls.join(verdicts, "page_id").select(F.monotonically_increasing_id().alias("b"), "bad", "tokens"))
     n = baskets.count()
     least = max(MIN_PAGES, -(-n * int(MIN_SHARE * 1000) // 1000))
-    if n < least:
-        return baskets.sparkSession.createDataFrame([], "items array<string>, token string")
+    held = baskets.select("b", "bad", F.explode("tokens").alias("token"))
+    h1, h2 = hash128(F.col("b"))
+    counted = held.groupBy("token").agg(F.count(F.lit(1)).alias("freq"), F.count_if("bad").alias("wrong"), F.bit_xor(h1).alias("h1"), F.bit_xor(h2).alias("h2"))
+    alike = counted.filter(F.col("wrong") >= least).groupBy("freq", "h1", "h2")
+    classes = stage(alike.agg(F.min("token").alias("name"), F.collect_list("token").alias("members")).select("freq", "name", "members"))
+    # each has 0.2 % of the labelled pages, so there are 500 for each token of a mean URL at most
+    names = F.broadcast(classes.select(F.col("name").alias("token")))
+    kept = held.join(names, "token").groupBy("b", "bad").agg(F.collect_list("token").alias("items"))
+    fit = stage(kept.select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")))
+    m = fit.count()
+    if m < least:
+        return baskets.sparkSession.createDataFrame([], "parts array<array<string>>, rarest array<string>")
     # half a page below, as FP-growth rounds the count up from a share
-    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=MIN_CONFIDENCE).fit(baskets)
-    rules = model.associationRules.filter(F.array_contains("consequent", BAD)).select(F.col("antecedent").alias("items"))
-    common = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    return stage(
-        rules.withColumn("token", F.explode("items")).join(common, "token")
-        .groupBy("items").agg(F.min(F.struct("freq", "token")).alias("rarest")).select("items", "rarest.token")
-    )
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / m, minConfidence=MIN_CONFIDENCE).fit(fit)
+    rules = model.associationRules.filter(F.array_contains("consequent", BAD)).select(F.col("antecedent").alias("names"))
+    parted = rules.withColumn("name", F.explode("names")).join(classes, "name").groupBy("names")
+    return stage(parted.agg(F.collect_list("members").alias("parts"), F.min(F.struct("freq", "name", "members")).alias("least")).select("parts", F.col("least.members").alias("rarest")))
+
+
+def mined(urls: DataFrame, labels: DataFrame) -> DataFrame:
+    """(items): every combination of tokens that means a bad page, for reading; their number doubles with each token of a class."""
+    none = F.array(F.array().cast("array<string>"))
+
+    def some(xs: Column) -> Column:
+        return F.filter(F.aggregate(xs, none, lambda acc, x: F.concat(acc, F.transform(acc, lambda a: F.array_append(a, x)))), lambda a: F.size(a) > 0)
+
+    spread = F.aggregate("parts", none, lambda acc, p: F.flatten(F.transform(acc, lambda a: F.transform(some(p), lambda b: F.concat(a, b)))))
+    return fitted(urls, labels).select(F.explode(spread).alias("items"))
 
 
 def digest(pages: DataFrame, labels: DataFrame) -> DataFrame:
@@ -98,9 +117,9 @@ def digest(pages: DataFrame, labels: DataFrame) -> DataFrame:
     parsed = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"))
     judged = stage(parsed.select("*", rule.alias("rule"), verdict.alias("listed"), tokens_of(F.col("url"), F.col("host"), F.col("path")).alias("tokens")))
-    index = mined(judged.select("page_id", "tokens"), labels)
+    index = fitted(judged.select("page_id", "tokens"), labels).select("parts", F.explode("rarest").alias("token"))
     met = judged.filter("rule is null").select("url", "tokens", F.explode("tokens").alias("token")).join(index, "token")
-    blocked = met.filter(F.size(F.array_except("items", "tokens")) == 0).select("url").distinct().withColumn("blocked", F.lit(True))
+    blocked = met.filter(F.forall("parts", lambda p: F.arrays_overlap(p, F.col("tokens")))).select("url").distinct().withColumn("blocked", F.lit(True))
     found = judged.join(blocked, "url", "left")
     own = F.when(F.col("blocked"), "block").otherwise("allow")
     return found.select("page_id", "host", "path", "rule", F.coalesce("listed", own).alias("verdict"))

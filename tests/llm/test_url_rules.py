@@ -45,3 +45,12 @@ def test_mined_rules(spark):
     blocked = {k for k, t in tokens.items() if any(r <= t for r in rules)}
     out = U.digest(pages, labels).collect()
     assert len(out) == 243 and {r["page_id"] for r in out if r["verdict"] == "block"} == blocked
+
+
+def test_late_tokens_count(spark):
+    """Bad pages told by a query name behind a long shared path only: at place 40, with thousands of millions of combinations before it."""
+    deep = "/".join(f"s{k}" for k in range(36))
+    pages = spark.createDataFrame([(k, f"http://a.site.org/{deep}/{k}?{['fine', 'evil'][k % 2]}=1", "") for k in range(60)] + [(60, "http://b.org/?evil", "")], "page_id bigint, url string, html string")
+    labels = spark.createDataFrame([(k, 1 - k % 2, 0) for k in range(40)], "doc_id bigint, quality int, toxic int")
+    out = {r["page_id"]: r["verdict"] for r in U.digest(pages, labels).collect()}
+    assert out == {k: "block" if k % 2 or k == 60 else "allow" for k in range(61)}
