@@ -87,6 +87,17 @@ def indicator_records(t: Tables):
     return readers.read_indicators(t.spark, f"{path}/*/*.txt")
 
 
+FEATURES = 1000  # of a file, about
+
+
+def feature_files(features: DataFrame, group: str, key: str) -> DataFrame:
+    """(group, part, value): the features of each group in files of about ``FEATURES``, dealt by a hash of the key."""
+    parts = features.groupBy(F.col(group).alias("of")).agg(F.ceil(F.count(F.lit(1)) / F.lit(FEATURES)).alias("parts"))
+    # one row a group, that is a nation
+    dealt = features.join(F.broadcast(parts), F.col(group).eqNullSafe(F.col("of"))).withColumn("part", F.pmod(F.xxhash64(key), F.col("parts")))
+    return dealt.groupBy(group, "part").agg(F.to_json(F.struct(F.collect_list("feature").alias("features"))).alias("value"))
+
+
 @query(
     "geojson_features",
     "SRC-9",
@@ -98,9 +109,9 @@ def geojson_features(t: Tables):
     ring = F.transform(_ring("s_suppkey", BOX), lambda p: F.array(p["x"].cast("double"), p["y"].cast("double")))
     shape = F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
     feature = F.struct(F.struct(F.col("s_suppkey").alias("district_id")).alias("properties"), shape.alias("geometry"))
-    files = t.read("supplier").groupBy("s_nationkey").agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
-    files.write.partitionBy("s_nationkey").text(path)
-    features = readers.read_features(t.spark, f"{path}/*/*.txt", "district_id bigint")
+    files = feature_files(t.read("supplier").select("s_nationkey", "s_suppkey", feature.alias("feature")), "s_nationkey", "s_suppkey")
+    files.write.partitionBy("s_nationkey", "part").text(path)  # a file a part
+    features = readers.read_features(t.spark, f"{path}/*/*/*.txt", "district_id bigint")
     geom = spatial.polygons(readers.feature_polygons(features, ["district_id"]), ["district_id"])
     return geom.select("district_id", F.size("edges").alias("edges"), F.round("xmin", 6).alias("xmin"), F.round("ymin", 6).alias("ymin"))
 

@@ -8,6 +8,7 @@ from panelweave.functions import dates, numeric, text
 from panelweave.operators import spatial
 from panelweave.sources import contracts, readers, refresh, sinks
 from panelweave.streaming import arrivals
+from panelweave.workload import exchange
 
 
 def values(df, expr, *inputs):
@@ -216,3 +217,11 @@ def test_sorted_parquet(spark, tmp_path):
 def test_build_report(frame):
     out = sinks.build_report(frame("a int, b string", (1, None), (2, "x")), {"matched": 1})
     assert "columns: 2" in out and "50.00%" in out and "matched: 1" in out
+
+
+def test_feature_files_are_bounded(spark):
+    """A hot group of features goes to many files, each of bounded size, and none is lost."""
+    features = spark.range(20_000).select(F.when(F.col("id") < 19_900, 1).otherwise(2).alias("g"), F.col("id").alias("k"), F.struct("id").alias("feature"))
+    files = [(r["g"], [f["id"] for f in json.loads(r["value"])["features"]]) for r in exchange.feature_files(features, "g", "k").collect()]
+    assert sorted(k for _, ks in files for k in ks) == list(range(20_000)) and all((g == 1) == (k < 19_900) for g, ks in files for k in ks)
+    assert max(len(ks) for _, ks in files) < 2 * exchange.FEATURES and len(files) == 21
