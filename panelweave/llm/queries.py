@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from panelweave.llm import host_quality, line_runs, mixing, near_duplicates, packing, posting_lists, surrogates, token_counts, token_files, url_rules
+from panelweave.llm import (
+    collocations, host_quality, line_runs, mixing, near_duplicates, packing, posting_lists, surrogates, token_counts, token_files, url_rules, whitening,
+)
 from panelweave.llm.shared import table
 
 
@@ -46,11 +48,19 @@ def op10_posting_lists(spark, folder):
     return posting_lists.nearest(table(spark, folder, "embeddings"))
 
 
+def op12_whitening(spark, folder):
+    return whitening.digest(table(spark, folder, "embeddings"))
+
+
+def op13_collocations(spark, folder):
+    return collocations.digest(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_host_quality, op2_simhash, op3_url_rules, op4_packing, op5_surrogates, op6_line_runs, op7_token_counts,
-        op8_mixing, op9_token_files, op10_posting_lists,
+        op8_mixing, op9_token_files, op10_posting_lists, op12_whitening, op13_collocations,
     )
 }
-SQL = {"op1_host_quality": host_quality.SQL, "op3_url_rules": url_rules.SQL, "op4_packing": packing.SQL, "op6_line_runs": line_runs.SQL}
+SQL = {"op1_host_quality": host_quality.SQL, "op3_url_rules": url_rules.SQL, "op4_packing": packing.SQL, "op6_line_runs": line_runs.SQL, "op13_collocations": collocations.SQL}
