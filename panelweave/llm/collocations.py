@@ -331,11 +331,11 @@ with pieces as (
     select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(text, '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) as p
     from documents where text is not null
 ), lists as (
-    select lang, list_filter(string_split_regex(p, '[\x20\x09]+'), x -> x <> '') as w from pieces
+    select lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') as w from pieces
 ), grams as (
     select lang, unnest(w) as phrase, 1 as words from lists
-    union all select lang, unnest(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])), 2 from lists
-    union all select lang, unnest(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])), 3 from lists
+    union all select lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])), 2 from lists
+    union all select lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])), 3 from lists
 ), f as (
     select lang, phrase, words, count(*) as f from grams group by all
 ), totals as (

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from panelweave.llm import (
-    collocations, host_quality, line_runs, mixing, near_duplicates, packing, posting_lists, surrogates, token_counts, token_files, url_rules, whitening,
+    collocations, host_quality, line_runs, mixing, near_duplicates, packing, posting_lists, shingle_join, surrogates, token_counts, token_files,
+    url_rules, whitening,
 )
 from panelweave.llm.shared import table
 
@@ -48,6 +49,10 @@ def op10_posting_lists(spark, folder):
     return posting_lists.nearest(table(spark, folder, "embeddings"))
 
 
+def op11_shingle_join(spark, folder):
+    return shingle_join.digest(table(spark, folder, "documents"))
+
+
 def op12_whitening(spark, folder):
     return whitening.digest(table(spark, folder, "embeddings"))
 
@@ -60,7 +65,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_host_quality, op2_simhash, op3_url_rules, op4_packing, op5_surrogates, op6_line_runs, op7_token_counts,
-        op8_mixing, op9_token_files, op10_posting_lists, op12_whitening, op13_collocations,
+        op8_mixing, op9_token_files, op10_posting_lists, op11_shingle_join, op12_whitening, op13_collocations,
     )
 }
-SQL = {"op1_host_quality": host_quality.SQL, "op3_url_rules": url_rules.SQL, "op4_packing": packing.SQL, "op6_line_runs": line_runs.SQL, "op13_collocations": collocations.SQL}
+SQL = {
+    "op1_host_quality": host_quality.SQL, "op3_url_rules": url_rules.SQL, "op4_packing": packing.SQL, "op6_line_runs": line_runs.SQL,
+    "op11_shingle_join": shingle_join.SQL, "op13_collocations": collocations.SQL,
+}
