@@ -74,11 +74,49 @@ def _span(low: Column, high: Column) -> Column:
 
 
 FAR = 1e300
+REF = 0.4636476090008061  # of a cell's height: a level that vertices and grid corners keep clear of
 
-# x of an edge at height _mid; the lower end comes first, so polygons that share an edge agree on it
-_START = "if(e.y2 > e.y1, e.x1, e.x2)", "if(e.y2 > e.y1, e.y1, e.y2)"
+# Edges point upward here (level ones to the right), so polygons that share an edge agree on all of this.
 _SLOPE = "(e.x2 - e.x1) / (e.y2 - e.y1)"
-_X_AT_MID = f"({_START[0]} + {_SLOPE} * (_mid - {_START[1]}))"
+
+
+def _beyond(x: str, y: str) -> str:
+    """Edge ``e`` passes height ``y`` further east than ``x``."""
+    return f"({_turn(x, y)} < 0)"
+
+
+def _above(x: str, y: str) -> str:
+    """Edge ``e`` passes column side ``x`` higher than ``y``; the same test as ``_beyond``, so the two never disagree."""
+    return f"({_turn(x, y)} * signum(e.x2 - e.x1) > 0)"
+
+
+def _turn(x: str, y: str) -> str:
+    return f"(({x} - e.x1) * (e.y2 - e.y1) - ({y} - e.y1) * (e.x2 - e.x1))"
+
+
+def _cell_edges(geom: DataFrame, ident: str, size: float) -> DataFrame:
+    """(ident, cy, cx, edges, passing): what each cell of a polygon has of its boundary.
+
+    Edges are cut to grid rows and dealt to the cells they touch before they
+    move, one small row each. ``passing`` counts those that pass the row's
+    reference height inside the cell.
+    """
+    upward = "e.y1 < e.y2 or (e.y1 = e.y2 and e.x1 <= e.x2)"
+    edges = geom.select(ident, F.explode("edges").alias("e")).select(
+        ident, F.expr(f"if({upward}, e, named_struct('x1', e.x2, 'y1', e.y2, 'x2', e.x1, 'y2', e.y1)) as e")
+    )
+    rows = edges.withColumn("cy", _span(cell(F.col("e.y1"), size), cell(F.col("e.y2"), size)))
+    at = lambda y: f"if(e.y1 = e.y2, null, e.x1 + {_SLOPE} * ({y} - e.y1))"
+    low, high = at(f"greatest(e.y1, cy * {size}D)"), at(f"least(e.y2, (cy + 1) * {size}D)")
+    reach = rows.withColumns({"_a": F.expr(f"coalesce({low}, e.x1)"), "_b": F.expr(f"coalesce({high}, e.x2)")})
+    pad = f"({size}D * 1e-9 + greatest(abs(_a), abs(_b)) * 1e-14)"  # an edge on a cell's side belongs to both cells
+    first, last = F.expr(f"least(_a, _b) - {pad}"), F.expr(f"greatest(_a, _b) + {pad}")
+    dealt = reach.withColumn("cx", _span(cell(first, size), cell(last, size))).select(ident, "cy", "cx", "e")
+    ref = f"((cy + {REF}D) * {size}D)"
+    passes = f"(e.y1 > {ref}) <> (e.y2 > {ref}) and {_beyond(f'cx * {size}D', ref)} and not {_beyond(f'(cx + 1) * {size}D', ref)}"
+    return _shared_out(dealt, ident, "cy").groupBy(ident, "cy", "cx").agg(
+        F.collect_list("e").alias("edges"), F.count_if(F.expr(passes)).alias("passing")
+    )
 
 
 def trapezoids(geom: DataFrame, ident: str, size: float) -> DataFrame:
@@ -86,45 +124,46 @@ def trapezoids(geom: DataFrame, ident: str, size: float) -> DataFrame:
 
     Rows (cx, cy, ident, low, high, l, r): a point of the cell is inside
     exactly when low <= y < high and it lies from line ``l`` up to line ``r``.
-    A cell is sliced at the vertices in it and where the boundary meets its
-    west side; in a slice the edges to the right, in order, bound the inside
-    by turns. A cell wholly inside is one slice between two far lines.
+    A cell knows its own edges only. How many edges pass further east is a
+    running count along the row, taken at the row's reference height; it gives
+    the inside of cells that no edge touches, and the east side of the others.
+    A cell with edges is sliced at their ends and where they pass its sides; in
+    a slice the edges, in order, bound the inside by turns.
     """
-    rows = _shared_out(
-        geom.select(ident, "edges", "xmin", "xmax", _span(cell(F.col("ymin"), size), cell(F.col("ymax"), size)).alias("cy")), ident, "cy"
-    )
-    # level edges stay: they bound nothing to the left or right but their height is a cut
-    in_row = f"filter(edges, e -> least(e.y1, e.y2) < (cy + 1) * {size}D and greatest(e.y1, e.y2) > cy * {size}D)"
-    cells = rows.withColumn("edges", F.expr(in_row)).select(
-        ident, "edges", "cy", _span(cell(F.col("xmin"), size), cell(F.col("xmax"), size)).alias("cx")
+    row = Window.partitionBy(ident, "cy").orderBy(F.desc("cx"))
+    east = F.coalesce(F.sum("passing").over(row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    carried = _cell_edges(geom, ident, size).withColumns({"_east": east, "_next": F.lead("cx").over(row)})
+    far = f"named_struct('m', {{0}}D, 'x', {{0}}D, 'y', 0D, 'k', 0D)"
+    inner = (
+        carried.filter("_next < cx - 1 and (_east + passing) % 2 = 1")
+        .select(ident, "cy", _span(F.col("_next") + 1, F.col("cx") - 1).alias("cx"))
+        .selectExpr("cx", "cy", ident, f"cy * {size}D as low", f"(cy + 1) * {size}D as high", f"{far.format(-FAR)} as l", f"{far.format(FAR)} as r")
     )
-    sides = cells.selectExpr(
-        ident, "cx", "cy", f"filter(edges, e -> greatest(e.x1, e.x2) >= cx * {size}D) as edges",
-        f"cx * {size}D as west", f"(cx + 1) * {size}D as east", f"cy * {size}D as south", f"(cy + 1) * {size}D as north",
+    sides = carried.selectExpr(
+        ident, "cx", "cy", "edges", "_east", f"cx * {size}D as west", f"(cx + 1) * {size}D as east", f"cy * {size}D as south", f"(cy + 1) * {size}D as north",
+        f"(cy + {REF}D) * {size}D as _ref",
     )
-    entering = sides.withColumn("_in", F.expr("filter(edges, e -> least(e.x1, e.x2) <= east)"))
-    on_west = "transform(filter(_in, e -> least(e.x1, e.x2) < west and greatest(e.x1, e.x2) > west), e -> e.y1 + (west - e.x1) * (e.y2 - e.y1) / (e.x2 - e.x1))"
-    heights = f"concat(array(south, north), transform(_in, e -> e.y1), transform(_in, e -> e.y2), {on_west})"
-    cut = entering.withColumn("_cuts", F.expr(f"array_sort(array_distinct(filter({heights}, y -> y between south and north)))"))
+    crosses = "(e.x1 > {0}) <> (e.x2 > {0})"
+    on_side = "transform(filter(edges, e -> " + crosses + "), e -> e.y1 + ({0} - e.x1) * (e.y2 - e.y1) / (e.x2 - e.x1))"
+    heights = f"concat(array(south, north), transform(edges, e -> e.y1), transform(edges, e -> e.y2), {on_side.format('west')}, {on_side.format('east')})"
+    cut = sides.withColumn("_cuts", F.expr(f"array_sort(array_distinct(filter({heights}, y -> y between south and north)))"))
     slices = cut.select(
-        ident, "cx", "cy", "edges", "west", "east",
+        ident, "cx", "cy", "edges", "_east", "west", "east", "_ref",
         F.expr("inline(transform(slice(_cuts, 1, size(_cuts) - 1), (y, i) -> named_struct('low', y, 'high', _cuts[i + 1])))"),
     ).withColumn("_mid", (F.col("low") + F.col("high")) / 2)
-    far = f"named_struct('m', {{0}}D, 'x', {{0}}D, 'y', 0D, 'k', 0D)"
-    crossing = f"filter(edges, e -> (e.y1 > _mid) <> (e.y2 > _mid) and {_X_AT_MID} > west)"
-    line = f"named_struct('m', {_X_AT_MID}, 'x', {_START[0]}, 'y', {_START[1]}, 'k', {_SLOPE})"
-    # an edge wholly east of the cell cannot cut it
-    lines = f"array_sort(transform({crossing}, e -> if(least(e.x1, e.x2) > east, {far.format(FAR)}, {line})))"
+    # edges that pass the east side between the reference height and this one
+    between = f"size(filter(edges, e -> {crosses.format('east')} and {_above('east', '_ref')} <> {_above('east', '_mid')}))"
+    x_at_mid = f"(e.x1 + {_SLOPE} * (_mid - e.y1))"
+    line = f"named_struct('m', {x_at_mid}, 'x', e.x1, 'y', e.y1, 'k', {_SLOPE})"
+    own = f"transform(filter(edges, e -> (e.y1 > _mid) <> (e.y2 > _mid) and {_beyond('west', '_mid')} and not {_beyond('east', '_mid')}), e -> {line})"
+    lines = f"array_sort(if((_east + {between}) % 2 = 1, array_append({own}, {far.format(FAR)}), {own}))"
     bounds = f"if(size(_lines) % 2 = 1, concat(array({far.format(-FAR)}), _lines), _lines)"
     # a slice with nothing inside gives an empty array here and explodes to no row
     turns = "transform(filter(_bounds, (b, i) -> i % 2 = 0), (b, i) -> named_struct('l', b, 'r', _bounds[2 * i + 1]))"
-    return (
-        slices.withColumn("_lines", F.expr(lines))
-        .withColumn("_bounds", F.expr(bounds))
-        .select("cx", "cy", ident, "low", "high", "east", F.expr(f"inline({turns})"))
-        .filter("l.x + l.k * (low - l.y) < east or l.x + l.k * (high - l.y) < east")
-        .drop("east")
+    bordered = (
+        slices.withColumn("_lines", F.expr(lines)).withColumn("_bounds", F.expr(bounds)).select("cx", "cy", ident, "low", "high", F.expr(f"inline({turns})"))
     )
+    return bordered.unionByName(inner)
 
 
 def _at(line: Column, y: Column) -> Column:
@@ -134,22 +173,41 @@ def _at(line: Column, y: Column) -> Column:
 def with_rivals(index: DataFrame, ident: str) -> DataFrame:
     """Add to each trapezoid those of lower-named polygons that may overlap it.
 
-    Neighbours with a common edge are no rivals, so in a clean partition of
-    the plane the list is empty everywhere.
+    Trapezoids of one polygon never overlap. A cell of several is cut into
+    slabs at all their heights and each slab swept from west to east with the
+    furthest east side so far: who begins before it overlaps someone. Only
+    slabs with such a meeting are paired, inside the slab; a cell with one
+    gives slabs instead of its trapezoids. Neighbours with a common edge are
+    no rivals, so a clean partition of the plane costs the sweep only.
     """
-    other = index.select("cx", "cy", *[F.col(c).alias(f"_{c}") for c in (ident, "low", "high", "l", "r")])
-    low, high = F.greatest("low", "_low"), F.least("high", "_high")
+    spot, heights = ["cx", "cy"], F.array_sort(F.collect_set("y")).alias("cuts")
+    crowded = index.groupBy(*spot).agg(F.min(ident).alias("_a"), F.max(ident).alias("_b")).filter("_a <> _b").select(*spot)
+    several = index.join(crowded, spot)
+    cuts = several.select(*spot, F.explode(F.array("low", "high")).alias("y")).groupBy(*spot).agg(heights)
+    inside = "filter(cuts, y -> y >= low and y <= high)"
+    slabs = several.join(cuts, spot).withColumn("_y", F.expr(inside)).select(
+        *spot, ident, "l", "r", F.expr("inline(transform(slice(_y, 1, size(_y) - 1), (y, i) -> named_struct('low', y, 'high', _y[i + 1])))")
+    )
+    low, high = F.col("low"), F.col("high")
+    west_to_east = Window.partitionBy(*spot, "low").orderBy(_at(F.col("l"), low) + _at(F.col("l"), high), _at(F.col("r"), low) + _at(F.col("r"), high), ident)
+    so_far = west_to_east.rowsBetween(Window.unboundedPreceding, -1)
+    early = (_at(F.col("l"), low) < F.max(_at(F.col("r"), low)).over(so_far)) | (_at(F.col("l"), high) < F.max(_at(F.col("r"), high)).over(so_far))
+    swept = stage(slabs.withColumn("_meets", F.coalesce(early, F.lit(False))))
+    met = swept.filter("_meets").select(*spot, "low").distinct()
+
+    other = swept.join(met, [*spot, "low"], "left_semi").select(*spot, "low", *[F.col(c).alias(f"_{c}") for c in (ident, "high", "l", "r")])
 
     def passes(a: str, b: str) -> Column:
-        """Line ``a`` is left of line ``b`` somewhere in the common slice."""
+        """Line ``a`` is left of line ``b`` somewhere in the slab."""
         return (_at(F.col(a), low) < _at(F.col(b), low)) | (_at(F.col(a), high) < _at(F.col(b), high))
 
-    overlap = (F.col(f"_{ident}") < F.col(ident)) & (low < high) & passes("l", "_r") & passes("_l", "r")
-    pairs = index.select("cx", "cy", ident, "low", "l", "r", "high").join(other, ["cx", "cy"]).filter(overlap)
-    rivals = pairs.groupBy("cx", "cy", ident, "low", "l").agg(
-        F.collect_list(F.struct(F.col("_low").alias("low"), F.col("_high").alias("high"), F.col("_l").alias("l"), F.col("_r").alias("r"))).alias("rivals")
-    )
-    return index.join(rivals, ["cx", "cy", ident, "low", "l"], "left")
+    overlap = (F.col(f"_{ident}") < F.col(ident)) & passes("l", "_r") & passes("_l", "r")
+    rival = F.struct(low.alias("low"), F.col("_high").alias("high"), F.col("_l").alias("l"), F.col("_r").alias("r"))
+    key = [*spot, ident, "low", "l"]
+    rivals = swept.select(*key, "r", "high").join(other, [*spot, "low"]).filter(overlap).groupBy(*key).agg(F.collect_list(rival).alias("rivals"))
+    torn = rivals.select(*spot).distinct()
+    clean = index.join(torn, spot, "left_anti").withColumn("rivals", F.lit(None).cast(rivals.schema["rivals"].dataType))
+    return clean.select(*index.columns, "rivals").unionByName(swept.join(torn, spot, "left_semi").join(rivals, key, "left").select(*index.columns, "rivals"))
 
 
 def points_to_polygons(
