@@ -134,12 +134,13 @@ def trapezoids(geom: DataFrame, ident: str, size: float) -> DataFrame:
     east = F.coalesce(F.sum("passing").over(row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     carried = _cell_edges(geom, ident, size).withColumns({"_east": east, "_next": F.lead("cx").over(row)})
     far = f"named_struct('m', {{0}}D, 'x', {{0}}D, 'y', 0D, 'k', 0D)"
-    inner = (
-        carried.filter("_next < cx - 1 and (_east + passing) % 2 = 1")
-        .select(ident, "cy", _span(F.col("_next") + 1, F.col("cx") - 1).alias("cx"))
-        .selectExpr("cx", "cy", ident, f"cy * {size}D as low", f"(cy + 1) * {size}D as high", f"{far.format(-FAR)} as l", f"{far.format(FAR)} as r")
-    )
-    sides = carried.selectExpr(
+    # the cells up to the next one with edges come along where they are inside
+    inside = "_next < cx - 1 and (_east + passing) % 2 = 1"
+    each = carried.withColumn("_own", F.col("cx")).withColumn("cx", F.explode(F.expr(f"if({inside}, sequence(_next + 1, cx), array(cx))")))
+    filled = each.withColumns({
+        "_east": F.expr("if(cx = _own, _east, _east + passing)"), "edges": F.expr("if(cx = _own, edges, slice(edges, 1, 0))"),
+    })
+    sides = filled.selectExpr(
         ident, "cx", "cy", "edges", "_east", f"cx * {size}D as west", f"(cx + 1) * {size}D as east", f"cy * {size}D as south", f"(cy + 1) * {size}D as north",
         f"(cy + {REF}D) * {size}D as _ref",
     )
@@ -160,10 +161,7 @@ def trapezoids(geom: DataFrame, ident: str, size: float) -> DataFrame:
     bounds = f"if(size(_lines) % 2 = 1, concat(array({far.format(-FAR)}), _lines), _lines)"
     # a slice with nothing inside gives an empty array here and explodes to no row
     turns = "transform(filter(_bounds, (b, i) -> i % 2 = 0), (b, i) -> named_struct('l', b, 'r', _bounds[2 * i + 1]))"
-    bordered = (
-        slices.withColumn("_lines", F.expr(lines)).withColumn("_bounds", F.expr(bounds)).select("cx", "cy", ident, "low", "high", F.expr(f"inline({turns})"))
-    )
-    return bordered.unionByName(inner)
+    return slices.withColumn("_lines", F.expr(lines)).withColumn("_bounds", F.expr(bounds)).select("cx", "cy", ident, "low", "high", F.expr(f"inline({turns})"))
 
 
 def _at(line: Column, y: Column) -> Column:

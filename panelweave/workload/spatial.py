@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.functions import numeric
-from panelweave.operators import frame, joins, reshape, select, spatial
+from panelweave.operators import frame, joins, reshape, rings, select, spatial
 from panelweave.plans import spatial_layers
 from panelweave.workload.base import FIRST, FRAME_SQL, LAST, SPINE_SQL, Tables, query
 from panelweave.workload.panels import KINDS
@@ -32,11 +32,11 @@ def _ring(key: str, shape) -> Column:
 
 
 def district_rings(t: Tables) -> DataFrame:
-    rings = F.array(*[
+    each = F.array(*[
         F.struct(F.lit(hole).alias("is_hole"), _ring("s_suppkey", shape).alias("ring"))
         for hole, shape in ((False, OUTER), (True, HOLE), (False, ISLAND))
     ])
-    return t.read("supplier").select(F.col("s_suppkey").alias("district_id"), F.inline(rings))
+    return t.read("supplier").select(F.col("s_suppkey").alias("district_id"), F.inline(each))
 
 
 def districts(t: Tables) -> DataFrame:
@@ -44,8 +44,8 @@ def districts(t: Tables) -> DataFrame:
 
 
 def boxes(t: Tables, table: str, key: str, shape, ident: str, *extra: str) -> DataFrame:
-    rings = t.read(table).select(F.col(key).alias(ident), *extra, F.lit(False).alias("is_hole"), _ring(key, shape).alias("ring"))
-    return spatial.polygons(rings, [ident, *extra])
+    outlines = t.read(table).select(F.col(key).alias(ident), *extra, F.lit(False).alias("is_hole"), _ring(key, shape).alias("ring"))
+    return spatial.polygons(outlines, [ident, *extra])
 
 
 def points(t: Tables, *extra: str) -> DataFrame:
@@ -358,14 +358,12 @@ def two_source_presence(t: Tables):
     return found.select("district_id", "n_gold", "has_gold")
 
 
-@query(
-    "ring_faults",
-    "SP-9",
-    """select s_suppkey as district_id, 'zero area' as fault from supplier where s_acctbal < 0
-    union all select s_suppkey, 'too few points' from supplier where s_acctbal >= 9000
-    union all select s_suppkey, 'not closed' from supplier where s_acctbal >= 8000 and s_acctbal < 9000""",
-)
-def ring_faults(t: Tables):
+BOW = [(0.1, 0.1), (0.9, 0.8), (0.9, 0.1), (0.1, 0.6), (0.1, 0.1)]
+NEST = [OUTER, HOLE, [(0.35, 0.35), (0.45, 0.35), (0.45, 0.45), (0.35, 0.45), (0.35, 0.35)], [(0.38, 0.38), (0.42, 0.38), (0.42, 0.42), (0.38, 0.42), (0.38, 0.38)], ISLAND]
+
+
+def flawed_rings(t: Tables) -> DataFrame:
+    """A ring for every district; the account balance decides what is wrong with it."""
     full = _ring("s_suppkey", BOX)
     x, y = _corner("s_suppkey")
     line = F.array(*[F.struct((x + d).alias("x"), (y + d).alias("y")) for d in (0.0, 0.5, 1.0, 0.0)])
@@ -373,9 +371,46 @@ def ring_faults(t: Tables):
         F.when(F.col("s_acctbal") < 0, line)
         .when(F.col("s_acctbal") >= 9000, F.slice(full, 1, 3))
         .when(F.col("s_acctbal") >= 8000, F.slice(full, 1, 4))
+        .when(F.col("s_acctbal") >= 5000, _ring("s_suppkey", BOW))
         .otherwise(full)
     )
-    return spatial.ring_faults(t.read("supplier").select(F.col("s_suppkey").alias("district_id"), broken.alias("ring"))).select("district_id", "fault")
+    return t.read("supplier").select(F.col("s_suppkey").alias("district_id"), broken.alias("ring"))
+
+
+@query(
+    "ring_faults",
+    "SP-9",
+    """select s_suppkey as district_id, 'zero area' as fault from supplier where s_acctbal < 0
+    union all select s_suppkey, 'too few points' from supplier where s_acctbal >= 9000
+    union all select s_suppkey, 'not closed' from supplier where s_acctbal >= 8000 and s_acctbal < 9000
+    union all select s_suppkey, 'self-crossing' from supplier where s_acctbal >= 5000 and s_acctbal < 8000""",
+)
+def ring_faults(t: Tables):
+    return rings.faults(flawed_rings(t), ["district_id"]).select("district_id", "fault")
+
+
+@query(
+    "ring_crossings",
+    "SP-9",
+    f"""select s_suppkey as district_id, 1::bigint as crossings, round(s_suppkey % {WIDE} + 0.65 / 1.5, 6)::double as x,
+      round(floor(s_suppkey / {WIDE}) + 0.1 + 0.875 * (0.65 / 1.5 - 0.1), 6)::double as y
+    from supplier where s_acctbal >= 5000 and s_acctbal < 8000""",
+)
+def ring_crossings(t: Tables):
+    return rings.crossings(flawed_rings(t).filter(F.size("ring") > 4), ["district_id"]).select("district_id", "crossings", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+@query(
+    "ring_parts",
+    "SP-9",
+    f"""select s_suppkey as district_id, number, depth::bigint as depth, parent::double as parent, is_hole, part
+    from supplier, (values (0, 0, null, false, 0), (1, 1, 0, true, 0), (2, 2, 1, false, 2), (3, 3, 2, true, 2), (4, 0, null, false, 4)) as v(number, depth, parent, is_hole, part)
+    where number <> 3 or s_suppkey % 2 = 0""",
+)
+def ring_parts(t: Tables):
+    each = F.array(*[F.struct(F.lit(k).alias("number"), _ring("s_suppkey", shape).alias("ring")) for k, shape in enumerate(NEST)])
+    flat = t.read("supplier").select(F.col("s_suppkey").alias("district_id"), F.inline(each)).filter("number <> 3 or district_id % 2 = 0")
+    return rings.parts(flat, "district_id", "number", 1.0).select("district_id", "number", "depth", F.col("parent").cast("double").alias("parent"), "is_hole", "part")
 
 
 @query(
