@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from panelweave.session import stage
 
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 HOT_SHARE = 0.005
+TRACKED = 10_000  # keys a frequent-items sketch follows: its error is far below the share
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, weight: Column | None = None) -> tuple[DataFrame, bool]:
@@ -42,11 +43,29 @@ def one_row_per(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of all rows: never more than ``1/share`` of them."""
+    """Keys holding more than ``share`` of all rows, counted exactly: never more than ``1/share`` of them."""
     total = df.count()
     return df.groupBy(*on).count().filter(F.col("count") > F.lit(share * total)).select(*on)
 
 
+def staged_with_hot(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> tuple[DataFrame, list[int]]:
+    """``df`` staged, and the hashes of the keys that hold more than ``share`` of its rows.
+
+    A frequent-items sketch of the keys' hashes rides on the pass that writes
+    the table; tasks keep ``TRACKED`` items each and merge. No key beyond the
+    share escapes it, and one just below may come along, which costs copies
+    of its partners but changes no row.
+    """
+    seen = Observation()
+    most = int(2 / share)
+    sketch = F.expr(f"approx_top_k(_key, {most}, {max(TRACKED, 4 * most)})")
+    # the key's hash only exists for the sketch; a metric must not change what is written
+    keyed = df.withColumn("_key", F.xxhash64(*on)).observe(seen, F.count(F.lit(1)).alias("rows"), sketch.alias("top"))
+    held = stage(keyed.drop("_key"))
+    found = seen.get
+    return held, [r["item"] for r in found["top"] or [] if r["count"] > share * found["rows"]]
+
+
 def _join_where(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, where: Column | None) -> DataFrame:
     """Equi-join on same-named keys with an optional further condition."""
     if where is None:
@@ -70,20 +89,16 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join whose hot left keys are spread over ``salts`` buckets.
 
-    Only rows of ``right`` under a hot key are repeated; every other key
+    The left side is read once: it is staged while its hot keys are found. Only rows of ``right`` under a hot key are repeated; every other key
     keeps one copy. The salt is a hash of ``spread_by``, so a retried task
     sends each row to the same bucket.
     """
-    # at most 1/share keys can be hot, so this broadcast is bounded by construction
-    hot = F.broadcast(hot_keys(left, on, share).withColumn("_hot", F.lit(True)))
+    left, hot = staged_with_hot(left, on, share)
+    is_hot = F.xxhash64(*on).isin(hot) if hot else F.lit(False)
     bucket = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_left = (
-        left.join(hot, list(on), "left")
-        .withColumn("_salt", F.when(F.col("_hot"), bucket).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    salted_right = right.join(hot, list(on), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_left = left.withColumn("_salt", F.when(is_hot, bucket).otherwise(F.lit(0)))
+    salted_right = right.withColumn("_salt", F.explode(copies))
     return _join_where(salted_left, salted_right, [*on, "_salt"], how, where).drop("_salt")
 
 

@@ -119,6 +119,20 @@ def test_lookup_takes_the_shuffle_way_when_large(frame, spark):
     assert out.filter(F.col("v") == F.col("k") + 1).count() == 1000
 
 
+def test_hot_keys_are_found_while_the_table_is_written(spark):
+    df = spark.range(50_000).select(F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 100 == 1, 6).otherwise(F.col("id")).alias("k"), "id")
+    held, hot = joins.staged_with_hot(df, ["k"], 0.01)
+    want = [r["h"] for r in spark.sql("select xxhash64(5L) as h union all select xxhash64(6L)").collect()]
+    assert want[0] in hot and set(hot) <= set(want) and held.columns == ["k", "id"] and held.count() == 50_000
+    assert joins.staged_with_hot(df.limit(0), ["k"])[1] == []
+
+
+def test_salted_join_reads_its_left_side_once(spark):
+    left = spark.range(1000).select((F.col("id") % 2).alias("k"), "id")
+    out = joins.salted_join(left, spark.range(2).withColumnRenamed("id", "k").withColumn("v", F.col("k")), ["k"], ["id"], "left", salts=8)
+    assert out.count() == 1000 and "Range (0, 1000" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_keys(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("k"))
     assert [r["k"] for r in joins.hot_keys(df, ["k"], 0.1).collect()] == [1]
