@@ -19,11 +19,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,9 +33,9 @@ from panelweave.session import stage
 
 LEAST, COVER, TOP = 10, 50, 2000  # occurrences of a phrase; per cent of them in a longer one that drop it; phrases a language
 BURST = 4096  # phrase ends in a container before it bursts
-HELD = 1 << 20  # phrases a task holds before it spills
-WORDS = 1 << 19  # word ids a task gives out before it spills all and begins anew
-GATHER = 1 << 20  # word positions counted at a time
+HELD = 1 << 19  # trie leaves a task holds before it spills
+WORDS = 3 << 17  # word ids a task gives out before it spills all and begins anew
+GATHER = 1 << 19  # word positions counted at a time
 BLOCK = 1 << 16  # words of a long piece taken at a time
 PARTS, SALT = 8, 16  # prefix partitions for each shuffle partition; pieces of a hot prefix
 SHARDS = 64  # pieces of a language that are ranked apart before its first phrases meet
@@ -42,18 +43,20 @@ SHARDS = 64  # pieces of a language that are ranked apart before its first phras
 ID = 21  # bits of a word id and the mark for none
 _NONE = 0
 _MASK = (1 << ID) - 1
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], "u8")
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _PIECE = re.compile(rb"[^.,;:!?\x0a-\x0d]+")
 _WORD = re.compile(rb"[^ \t]+")
-RUN = "part int, lang string, run binary"
+RUN = "part int, lang string, phrases binary, counts binary"
 
 
 class HatTrie:
-    """Counts of phrases of one to three word ids; ids begin at 1.
+    """Counts of word positions by the three word ids from there on; ids begin at 1, fewer words end in none.
 
     ``roots`` maps a first word to its container, a dict from the packed rest
-    of the phrase (second id, third id) to a count, or, once burst, to a dict
-    from the second word to such a container.
+    (second id, third id) to a count, or, once burst, to a dict from the second
+    word to such a container. Shorter phrases are prefixes: their counts are
+    the sums of their leaves, taken when these leave.
     """
 
     def __init__(self) -> None:
@@ -67,28 +70,34 @@ class HatTrie:
         starts = np.flatnonzero(np.concatenate(([True], firsts[1:] != firsts[:-1]))) if len(keys) else []
         rest = (keys & ((1 << 2 * ID) - 1)).tolist()
         counts, ends = counts.tolist(), [*starts[1:], len(keys)]
-        for first, a, b in zip(firsts[starts].tolist(), starts, ends):
-            self._grow(first, rest[a:b], counts[a:b])
-
-    def _grow(self, first: int, rest: list[int], counts: list[int]) -> None:
-        root = self.roots.setdefault(first, {})
-        if first in self.burst:
-            for r, c in zip(rest, counts):
-                leaf = root.setdefault(r >> ID, {})
-                before = len(leaf)
-                leaf[r] = leaf.get(r, 0) + c
-                self.size += len(leaf) - before
-            return
-        before, get = len(root), root.get
-        for r, c in zip(rest, counts):
-            root[r] = get(r, 0) + c
-        self.size += len(root) - before
-        if len(root) > BURST:
-            leaves: dict[int, dict[int, int]] = {}
-            for r, c in root.items():
-                leaves.setdefault(r >> ID, {})[r] = c
-            self.roots[first] = leaves
-            self.burst.add(first)
+        roots, burst = self.roots, self.burst
+        for first, a, b in zip(firsts[starts].tolist(), starts.tolist() if len(keys) else [], ends):
+            root = roots.get(first)
+            if root is None:
+                root = roots[first] = dict(zip(rest[a:b], counts[a:b]))
+                self.size += b - a
+                if len(root) > BURST:
+                    self._burst(first)
+            elif first in burst:
+                for r, c in zip(rest[a:b], counts[a:b]):
+                    leaf = root.setdefault(r >> ID, {})
+                    before = len(leaf)
+                    leaf[r] = leaf.get(r, 0) + c
+                    self.size += len(leaf) - before
+            else:
+                before, get = len(root), root.get
+                for k in range(a, b):
+                    root[rest[k]] = get(rest[k], 0) + counts[k]
+                self.size += len(root) - before
+                if len(root) > BURST:
+                    self._burst(first)
+
+    def _burst(self, first: int) -> None:
+        leaves: dict[int, dict[int, int]] = {}
+        for r, c in self.roots[first].items():
+            leaves.setdefault(r >> ID, {})[r] = c
+        self.roots[first] = leaves
+        self.burst.add(first)
 
     def subtrees(self) -> list[tuple[int, int, int | None]]:
         """(size, first word, second word) of every container, largest first."""
@@ -110,6 +119,18 @@ class HatTrie:
         return leaf
 
 
+class WordIds(dict):
+    """Word to id; a new word gets the next one."""
+
+    def __init__(self) -> None:
+        self.words: list[bytes] = [b""]
+
+    def __missing__(self, word: bytes) -> int:
+        at = self[word] = len(self.words)
+        self.words.append(word)
+        return at
+
+
 class Counting:
     """One task's tries, its word ids, and the runs that leave it."""
 
@@ -118,32 +139,25 @@ class Counting:
         self._clear()
 
     def _clear(self) -> None:
-        self.ids: dict[bytes, int] = {}
-        self.words: list[bytes] = [b""]
+        self.ids = WordIds()
+        self.words = self.ids.words
         self.tries: dict[str, HatTrie] = {}
         self.waiting: dict[str, list[int]] = {}
         self.gathered = 0
 
     def text(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         """Count a text; what has to leave is yielded."""
-        ids, words = self.ids, self.words
-        waiting = self.waiting.setdefault(lang, [])
+        waiting, ids = self.waiting.setdefault(lang, []), self.ids.__getitem__
         for piece in _PIECE.finditer(text):
             for found, beyond in _blocks(piece.group().translate(_FOLD)):
-                for w in found:
-                    at = ids.get(w)
-                    if at is None:
-                        at = ids[w] = len(words)
-                        words.append(w)
-                    waiting.append(at)
+                waiting.extend(map(ids, found))
                 for k in range(len(found) - beyond, len(found)):
                     waiting[k - len(found)] *= -1
                 waiting.append(_NONE)
                 self.gathered += len(found) + 1
-                if self.gathered >= GATHER or len(words) >= WORDS:
+                if self.gathered >= GATHER or len(self.words) >= WORDS:
                     yield from self._settle()
-                    ids, words = self.ids, self.words
-                    waiting = self.waiting.setdefault(lang, [])
+                    waiting, ids = self.waiting.setdefault(lang, []), self.ids.__getitem__
 
     def _settle(self) -> Iterator[pa.RecordBatch]:
         """Move the gathered positions into the tries, then spill what is too much."""
@@ -153,10 +167,7 @@ class Counting:
             one, two, three = a[:-2], np.abs(a[1:-1]), np.abs(a[2:])
             three = np.where(two == _NONE, _NONE, three)
             live = one > _NONE  # a negative id only continues phrases: they begin in the next block
-            one, two, three = one[live], two[live], three[live]
-            pairs, triples = two != _NONE, three != _NONE
-            keys = np.concatenate((one << 2 * ID, (one << 2 * ID | two << ID)[pairs], (one << 2 * ID | two << ID | three)[triples]))
-            trie.add(*np.unique(keys, return_counts=True))
+            trie.add(*np.unique((one << 2 * ID | two << ID | three)[live], return_counts=True))
         self.waiting, self.gathered = {}, 0
         if len(self.words) >= WORDS:
             yield from self.rest()
@@ -180,26 +191,51 @@ class Counting:
 
     def _runs(self, subtrees: list[tuple[str, int, dict[int, int]]]) -> Iterator[pa.RecordBatch]:
         """Sorted runs of whole subtrees, one for each prefix partition and language."""
-        words, parts, out = self.words, self.parts, {}
-        for lang, first, leaf in subtrees:
-            head = words[first]
-            total = 0
-            for rest, count in leaf.items():
-                second, third = rest >> ID, rest & _MASK
-                if not second:
-                    phrase, total = head, count
-                elif not third:
-                    phrase = b"%b %b" % (head, words[second])
-                else:
-                    phrase = b"%b %b %b" % (head, words[second], words[third])
-                at = prefix_part(lang, head, words[second], words[third], parts)
-                out.setdefault((at, lang), []).append(b"%b\t%d" % (phrase, count))
-            if total:  # all occurrences of a language's words are counted as those of the empty phrase
-                out.setdefault((prefix_part(lang, b"", b"", b"", parts), lang), []).append(b"\t%d" % total)
-        rows = [(at, lang, b"\n".join(sorted(run))) for (at, lang), run in out.items()]
-        for at in range(0, len(rows), 1024):
-            part, lang, run = zip(*rows[at : at + 1024])
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(lang, pa.string()), pa.array(run, pa.binary())], ["part", "lang", "run"])
+        if not subtrees:
+            return
+        words = pa.array(self.words, pa.binary())
+        codes = np.fromiter(map(crc32, self.words), "u8", len(self.words))
+        rank = np.empty(len(self.words), "i8")
+        rank[pc.sort_indices(words).to_numpy()] = np.arange(len(self.words))
+        for lang in sorted({t[0] for t in subtrees}):
+            own = [(first, leaf) for at, first, leaf in subtrees if at == lang]
+            sizes = [len(leaf) for _, leaf in own]
+            rest = np.fromiter(chain.from_iterable(leaf.keys() for _, leaf in own), "i8", sum(sizes))
+            counts = np.fromiter(chain.from_iterable(leaf.values() for _, leaf in own), "i8", sum(sizes))
+            first = np.repeat([f for f, _ in own], sizes)
+            first, second, third, counts = _with_prefixes(first << 2 * ID | rest, counts)
+            part = prefix_parts(lang, codes[first], codes[second], codes[third], self.parts)
+            order = np.lexsort((rank[first] << 2 * ID | rank[second] << ID | rank[third], part))
+            first, second, third, part, counts = (x[order] for x in (first, second, third, part, counts))
+            taken = [words.take(pa.array(ids, mask=ids == _NONE)) for ids in (first, second, third)]
+            phrases = pc.binary_join_element_wise(*taken, b" ", null_handling="skip")
+            starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+            ends = np.append(starts[1:], len(part))
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(starts, len(part)), pa.int32()), phrases), b"\n")
+            values = [counts[a:b].tobytes() for a, b in zip(starts, ends)]
+            yield _run_rows(part[starts].astype("i4"), lang, joined, values)
+            total = counts[second == _NONE].sum()  # all occurrences of a language's words are counted as those of the empty phrase
+            none = np.zeros(1, "u8")
+            yield _run_rows(prefix_parts(lang, none, none, none, self.parts).astype("i4"), lang, pa.array([b""], pa.binary()), [total.tobytes()])
+
+
+def _with_prefixes(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First, second and third words and counts of all phrases of a trie's leaves: a prefix occurs as often as its leaves together."""
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    phrases, sums = [keys[keys & _MASK != _NONE]], [counts[keys & _MASK != _NONE]]
+    for cut in (ID, 2 * ID):
+        heads = keys >> cut
+        starts = np.flatnonzero(np.concatenate(([True], heads[1:] != heads[:-1])))
+        whole = heads[starts] & _MASK != _NONE
+        phrases.append(heads[starts][whole] << cut)
+        sums.append(np.add.reduceat(counts, starts)[whole])
+    keys = np.concatenate(phrases)
+    return keys >> 2 * ID, keys >> ID & _MASK, keys & _MASK, np.concatenate(sums)
+
+
+def _run_rows(parts: np.ndarray, lang: str, phrases: pa.Array, counts: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([lang] * len(parts), pa.string()), phrases, pa.array(counts, pa.binary())], ["part", "lang", "phrases", "counts"])
 
 
 def _blocks(piece: bytes) -> Iterator[tuple[list[bytes], int]]:
@@ -215,14 +251,14 @@ def _blocks(piece: bytes) -> Iterator[tuple[list[bytes], int]]:
         block = more
 
 
-def prefix_part(lang: str, first: bytes, second: bytes, third: bytes, parts: int) -> int:
-    """Partition of a phrase's prefix; of one prefix, third words go to ``SALT`` neighbours."""
-    head = crc32(b"%b %b" % (first, second), crc32(lang.encode()))
-    return (head + crc32(third) % SALT) % parts
+def prefix_parts(lang: str, first: np.ndarray, second: np.ndarray, third: np.ndarray, parts: int) -> np.ndarray:
+    """Partitions of phrases by their prefixes, from the words' hashes; of one prefix, third words go to ``SALT`` neighbours."""
+    head = ((first ^ np.uint64(crc32(lang.encode()))) * _ODD[0] + second) * _ODD[1]
+    return ((head >> np.uint64(32)) + third % np.uint64(SALT)) % np.uint64(parts)
 
 
 def counted(docs: DataFrame, parts: int) -> DataFrame:
-    """(part, lang, run): every task's sorted runs."""
+    """(part, lang, phrases, counts): every task's sorted runs, a run's phrases in lines and its counts beside them."""
 
     def count(batches):
         tries = Counting(parts)
@@ -236,49 +272,38 @@ def counted(docs: DataFrame, parts: int) -> DataFrame:
     return texts.mapInArrow(count, RUN)
 
 
-def merge(runs: list[bytes], least: int) -> Iterator[tuple[str, int]]:
-    """Phrases of several sorted runs with the sums of their counts, the empty phrase and those from ``least`` on."""
-    entries: list[bytes] = []
-    for run in runs:
-        entries += run.split(b"\n")
-    entries.sort()  # finds the runs and merges them
-    before, total = None, 0
-    for entry in entries:
-        phrase, _, count = entry.rpartition(b"\t")
-        if phrase == before:
-            total += int(count)
-            continue
-        if before is not None and (total >= least or not before):
-            yield before.decode(), total
-        before, total = phrase, int(count)
-    if before is not None and (total >= least or not before):
-        yield before.decode(), total
+def merge(phrases: list[bytes], counts: list[bytes], least: int) -> tuple[pa.Array, np.ndarray]:
+    """Phrases of several runs of one partition in order, with the sums of their counts: the empty phrase and those from ``least`` on."""
+    entries = pa.array(b"\n".join(phrases).split(b"\n"), pa.binary())
+    order = pc.sort_indices(entries)
+    entries, each = entries.take(order), np.frombuffer(b"".join(counts), "i8")[order.to_numpy()]
+    starts = np.flatnonzero(np.concatenate(([True], pc.not_equal(entries[1:], entries[:-1]).to_numpy(zero_copy_only=False))))
+    sums = np.add.reduceat(each, starts)
+    kept = (sums >= least) | (pc.binary_length(entries).to_numpy()[starts] == 0)
+    return entries.take(pa.array(starts[kept])), sums[kept]
 
 
 def frequencies(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(lang, phrase, f): phrases of up to three words found ``least`` times or more; of the empty phrase, all words."""
     parts = partitions(docs.sparkSession) * PARTS
 
-    def merged(batches):
-        held, key = [], None
-
-        def out():
-            rows = list(merge(held, least))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([key[1]] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())],
-                ["lang", "phrase", "f"],
-            )
+    def out(key, phrases, counts):
+        found, sums = merge(phrases, counts, least)
+        return pa.RecordBatch.from_arrays([pa.array([key[1]] * len(sums), pa.string()), found.cast(pa.string()), pa.array(sums)], ["lang", "phrase", "f"])
 
+    def merged(batches):
+        phrases, counts, key = [], [], None
         for batch in batches:
-            for part, lang, run in zip(*(batch.column(c) for c in ("part", "lang", "run"))):
+            for part, lang, phrase, count in zip(*(batch.column(c) for c in ("part", "lang", "phrases", "counts"))):
                 here = part.as_py(), lang.as_py()
-                if here != key and held:
-                    yield out()
-                    held = []
+                if here != key and phrases:
+                    yield out(key, phrases, counts)
+                    phrases, counts = [], []
                 key = here
-                held.append(run.as_py())
-        if held:
-            yield out()
+                phrases.append(phrase.as_py())
+                counts.append(count.as_py())
+        if phrases:
+            yield out(key, phrases, counts)
 
     runs = counted(docs, parts).repartition(partitions(docs.sparkSession), "part").sortWithinPartitions("part", "lang")
     return runs.mapInArrow(merged, "lang string, phrase string, f bigint")

@@ -68,14 +68,14 @@ def test_bursting_spilling_and_blocks_change_nothing(setting, monkeypatch):
     batches = [b for text, lang in rows for b in tries.text(lang or "und", text.encode())] + list(tries.rest())
     for b in batches:
         for r in b.to_pylist():
-            assert r["run"].split(b"\n") == sorted(r["run"].split(b"\n"))
-            runs[r["part"], r["lang"]].append(r["run"])
+            assert r["phrases"].split(b"\n") == sorted(r["phrases"].split(b"\n"), key=lambda p: p.split(b" "))
+            runs[r["part"], r["lang"]].append((r["phrases"], r["counts"]))
     got, totals = defaultdict(Counter), Counter()
     for (_, lang), held in runs.items():
-        for phrase, f in collocations.merge(held, 1):
+        for phrase, f in zip(*(x.tolist() for x in collocations.merge(*map(list, zip(*held)), 1))):
             if phrase:
-                assert phrase not in got[lang]
-                got[lang][phrase] = f
+                assert phrase.decode() not in got[lang]
+                got[lang][phrase.decode()] = f
             else:
                 totals[lang] += f
     for lang in got:
