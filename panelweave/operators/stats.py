@@ -6,12 +6,16 @@ from collections.abc import Mapping, Sequence
 from itertools import combinations_with_replacement
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.operators.aggregate import exact_quantiles, tally_quantiles
 from panelweave.session import stage
 
+BLOCK = 512  # columns on a side of a block of pairs
+FLAT = 1e-24  # variance, relative to the squared mean, that is only rounding
+
 
 def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Known values and their percentage per column, one pass."""
@@ -117,11 +121,65 @@ def dictionary(profiled: DataFrame, definitions: DataFrame, rules: Mapping[str,
     return named.filter(F.contains(F.lower("column"), wanted) | F.contains(F.lower("definition"), wanted))
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlations as rows (x, y, r), one pass; each pair is computed once."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    cells = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r")) for a, b in pairs]
-    half = df.agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
+def _pair_moments(wide: DataFrame, left: Sequence[int], right: Sequence[int], names: Sequence[str], centre: Sequence[float]) -> DataFrame:
+    """(i, j, n, sx, sy, sxx, syy, sxy, odd) for columns ``left`` by ``right``: sums over rows where both are known, summed per task by matrix products."""
+    used = sorted({*left, *right})
+    at = {c: k for k, c in enumerate(used)}
+    li, ri = [at[c] for c in left], [at[c] for c in right]
+    shift = np.array([centre[c] for c in used])
+
+    def sums(batches):
+        total = np.zeros((7, len(left), len(right)))
+        for batch in batches:
+            x = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(len(used))])
+            # a null arrives as NaN; which values are known is told apart by the validity of the column
+            known = np.column_stack([batch.column(k).is_valid().to_numpy(zero_copy_only=False) for k in range(len(used))])
+            fine = known & np.isfinite(x)
+            x = np.where(fine, x - shift, 0.0)
+            m, f = known.astype("f8"), fine.astype("f8")
+            odd = m - f
+            a, b, fa, fb = x[:, li], x[:, ri], f[:, li], f[:, ri]
+            part = fa.T @ fb, a.T @ fb, fa.T @ b, (a * a).T @ fb, fa.T @ (b * b), a.T @ b, odd[:, li].T @ m[:, ri] + f[:, li].T @ odd[:, ri]
+            total += np.stack(part)
+        i, j = (g.ravel() for g in np.meshgrid(left, right, indexing="ij"))
+        once = i <= j
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i[once], pa.int32()), pa.array(j[once], pa.int32()), *(pa.array(t.ravel()[once]) for t in total)],
+            ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy", "odd"],
+        )
+
+    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double, odd double"
+    return wide.select(*[F.col(f"`{names[c]}`") for c in used]).mapInArrow(sums, schema)
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str], block: int = BLOCK) -> DataFrame:
+    """Pairwise-complete Pearson correlations as rows (x, y, r).
+
+    One pass finds a centre for every column, the next sums the moments of all
+    pairs about them by matrix products, ``block`` columns by ``block`` at a
+    time, so a task holds seven such blocks and one pass serves up to ``block``
+    columns. A pair is null with fewer than two common rows or where a side
+    does not vary there, NaN where a common value is NaN or infinite.
+    """
+    names = list(columns)
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in names])
+    finite = lambda c: F.when(~F.isnan(c) & (F.abs(F.col(c)) < float("inf")), F.col(c))
+    first = wide.agg(*[F.avg(finite(c)).alias(c) for c in names]).first()
+    centre = [0.0 if v is None or not np.isfinite(v) else v for v in first]
+    blocks = [range(k, min(k + block, len(names))) for k in range(0, len(names), block)]
+    parts = [_pair_moments(wide, a, b, names, centre) for k, a in enumerate(blocks) for b in blocks[k:]]
+    moments = parts[0]
+    for more in parts[1:]:
+        moments = moments.unionByName(more)
+    sums = moments.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy", "odd")])
+    vx, vy = F.col("sxx") - F.col("sx") ** 2 / F.col("n"), F.col("syy") - F.col("sy") ** 2 / F.col("n")
+    away = F.array(*[F.lit(c) for c in centre])
+    # what rounding leaves of a column that does not vary, measured by its distance from zero
+    flat = lambda v, s, k: v <= F.col("n") * FLAT * (F.col(s) / F.col("n") + F.element_at(away, F.col(k) + 1)) ** 2
+    r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / F.sqrt(vx * vy)))
+    known = F.when(F.col("odd") > 0, F.lit(float("nan"))).when((F.col("n") >= 2) & ~flat(vx, "sx", "i") & ~flat(vy, "sy", "j") & (vx > 0) & (vy > 0), r)
+    label = lambda k: F.element_at(F.array(*[F.lit(c) for c in names]), F.col(k) + 1)
+    half = sums.select(label("i").alias("x"), label("j").alias("y"), known.alias("r"))
     sides = F.when(F.col("x") == F.col("y"), F.array(F.struct("x", "y"))).otherwise(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))))
     return half.select("r", F.explode(sides).alias("_s")).select("_s.x", "_s.y", "r")
 
@@ -146,15 +204,11 @@ def clustered_ols(df: DataFrame, y: str, xs: Sequence[str], effect: str, cluster
     centre = complete.agg(*[F.avg(c).alias(c) for c in names]).first()
     z = [F.col(c) - F.lit(centre[c]) for c in names]  # centred: cross products keep their digits
     pairs = list(combinations_with_replacement(range(k + 1), 2))
-    cells = (
-        complete.groupBy("_g", "_e")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.sum(z[i]).alias(f"s{i}") for i in range(k + 1)],
-            *[F.sum(z[i] * z[j]).alias(f"q{i}_{j}") for i, j in pairs],
-        )
-        .persist()
-    )
+    cells = stage(complete.groupBy("_g", "_e").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(z[i]).alias(f"s{i}") for i in range(k + 1)],
+        *[F.sum(z[i] * z[j]).alias(f"q{i}_{j}") for i, j in pairs],
+    ))
     by_effect = cells.groupBy("_e").agg(F.sum("_n").alias("_N"), *[F.sum(f"s{i}").alias(f"S{i}t") for i in range(k + 1)])
     means = by_effect.select("_e", *[(F.col(f"S{i}t") / F.col("_N")).alias(f"m{i}") for i in range(k + 1)])
 
@@ -171,6 +225,8 @@ def clustered_ols(df: DataFrame, y: str, xs: Sequence[str], effect: str, cluster
     ).first()
     xx = np.array([[total[f"w{min(i, j)}_{max(i, j)}"] for j in range(1, k + 1)] for i in range(1, k + 1)])
     xy = np.array([total[f"w0_{i}"] for i in range(1, k + 1)])
+    if np.linalg.matrix_rank(xx) < k:
+        raise ValueError(f"regressors {list(xs)} are collinear within the effects, or one does not vary there")
     beta = np.linalg.solve(xx, xy)
     scores = centred.groupBy("_g").agg(*[
         F.sum(F.col(f"w0_{i}") - sum(F.col(f"w{min(i, j)}_{max(i, j)}") * F.lit(float(beta[j - 1])) for j in range(1, k + 1))).alias(f"u{i}")
@@ -183,5 +239,4 @@ def clustered_ols(df: DataFrame, y: str, xs: Sequence[str], effect: str, cluster
     factor = g / (g - 1) * (n - 1) / (n - p)
     errors = np.sqrt(np.diag(bread @ meat @ bread) * factor)
     rows = [(x, float(b), float(e), float(b / e), n, g) for x, b, e in zip(xs, beta, errors)]
-    cells.unpersist()
     return df.sparkSession.createDataFrame(rows, "term string, coef double, std_err double, t double, n bigint, clusters bigint")

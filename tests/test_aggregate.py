@@ -219,3 +219,39 @@ def test_correlation_is_pairwise_complete(frame):
     df = frame("a double, b double, c double", (1.0, 2.0, 1.0), (2.0, 4.0, None), (3.0, 6.0, 5.0), (4.0, None, 2.0))
     got = {(r["x"], r["y"]): r["r"] for r in stats.correlation_matrix(df, ["a", "b", "c"]).collect()}
     assert got["a", "b"] == pytest.approx(1.0) and got["a", "c"] == pytest.approx(np.corrcoef([1, 3, 4], [1, 5, 2])[0, 1])
+
+
+def test_correlations_of_many_columns(spark):
+    """175 columns with gaps, in one block and in several, against numpy on the common rows."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(120, 175)) @ rng.normal(size=(175, 175)) + 1e6
+    x[rng.random(x.shape) < 0.1] = None
+    x[:, 3] = 7.1
+    x[:, 4] = None
+    names = [f"c{k}" for k in range(175)]
+    rows = [[None if np.isnan(v) else float(v) for v in row] for row in x]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(3)
+    for block in (512, 60):
+        got = {(r["x"], r["y"]): r["r"] for r in stats.correlation_matrix(df, names, block).collect()}
+        assert len(got) == 175 * 175
+        for i in (0, 1, 3, 4, 59, 60, 119, 174):
+            for j in range(175):
+                both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+                if {i, j} & {3, 4}:
+                    assert got[names[i], names[j]] is None
+                else:
+                    assert got[names[i], names[j]] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
+
+
+def test_correlations_of_odd_values(frame):
+    nan = float("nan")
+    df = frame("a double, b double, c double", (1.0, 2.0, None), (2.0, 1.0, nan), (3.0, 5.0, None), (None, nan, 4.0))
+    got = {(r["x"], r["y"]): r["r"] for r in stats.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    assert got["a", "b"] == pytest.approx(np.corrcoef([1, 2, 3], [2, 1, 5])[0, 1]) and math.isnan(got["a", "c"]) and math.isnan(got["b", "b"])
+    assert {r["r"] for r in stats.correlation_matrix(df.limit(0), ["a", "b"]).collect()} <= {None}
+
+
+def test_collinear_regressors_are_named(frame):
+    df = frame("y double, x double, z double, e int, g int", *[(float(k % 5), float(k), 2.0 * k, k % 3, k % 4) for k in range(30)])
+    with pytest.raises(ValueError, match="collinear"):
+        stats.clustered_ols(df, "y", ["x", "z"], "e", "g")
