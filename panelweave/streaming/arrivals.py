@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from panelweave.operators.select import keep_one
+from panelweave.sources import keyindex
 from panelweave.sources.refresh import refresh_years
 from panelweave.session import stage
 
@@ -16,28 +17,33 @@ def follow_files(spark: SparkSession, folder: str, schema: StructType, out: str,
     """Load files that arrived since the last run, then stop.
 
     A batch writes the years it mentions and those its events stood in before,
-    so an event whose year was revised leaves its old partition. An event seen
-    before is replaced by its row from the newest file. The merged years are
-    staged before they overwrite the partitions they were read from.
+    so an event whose year was revised leaves its old partition. Where an event
+    stood is looked up in a key index beside the table, of which a batch reads
+    only its own buckets. An event seen before is replaced by its row from the
+    newest file. The merged years are staged before they overwrite the
+    partitions they were read from.
     """
+    index = f"{out.rstrip('/')}_keys"
 
-    def merge(batch: DataFrame, _: int) -> None:
+    def merge(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
         fresh = stage(batch.withColumn("_old", F.lit(0)))
         years = {r[year] for r in fresh.select(year).distinct().collect()}  # calendar years: a few dozen at most
         if not years:
             return
         rows = fresh
-        try:
-            held = batch.sparkSession.read.schema(schema).parquet(out)
-            moved = held.select(event_id, year).join(fresh.select(event_id).distinct(), event_id, "left_semi")
-            years |= {r[year] for r in moved.select(year).distinct().collect()}
+        if keyindex.exists(session, out):
+            held = session.read.schema(schema).parquet(out)
+            if not keyindex.exists(session, index):
+                keyindex.add(held, index, event_id, year, -1)
+            keyindex.compact(session, index, number)
+            years |= {r["year"] for r in keyindex.years_of(fresh, index, event_id).collect()}
             kept = held.filter(F.col(year).isin(sorted(years))).select(*schema.names)
             rows = fresh.unionByName(kept.withColumns({"_old": F.lit(1), "_age": F.lit(0).cast("bigint"), "_file": F.lit("")}))
-        except Exception as error:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-        merged = keep_one(rows, [event_id], [F.col("_old"), F.col("_age"), F.col("_file")]).select(*schema.names)
-        refresh_years(stage(merged), out, sorted(years), year)
+        merged = stage(keep_one(rows, [event_id], [F.col("_old"), F.col("_age"), F.col("_file")]).select(*schema.names))
+        # listed before it is written: a batch that fails in between is repeated and finds both places
+        keyindex.add(merged.join(fresh.select(event_id).distinct(), event_id, "left_semi"), index, event_id, year, number)
+        refresh_years(merged, out, sorted(years), year)
 
     stream = spark.readStream.schema(schema).parquet(folder)
     dated = stream.select("*", (-F.unix_micros("_metadata.file_modification_time")).alias("_age"), F.col("_metadata.file_path").alias("_file"))

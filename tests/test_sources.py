@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelweave.functions import dates, numeric, text
 from panelweave.operators import spatial
-from panelweave.sources import contracts, readers, refresh, sinks
+from panelweave.sources import contracts, keyindex, readers, refresh, sinks
 from panelweave.streaming import arrivals
 from panelweave.workload import exchange
 
@@ -225,3 +225,43 @@ def test_feature_files_are_bounded(spark):
     files = [(r["g"], [f["id"] for f in json.loads(r["value"])["features"]]) for r in exchange.feature_files(features, "g", "k").collect()]
     assert sorted(k for _, ks in files for k in ks) == list(range(20_000)) and all((g == 1) == (k < 19_900) for g, ks in files for k in ks)
     assert max(len(ks) for _, ks in files) < 2 * exchange.FEATURES and len(files) == 21
+
+
+def test_key_index_reads_touched_buckets_only(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    rows = spark.range(2000).select(F.concat(F.lit("k"), "id").alias("id"), (F.col("id") % 5 + 2000).cast("int").alias("year"))
+    keyindex.add(rows, path, "id", "year", 0)
+    asked = spark.createDataFrame([("k7",), ("k8",), ("new",)], "id string")
+    years = keyindex.years_of(asked, path, "id")
+    assert sorted(r["year"] for r in years.collect()) == [2002, 2003]
+    plan = years._jdf.queryExecution().executedPlan().toString()
+    touched = {r["b"] for r in asked.select(keyindex.bucket("id").alias("b")).collect()}
+    assert f"PartitionFilters: [bucket" in plan and len(touched) == 3
+    for folder in (tmp_path / "keys").iterdir():  # nothing else is read: spoil it
+        if folder.is_dir() and int(folder.name.split("=")[1]) not in touched:
+            for file in folder.iterdir():
+                file.write_bytes(b"spoiled")
+    assert sorted(r["year"] for r in keyindex.years_of(asked, path, "id").collect()) == [2002, 2003]
+
+
+def test_key_index_compacts_finished_batches(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    for batch, year in enumerate((2000, 2001, 2002)):
+        keyindex.add(spark.createDataFrame([("a", year), ("b", 1990)], "id string, year int"), path, "id", "year", batch)
+    assert keyindex.crowded(spark, path, 3) == [] and len(keyindex.crowded(spark, path, 2)) in (1, 2)
+    keyindex.compact(spark, path, 2, 2)  # batch 2 may be repeated: what it listed stays beside the newest of before
+    got = sorted(tuple(r) for r in spark.read.schema("key string, year int, batch bigint").parquet(path).collect())
+    assert got == [("a", 2001, 1), ("a", 2002, 2), ("b", 1990, 1), ("b", 1990, 2)]
+    assert keyindex.crowded(spark, path, 2) == []
+
+
+def test_arrivals_find_rows_of_a_table_without_an_index(spark, tmp_path):
+    """A table that stood there before is listed once; twelve batches in a row compact the index and lose nothing."""
+    src, out, chk, schema = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "chk"), "id string, year int, n int"
+    spark.createDataFrame([("a", 1990, 0), ("z", 1990, 5)], schema).write.partitionBy("year").parquet(out)
+    for k in range(12):
+        spark.createDataFrame([("a", 2000 + k % 4, k), (f"n{k}", 2010, k)], schema).coalesce(1).write.mode("append").parquet(src)
+        arrivals.follow_files(spark, src, spark.createDataFrame([], schema).schema, out, chk, "id").awaitTermination()
+    got = {r["id"]: (r["year"], r["n"]) for r in spark.read.parquet(out).collect()}
+    assert got == {"a": (2003, 11), "z": (1990, 5)} | {f"n{k}": (2010, k) for k in range(12)}
+    assert spark.read.parquet(out).count() == 14
