@@ -8,8 +8,11 @@ source misses its target by less than one document's words.
 
 A null text has size 0, takes nothing and is decided without a draw. A null
 source is a source, last in order. Rows alike in id, source and size are one
-unit. Extra columns are ignored. An empty table gives an empty result. Draws
-are seeded by what they decide, so reruns agree.
+unit: together they expect a number of further copies, of which the whole part
+is given to so many of them and only the rest is rounded, so a unit never
+weighs more than one row in the draw. Texts are only counted, however long.
+Equal sizes go by id. Extra columns are ignored. An empty table gives an empty
+result. Draws are seeded by what they decide, so reruns agree.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ MOST = 3  # copies of a document
 LEAF = 1024  # units that one leaf of the tree takes, and remainders that one inner node takes
 SEED = 42
 
-UNIT = "doc_id bigint, source string, size bigint, rows bigint, source_size bigint, target double, bucket bigint, whole bigint, fraction double"
+UNIT = "doc_id bigint, source string, size bigint, rows bigint, source_size bigint, target double, bucket bigint, whole bigint, extra bigint, fraction double"
 
 
 def source_targets(units: DataFrame) -> DataFrame:
@@ -88,7 +91,7 @@ def _node(last: bool) -> Callable[[pa.Table], pa.Table]:
         first = group.slice(0, 1).to_pylist()[0]
         name = f"{SEED}|{first['source']!r}|{first['bucket']}|{len(group)}|{first['doc_id']}|{first['size']}"
         rng = np.random.default_rng(xxhash.xxh64_intdigest(name))
-        masses = group["size"].to_numpy().astype("f8") * group["rows"].to_numpy()
+        masses = group["size"].to_numpy().astype("f8")
         fractions, at = pivot(group["fraction"].to_numpy(), masses, rng)
         if last and at >= 0:
             fractions[at] = float(rng.random() < fractions[at])
@@ -98,7 +101,9 @@ def _node(last: bool) -> Callable[[pa.Table], pa.Table]:
 
 
 def copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, rows, source_size, target, copies): one row for each unit of alike rows.
+    """(doc_id, source, size, rows, source_size, target, whole, extra): one row for each unit of alike rows.
+
+    Each row of a unit has ``whole`` copies, and ``extra`` of them one more.
 
     ``docs`` has doc_id, source and size. Leaves of about ``LEAF`` units each
     settle all their units but one; what is left over meets at the next level,
@@ -113,7 +118,9 @@ def copies(docs: DataFrame) -> DataFrame:
         units.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
         .withColumns({"bucket": F.pmod(F.xxhash64("doc_id", "size"), leaves), "_wanted": wanted})
         .withColumn("whole", F.floor("_wanted"))
-        .withColumn("fraction", F.when(F.col("size") > 0, F.col("_wanted") - F.col("whole")).otherwise(0.0))
+        .withColumn("_more", F.when(F.col("size") > 0, F.col("rows") * (F.col("_wanted") - F.col("whole"))).otherwise(0.0))
+        .withColumn("extra", F.floor("_more"))
+        .withColumn("fraction", F.col("_more") - F.col("extra"))
     )
     fields = [f.split()[0] for f in UNIT.split(", ")]
     nodes = dealt.select(*fields)
@@ -131,7 +138,8 @@ def copies(docs: DataFrame) -> DataFrame:
     out = settled[0]
     for part in settled[1:]:
         out = out.union(part)
-    return out.select("doc_id", "source", "size", "rows", "source_size", "target", (F.col("whole") + F.col("fraction").cast("bigint")).alias("copies"))
+    extra = (F.col("extra") + F.col("fraction").cast("bigint")).alias("extra")
+    return out.select("doc_id", "source", "size", "rows", "source_size", "target", "whole", extra)
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -142,13 +150,23 @@ def sized(docs: DataFrame) -> DataFrame:
 def digest(docs: DataFrame) -> DataFrame:
     """The query's columns: doc_id, size, source_size, target, taken; a row for each row of ``docs``."""
     each = copies(sized(docs)).withColumn("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows"))))
-    return each.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    taken = (F.col("whole") + (F.col("_row") <= F.col("extra")).cast("bigint")) * F.col("size")
+    return each.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The rows of the mix: each document as often as its copies say, with its columns as they were."""
+    """The rows of the mix: each document as often as its copies say, with its columns as they were.
+
+    Alike rows are put in order by their contents, as one sequence over all
+    of them, to tell which have the further copy.
+    """
     h1, h2 = hash128(F.col("doc_id"), F.col("source"), F.col("size"))
-    drawn = copies(sized(docs)).filter("copies > 0").select(h1.alias("h1"), h2.alias("h2"), "copies")
+    drawn = stage(copies(sized(docs)).filter("whole + extra > 0").select(h1.alias("h1"), h2.alias("h2"), "rows", "whole", "extra"))
     rows = docs.select(F.struct("*").alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size"))
     many = rows.select("row", h1.alias("h1"), h2.alias("h2")).join(drawn, ["h1", "h2"])
-    return many.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select("row.*")
+    repeated = many.filter("rows > 1").select("row", "h1", "h2", "whole", "extra", F.xxhash64(F.to_json("row")).alias("t"))
+    placed = numbered(repeated, ["h1", "h2", "t"])
+    starts = placed.groupBy("h1", "h2").agg(F.min("rank").alias("start"))
+    further = placed.join(starts, ["h1", "h2"]).select("row", (F.col("whole") + (F.col("rank") - F.col("start") < F.col("extra")).cast("bigint")).alias("n"))
+    each = many.filter("rows = 1").select("row", (F.col("whole") + F.col("extra")).alias("n")).union(further)
+    return each.filter("n > 0").select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))).select("row.*")

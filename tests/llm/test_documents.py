@@ -141,6 +141,18 @@ def targets(sizes):
         full |= more
 
 
+def test_mixing_of_repeated_rows(documents):
+    """Alike rows share their copies: 600 of them land within one row of the target, in the digest and in the mix."""
+    docs = documents(*[(1, "w " * 10, "a")] * 600, *[(None, "v " * 10, "b")] * 150, *[(k, "u " * 10, "b") for k in range(50)])
+    rows = mixing.digest(docs).collect()
+    assert len(rows) == 800
+    for size in (6000, 2000):
+        part = [r for r in rows if r["source_size"] == size]
+        assert len(part) == size // 10 and abs(sum(r["taken"] for r in part) - part[0]["target"]) <= 10 and all(r["taken"] <= 30 for r in part)
+    assert sorted(map(str, rows)) == sorted(map(str, mixing.digest(docs.repartition(5)).collect()))
+    assert mixing.mix(docs).count() * 10 == sum(r["taken"] for r in rows)
+
+
 @pytest.mark.parametrize("table", ["odd", "given", "many"])
 def test_mixing(documents, given, table, monkeypatch):
     rng = np.random.default_rng(4)
