@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 SLICES = 64
@@ -52,6 +52,20 @@ def funnel(df: DataFrame, steps: Mapping[str, Column]) -> DataFrame:
     return df.agg(*counts).unpivot([], ["all", *steps], "step", "n")
 
 
+def observed(df: DataFrame, steps: Mapping[str, Column]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """Rows that pass all steps, and what each step left (``all``, then by name), told once a job has read them.
+
+    The counts ride on that job, so they are those of the rows it wrote and
+    cost no further pass. Asking before any job has run waits for one.
+    """
+    seen = Observation()
+    counts, reached = [F.count(F.lit(1)).alias("all")], F.lit(True)
+    for name, holds in steps.items():
+        reached = reached & F.coalesce(holds, F.lit(False))
+        counts.append(F.count_if(reached).alias(name))
+    return df.observe(seen, *counts).filter(reached), lambda: seen.get
+
+
 def exclude_rows(df: DataFrame, quarantine: DataFrame, on: Sequence[str]) -> DataFrame:
     """Drop the rows a quarantine table names."""
     return df.join(quarantine.select(*on), list(on), "left_anti")

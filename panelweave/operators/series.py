@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelweave.session import stage
+
 
 def _ordered(series: Sequence[str], year: str) -> Window:
     # one row per (series, year): a partition holds a span of years, never facts
@@ -90,9 +92,9 @@ def shift_share(
     crops = areas.groupBy(entity, crop).agg(F.sum(area).alias("_a"))
     mapped = F.col(commodity).isNotNull()
     # one row per crop of the entity, so the window is as wide as the crop list
-    coded = crops.join(crosswalk.select(crop, commodity), crop, "left").withColumn(
+    coded = stage(crops.join(crosswalk.select(crop, commodity), crop, "left").withColumn(
         "_share", F.col("_a") / F.sum("_a").over(Window.partitionBy(entity))
-    )
+    ))  # read for the statics and for the terms
     statics = coded.groupBy(entity).agg(
         F.sum("_a").alias("cropland"),
         (F.coalesce(F.sum(F.when(mapped, F.col("_a"))), F.lit(0.0)) / F.sum("_a")).alias("coverage"),

@@ -8,6 +8,7 @@ counter-clockwise and holes clockwise. Nothing here leaves the JVM.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -361,8 +362,9 @@ def candidate_pairs(left: DataFrame, right: DataFrame, a: str, b: str, size: flo
     the lower-left corner of the common box, so no distinct is needed.
     """
     def spread(df: DataFrame, ident: str, tag: str) -> DataFrame:
+        own = F.col("own") if "own" in df.columns else own_area()
         return df.select(
-            F.col(ident), own_area().alias("own" + tag), *[F.col(c).alias(c + tag) for c in ("xmin", "xmax", "ymin", "ymax")],
+            F.col(ident), own.alias("own" + tag), *[F.col(c).alias(c + tag) for c in ("xmin", "xmax", "ymin", "ymax")],
             _span(cell(F.col("xmin"), size), cell(F.col("xmax"), size)).alias("_cx"),
         ).select("*", _span(cell(F.col("ymin" + tag), size), cell(F.col("ymax" + tag), size)).alias("_cy"))
 
@@ -381,16 +383,35 @@ def candidate_pairs(left: DataFrame, right: DataFrame, a: str, b: str, size: flo
     )
 
 
-def overlay_area(left: DataFrame, right: DataFrame, a: str, b: str, size: float) -> DataFrame:
-    """Intersection area of every overlapping polygon pair: (a, b, area).
+@dataclass(frozen=True)
+class OverlayIndex:
+    """Polygons prepared for overlays on one grid: boxes with areas, and boundary pieces, both written once."""
+
+    boxes: DataFrame
+    pieces: DataFrame
+    size: float
+
+
+def overlay_index(geom: DataFrame, ident: str, size: float) -> OverlayIndex:
+    """What every overlay with these polygons needs of them, staged: build it once for a spine and hand it to each layer."""
+    boxes = stage(geom.select(ident, own_area().alias("own"), "xmin", "xmax", "ymin", "ymax"))
+    return OverlayIndex(boxes, stage(column_pieces(geom, [ident], size)), size)
+
+
+def overlay_area(left: DataFrame | OverlayIndex, right: DataFrame, a: str, b: str, size: float) -> DataFrame:
+    """Intersection area of every overlapping polygon pair: (a, b, area). ``left`` may be an index built before.
 
     Both boundaries are cut at grid columns. The area is the signed sum, over
     boundary pieces that share a column and a stretch of it, of the area
     under the lower of the two. A pair is unfolded into the columns of its
     common box, so a large polygon brings to each pair only the pieces there.
     """
-    pairs = candidate_pairs(left, right, a, b, size).withColumn("cx", _span(F.col("_west"), F.col("_east")))
-    ours = column_pieces(left, [a], size).select(a, "cx", F.col("sign").alias("s1"), *[F.col(c).alias(c + "1") for c in ("xl", "yl", "xr", "yr")])
+    indexed = isinstance(left, OverlayIndex)
+    if indexed and left.size != size:
+        raise ValueError(f"the index is on a grid of {left.size}, not {size}")
+    boxes, pieces = (left.boxes, left.pieces) if indexed else (left, column_pieces(left, [a], size))
+    pairs = candidate_pairs(boxes, right, a, b, size).withColumn("cx", _span(F.col("_west"), F.col("_east")))
+    ours = pieces.select(a, "cx", F.col("sign").alias("s1"), *[F.col(c).alias(c + "1") for c in ("xl", "yl", "xr", "yr")])
     theirs = column_pieces(right, [b], size).select(b, "cx", F.col("sign").alias("s2"), *[F.col(c).alias(c + "2") for c in ("xl", "yl", "xr", "yr")])
     met = pairs.join(ours, [a, "cx"]).join(theirs, [b, "cx"]).filter(F.greatest("xl1", "xl2") < F.least("xr1", "xr2"))
     stretch = met.withColumns({"_l": F.greatest("xl1", "xl2"), "_r": F.least("xr1", "xr2")})

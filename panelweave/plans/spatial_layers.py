@@ -74,15 +74,17 @@ def exclusion(parts: DataFrame, ident: str, group: str, area: str, whole: str, e
     The share is held inside [0, 1] as overlapping groups may exceed the
     district; the sum before that is kept as ``share_excluded_raw``.
     """
-    share = F.col(area) / F.col(whole)
-    held = F.col(excluded)
-    base = parts.groupBy(ident, year).agg(
-        F.count_distinct(group).alias("n_groups"),
-        aggregate.clipped_sum(held, share).alias("share_excluded"),
-        F.coalesce(F.sum(F.when(held, share)), F.lit(0.0)).alias("share_excluded_raw"),
+    share = F.when(F.col(excluded), F.col(area) / F.col(whole))
+    # one pass over the parts: everything else follows from a row for each group
+    groups = parts.groupBy(ident, year, group).agg(F.sum(area).alias("_a"), F.sum(share).alias("_s"))
+    total, raw = F.sum("_a"), F.coalesce(F.sum("_s"), F.lit(0.0))
+    layer = groups.groupBy(ident, year).agg(
+        F.count(group).alias("n_groups"),
+        aggregate.clipped_sum(F.lit(True), "_s").alias("share_excluded"),
+        raw.alias("share_excluded_raw"),
+        (1 - F.try_divide(F.sum(F.col("_a") * F.col("_a")), total * total)).alias("fractionalisation"),
     )
-    frac = aggregate.fractionalisation(parts, [ident, year], group, area, "fractionalisation")
-    return base.join(frac, [ident, year]).withColumn("any_excluded", numeric.flag(F.col("share_excluded") > 0))
+    return layer.withColumn("any_excluded", numeric.flag(F.col("share_excluded") > 0))
 
 
 def food_phase(parts: DataFrame, ident: str, phase: str, area: str, crisis: int, year: str = "year") -> DataFrame:

@@ -74,13 +74,17 @@ def bounded_export(df: DataFrame, path: str, max_rows: int = 200_000) -> int:
     return size
 
 
-def build_report(df: DataFrame, tallies: Mapping[str, int]) -> str:
-    """Plain-text build report: shape, schema, known counts, join tallies."""
-    from panelweave.operators.stats import coverage
+def build_report(df: DataFrame, tallies: Mapping[str, int], spread: Sequence[str] = ()) -> str:
+    """Plain-text build report: shape, schema, known counts, join tallies, and least, median and largest of ``spread``."""
+    from panelweave.operators.stats import coverage, distribution
 
     known = {r["column"]: r for r in coverage(df, df.columns).collect()}  # one row per column
     lines = [f"columns: {len(df.columns)}"]
     for f in df.schema:
         lines.append(f"{f.name:32s} {f.dataType.simpleString():10s} known {known[f.name]['known']:>14,} ({known[f.name]['pct']:.2f}%)")
     lines += [f"{name}: {n:,}" for name, n in tallies.items()]
+    for c in spread:
+        row = distribution(df, c).first()
+        shown = ["unknown" if row[k] is None else f"{float(row[k]):.2f}" for k in ("min", "p50", "max")]
+        lines.append(f"{c}: min {shown[0]}, median {shown[1]}, max {shown[2]}")
     return "\n".join(lines)

@@ -7,11 +7,11 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.operators import checks, spatial
+from panelweave.operators import checks, select, spatial
 from panelweave.plans import country_layers
-from panelweave.session import run_folder
+from panelweave.session import run_folder, stage
 from panelweave.sources import readers, refresh, sinks
-from panelweave.workload.base import LAST, NATIONAL_SQL, SPINE_SQL, YEARLY_SQL, Tables, query
+from panelweave.workload.base import FACTS_SQL, LAST, NATIONAL_SQL, SPINE_SQL, YEARLY_SQL, Tables, query
 from panelweave.workload.spatial import BOX, GRID, POINTS_SQL, WIDE, _ring, points
 
 
@@ -168,14 +168,63 @@ def gated_export(t: Tables):
     return readers.read_csv(t.spark, path, held.schema)
 
 
-@query("bounded_slice", "SNK-7", "select o_orderkey, o_orderstatus from orders where o_orderkey % 97 = 0")
+@query(
+    "bounded_slice",
+    "SNK-7",
+    """select o_orderkey, o_orderstatus from orders where o_orderdate > (select max(o_orderdate) - interval 7 day from orders)
+    order by o_totalprice desc, o_orderkey limit 500""",
+)
 def bounded_slice(t: Tables):
-    path = scratch(t)
-    chosen = t.read("orders").filter("o_orderkey % 97 = 0").select("o_orderkey", "o_orderstatus")
+    """The 500 dearest orders of the last week: a report that does not grow with the table."""
+    path, orders = scratch(t), t.read("orders")
+    recent = orders.filter(F.col("o_orderdate") > F.date_sub(orders.agg(F.max("o_orderdate")).scalar(), 7))
+    chosen = recent.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(500).select("o_orderkey", "o_orderstatus")
     sinks.bounded_export(chosen, path)
     return readers.read_csv(t.spark, path, chosen.schema)
 
 
+@query(
+    "observed_filters",
+    "FLT-1 FLT-9",
+    f"""select * from (values (1, 'severe', (select count(*) from ({FACTS_SQL}) where best >= 40)),
+      (2, 'discounted', (select count(*) from ({FACTS_SQL}) where best >= 40 and l_discount >= 0.05)),
+      (3, 'precise', (select count(*) from ({FACTS_SQL}) where best >= 40 and l_discount >= 0.05 and l_tax <= 0.06))) as v(step, name, kept)
+    join (select (select count(*) from ({FACTS_SQL}) where best >= 40 and l_discount >= 0.05 and l_tax <= 0.06)::bigint as written) on true""",
+)
+def observed_filters(t: Tables):
+    """Rows that each filter keeps, counted by the job that writes what passes them all."""
+    path = scratch(t)
+    steps = {"severe": F.col("best") >= 40, "discounted": F.col("l_discount") >= 0.05, "precise": F.col("l_tax") <= 0.06}
+    kept, told = select.observed(t.facts.select("district_id", "best", "l_discount", "l_tax"), steps)
+    kept.write.parquet(path)
+    tally = t.spark.createDataFrame([(k, name, told()[name]) for k, name in enumerate(steps, 1)], "step int, name string, kept bigint")
+    return tally.withColumn("written", F.lit(t.spark.read.parquet(path).count()).cast("bigint"))
+
+
+@query(
+    "build_report",
+    "SNK-5",
+    f"""with y as ({YEARLY_SQL}), w as (select y.*, g.gdp from y join ({SPINE_SQL}) s on y.district_id = s.district_id left join ({NATIONAL_SQL}) g on s.iso3 = g.iso3 and y.year = g.year),
+    k as (select 1 as line, 'columns: 5' as text
+      union all select 2, format('{{:32s}} {{:10s}} known ', 'district_id', 'bigint') || lpad(format('{{:,}}', count(district_id)), 14, ' ') || format(' ({{:.2f}}%)', count(district_id) * 100.0 / count(*)) from w
+      union all select 3, format('{{:32s}} {{:10s}} known ', 'year', 'int') || lpad(format('{{:,}}', count(year)), 14, ' ') || format(' ({{:.2f}}%)', count(year) * 100.0 / count(*)) from w
+      union all select 4, format('{{:32s}} {{:10s}} known ', 'n', 'bigint') || lpad(format('{{:,}}', count(n)), 14, ' ') || format(' ({{:.2f}}%)', count(n) * 100.0 / count(*)) from w
+      union all select 5, format('{{:32s}} {{:10s}} known ', 'value', 'double') || lpad(format('{{:,}}', count(value)), 14, ' ') || format(' ({{:.2f}}%)', count(value) * 100.0 / count(*)) from w
+      union all select 6, format('{{:32s}} {{:10s}} known ', 'gdp', 'double') || lpad(format('{{:,}}', count(gdp)), 14, ' ') || format(' ({{:.2f}}%)', count(gdp) * 100.0 / count(*)) from w
+      union all select 7, 'district-years: ' || format('{{:,}}', count(*)) from w
+      union all select 8, 'with national figures: ' || format('{{:,}}', count(gdp)) from w
+      union all select 9, 'n: min ' || format('{{:.2f}}', min(n)::double) || ', median ' || format('{{:.2f}}', quantile_cont(n::double, 0.5)) || ', max ' || format('{{:.2f}}', max(n)::double) from w)
+    select * from k""",
+)
+def build_report(t: Tables):
+    """The report of a build as its lines: columns, join tallies and the spread of one measure."""
+    placed = t.yearly.join(t.spine.select("district_id", "iso3"), "district_id").join(t.national.select("iso3", "year", "gdp"), ["iso3", "year"], "left")
+    wide = stage(placed.select("district_id", "year", "n", "value", "gdp"))
+    met = wide.agg(F.count(F.lit(1)).alias("rows"), F.count("gdp").alias("known")).first()
+    report = sinks.build_report(wide, {"district-years": met["rows"], "with national figures": met["known"]}, ["n"])
+    return t.spark.createDataFrame(list(enumerate(report.split("\n"), 1)), "line int, text string")
+
+
 @query("audit_crosswalk", "SNK-8", f"select distinct iso3, region from ({SPINE_SQL})")
 def audit_crosswalk(t: Tables):
     path = scratch(t)

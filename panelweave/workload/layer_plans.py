@@ -205,18 +205,24 @@ def inside_points(t: Tables):
     return located.select(F.col("of").alias("district_id"), (F.col("of") == F.col("district_id")).alias("inside"))
 
 
+_HALF = "(select max(s_suppkey) // 2 from supplier)"
+
+
 @query(
     "successor_codes",
     "FLT-13",
-    f"""select case when district_id between 91 and 100 and year < 1998 then district_id - 90 when district_id between 91 and 100 then district_id - 60 else district_id end as district_id, year, n
-    from ({YEARLY_SQL}) where district_id between 91 and 100 or (district_id <= 10 and year >= 1998) or district_id between 41 and 60""",
+    f"""with c as (select case when (district_id <= {_HALF}) = (year < 1998) then district_id + 2 * {_HALF} + 1 else district_id end as code, year, n from ({YEARLY_SQL}))
+    select case when code > {_HALF} and code <= 2 * {_HALF} + 1 then code - {_HALF} else code end as district_id, year, n from c""",
 )
 def successor_codes(t: Tables):
-    """Ten former codes report until 1997, their successors after that; ten more have no successor's report at all."""
-    yearly, d, y = t.yearly.select("district_id", "year", "n"), F.col("district_id"), F.col("year")
-    late = d.between(91, 100)
-    coded = yearly.filter(late | ((d <= 10) & (y >= 1998)) | d.between(41, 60)).withColumn("district_id", F.when(late & (y >= 1998), d - 60).otherwise(d))
-    former = t.spine.filter("district_id between 91 and 100").select("district_id", (F.col("district_id") - 90).alias("successor"))
+    """The upper half of the spine are former codes that report until 1997, the lower half their successors from then on.
+
+    Everyone's reports of the other years go under codes of their own, which nobody succeeds.
+    """
+    d, half = F.col("district_id"), F.floor(t.spine.agg(F.max("district_id")).scalar() / 2)
+    apart = (d <= half) == (F.col("year") < 1998)
+    coded = t.yearly.select(F.when(apart, d + 2 * half + 1).otherwise(d).alias("district_id"), "year", "n")
+    former = t.spine.filter(d > half).select("district_id", (d - half).alias("successor"))
     return joins.successor_codes(coded, former, "district_id", "year")
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelweave.functions import numeric, text
+from panelweave.functions import geo, numeric, text
 from panelweave.operators import joins, reshape, select
+from panelweave.session import stage
 from panelweave.workload.base import FACTS_SQL, NATIONAL_SQL, SPINE_SQL, Tables, YEARLY_SQL, query
 from panelweave.workload.series import CROSSWALK, XW_SQL
 
@@ -178,16 +179,16 @@ def override_and_impute(t: Tables):
     "outer_join_two_sources",
     "JN-9 JN-11",
     f"""with n as ({NATIONAL_SQL}), a as (select iso3, year, n_orders from n where n_orders >= (select avg(n_orders) from n)),
-    b as (select s.iso3, y.year, count(*) as n_lines from ({FACTS_SQL}) y join ({SPINE_SQL}) s on y.district_id = s.district_id where y.best >= 45 and y.l_discount >= 0.07 group by 1, 2)
+    l as (select s.iso3, y.year, count(*) as n_lines from ({FACTS_SQL}) y join ({SPINE_SQL}) s on y.district_id = s.district_id group by 1, 2),
+    b as (select * from l where n_lines >= (select avg(n_lines) from l))
     select coalesce(a.iso3, b.iso3) as iso3, coalesce(a.year, b.year) as year, n_orders::double as n_orders, n_lines::double as n_lines
     from a full join b on a.iso3 = b.iso3 and a.year = b.year""",
 )
 def outer_join_two_sources(t: Tables):
     busy = F.col("n_orders") >= t.national.agg(F.avg("n_orders")).scalar()
     a = t.national.filter(busy).select("iso3", "year", F.col("n_orders").cast("double").alias("n_orders"))
-    big = t.facts.filter((F.col("best") >= 45) & (F.col("l_discount") >= 0.07)).join(t.spine, "district_id")
-    b = big.groupBy("iso3", "year").agg(F.count(F.lit(1)).cast("double").alias("n_lines"))
-    return joins.outer_merge(a, b, ["iso3", "year"])
+    lines = stage(t.yearly.join(t.spine, "district_id").groupBy("iso3", "year").agg(F.sum("n").cast("double").alias("n_lines")))
+    return joins.outer_merge(a, lines.filter(F.col("n_lines") >= lines.agg(F.avg("n_lines")).scalar()), ["iso3", "year"])
 
 
 @query(
@@ -214,17 +215,43 @@ def indicator_columns(t: Tables):
     "SET-1 SET-3 WIN-1",
     f"""select district_id, year, n, source from (
       select *, row_number() over (partition by district_id, year order by rank) as rn from (
-        select district_id, year, count(*) as n, 'A' as source, 0 as rank from ({FACTS_SQL}) where kind = 'A' and best >= 48 group by 1, 2
-        union all select district_id, year, count(*), 'N', 1 from ({FACTS_SQL}) where kind = 'N' and best >= 46 group by 1, 2
+        select district_id, year, count(*) as n, 'A' as source, 0 as rank from ({FACTS_SQL}) where kind = 'A' group by 1, 2
+        union all select district_id, year, count(*), 'N', 1 from ({FACTS_SQL}) where kind = 'N' group by 1, 2
         union all select district_id, year, n, 'all', 2 from ({YEARLY_SQL}))) where rn = 1""",
 )
 def preferred_source(t: Tables):
-    def source(kind: str, floor: int):
-        part = t.facts.filter((F.col("kind") == kind) & (F.col("best") >= floor))
-        return part.groupBy("district_id", "year").agg(F.count(F.lit(1)).alias("n")).withColumn("source", F.lit(kind))
+    def source(kind: str):
+        return t.facts.filter(F.col("kind") == kind).groupBy("district_id", "year").agg(F.count(F.lit(1)).alias("n")).withColumn("source", F.lit(kind))
 
     rest = t.yearly.select("district_id", "year", "n", F.lit("all").alias("source"))
-    return select.prefer([source("A", 48), source("N", 46), rest], ["district_id", "year"])
+    return select.prefer([source("A"), source("N"), rest], ["district_id", "year"])
+
+
+_V = "(o_totalprice + 0.003) * pow(10, o_orderkey % 11 - 9)"  # no value lies halfway between two roundings
+
+
+@query(
+    "human_numbers",
+    "FN-16",
+    f"""select o_orderkey, case when o_orderkey % 11 = 10 then '—' when v >= 1e6 then format('{{:,.2f}}', v / 1e6) || 'M' when v >= 1000 then format('{{:,.0f}}', v)
+      when v >= 1 then format('{{:,.2f}}', v) when v < 1e-4 then printf('%.3e', v) else printf('%.4g', v) end as shown
+    from (select o_orderkey, {_V} as v from orders)""",
+)
+def human_numbers(t: Tables):
+    """Order values over eleven magnitudes, and unknown ones, as a reader sees them."""
+    v = F.when(F.col("o_orderkey") % 11 != 10, F.expr(_V))
+    return t.read("orders").select("o_orderkey", numeric.human(v).alias("shown"))
+
+
+@query(
+    "flat_points",
+    "FN-18",
+    "select c_custkey, c_nationkey::double as x, c_acctbal as y from customer",
+)
+def flat_points(t: Tables):
+    """Customers as points with a height, which goes."""
+    z = F.struct(F.col("c_nationkey").cast("double").alias("x"), F.col("c_acctbal").alias("y"), F.col("c_custkey").cast("double").alias("z"))
+    return t.read("customer").select("c_custkey", geo.flat_point(z).alias("p")).select("c_custkey", "p.*")
 
 
 @query(

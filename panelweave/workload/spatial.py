@@ -182,6 +182,21 @@ def zonal_median(t: Tables):
     return spatial.zonal_quantile(cells(t), weights(t), "district_id", "value", 0.5, "median")
 
 
+@query(
+    "zonal_median_interpolated",
+    "AGG-11",
+    f"""with i as (select district_id, value as v, sum(w) as w from ({CELLS_SQL}) c join ({WEIGHTS_SQL}) w on c.cx = w.cx and c.cy = w.cy
+      where value is not null group by 1, 2),
+    r as (select *, sum(w) over (partition by district_id order by v) - w / 2 as mid, sum(w) over (partition by district_id) / 2 as half from i),
+    e as (select district_id, max(half) as half, max(mid) filter (where mid <= half) as m0, min(mid) filter (where mid >= half) as m1,
+      max(v) filter (where mid <= half) as v0, min(v) filter (where mid >= half) as v1 from r group by 1)
+    select district_id, round(coalesce(v0 + (v1 - v0) * coalesce((half - m0) / nullif(m1 - m0, 0), 0), v0, v1), 6) as median from e""",
+)
+def zonal_median_interpolated(t: Tables):
+    found = spatial.zonal_quantile(cells(t), weights(t), "district_id", "value", 0.5, "median", interpolate=True)
+    return found.withColumn("median", F.round("median", 6))
+
+
 _FOOT_SQL = f"""select c_custkey, c_nationkey, c_mktsegment, c_custkey % {WIDE} + 0.5::double as u0, c_custkey % {WIDE} + 1.7::double as u1,
   floor(c_custkey / {WIDE}) + 0.3::double as v0, floor(c_custkey / {WIDE}) + 1.2::double as v1 from customer"""
 OVERLAY_SQL = f"""select district_id, c_custkey, c_nationkey, c_mktsegment,
@@ -216,6 +231,23 @@ def same_home_overlay(t: Tables):
     return kept.groupBy("district_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("area"), 6).alias("area"))
 
 
+@query(
+    "layers_of_one_index",
+    "SP-5 JN-19 SP-12",
+    f"""select district_id, c_mktsegment as layer, count(*) as n, round(sum(area), 6) as area from ({OVERLAY_SQL})
+    where c_mktsegment in ('BUILDING', 'MACHINERY', 'FURNITURE') group by 1, 2""",
+)
+def layers_of_one_index(t: Tables):
+    """Three layers laid over the same districts, whose boundary is cut to the grid and written once."""
+    index, feet = spatial.overlay_index(boxes(t, "supplier", "s_suppkey", BOX, "district_id"), "district_id", 1.0), footprints(t)
+    out = None
+    for name in ("BUILDING", "MACHINERY", "FURNITURE"):
+        area = spatial.overlay_area(index, feet.filter(F.col("c_mktsegment") == name), "district_id", "c_custkey", 1.0)
+        part = area.groupBy("district_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("area"), 6).alias("area")).withColumn("layer", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out.select("district_id", "layer", "n", "area")
+
+
 _STATUS_SQL = "1994 + cast(c_custkey % 5 as integer) as a, 1996 + cast(c_custkey % 7 as integer) as b"
 
 

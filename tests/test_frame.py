@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelweave.operators import frame as fr
-from panelweave.operators import joins, series
+from panelweave.operators import joins, select, series
 
 
 def test_mask_truth_table(frame, rows):
@@ -155,3 +155,10 @@ def test_successors_must_not_overlap(frame):
     assert got == [("FRA", 1990, 4), ("RUS", 1990, 1), ("RUS", 1992, 2), ("SRB", 1990, 3)]
     with pytest.raises(Exception, match="two codes report RUS 1990"):
         joins.successor_codes(df.union(frame("code string, year int, v int", ("RUS", 1990, 9))), codes, "code", "year").collect()
+
+
+def test_filters_are_counted_by_the_job_that_writes(frame, tmp_path):
+    df = frame("a int, b int", (1, 1), (2, None), (3, 3), (None, 4))
+    kept, told = select.observed(df, {"known": F.col("a").isNotNull(), "high": F.col("b") > 2})
+    kept.write.parquet(str(tmp_path / "x"))
+    assert told() == {"all": 4, "known": 3, "high": 1} and df.sparkSession.read.parquet(str(tmp_path / "x")).count() == 1

@@ -225,3 +225,14 @@ def test_intersecting_counts_touch(frame):
     right = geometry(frame, {n: [(False, square(*s))] for n, s in others.items()}).withColumnRenamed("id", "other")
     got = sorted((r["id"], r["other"]) for r in spatial.intersecting(left, right, "id", "other", 0.7).collect())
     assert got == [("a", n) for n in ("around", "corner", "inside", "same", "side")]
+
+
+def test_one_index_serves_several_overlays(frame):
+    spine = geometry(frame, {"a": [(False, square(0, 0, 4, 4))], "b": [(False, square(4, 0, 8, 4))]})
+    index = spatial.overlay_index(spine, "id", 1.0)
+    for x in (1, 3, 6):
+        layer = geometry(frame, {"l": [(False, square(x, 1, x + 2, 3))]}).withColumnRenamed("id", "other")
+        direct = {r["id"]: r["area"] for r in spatial.overlay_area(spine, layer, "id", "other", 1.0).collect()}
+        assert {r["id"]: r["area"] for r in spatial.overlay_area(index, layer, "id", "other", 1.0).collect()} == direct
+    with pytest.raises(ValueError, match="grid"):
+        spatial.overlay_area(index, layer, "id", "other", 2.0)
