@@ -13,11 +13,14 @@ indexed in the next band too.
 
 Before that a screen drops sets without a chance: those with more than
 ``misses(n)`` shingles, of a fixed part of all hashes, that no other set has.
-Sets that share a key never meet all at once: in each round a key's hubs meet
-its other members, what links is verified exactly on whole sets, and keys whose
-other members already lie in one component are done. Each round has twice the
-hubs of the one before, so every pair that could join two components is
-verified in the end; none is capped or dropped.
+Sets that share a key never meet all at once: in each round a key's hubs, which
+are marked members, meet its larger members. A pair goes on if it lies in two
+components and a parity sketch does not rule it out (what two sketches differ
+in, the sets differ in too); it is then verified exactly on whole sets. Keys
+whose members lie in one component, or whose marked members have all been hubs,
+are done. Each round has ``GROWTH`` times the hubs of the one before, so every
+pair that could join two components is judged in the end; none is capped or
+dropped.
 
 Null texts and texts without a word have an empty set and link with nothing;
 shorter ones are one shingle. Very long texts are hashed piece by piece; a task
@@ -46,6 +49,8 @@ WORDS, PERCENT = 3, 90
 SCREEN = 6  # one hash in so many takes part in the screen
 RARE, COMMON = 16, 512  # sets a shingle is in, up to which it is indexed alone, or in pairs; beyond in threes
 PLAIN = 64  # sets of up to so many shingles have all indexed alone
+GROWTH = 64  # times as many hubs in each round
+SKETCH = 8  # longs of a parity sketch
 PIECE = 1 << 20  # bytes of a long text hashed at a time
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -59,6 +64,11 @@ def misses(n: int, percent: int = PERCENT) -> int:
     return n - (percent * n + 99) // 100
 
 
+def misses_as_smaller(n: int, percent: int = PERCENT) -> int:
+    """The same towards partners that are not smaller: two sets share ``percent / (100 + percent)`` of their sizes' sum."""
+    return n - (2 * percent * n + 99 + percent) // (100 + percent)
+
+
 def lonely(n: int, percent: int = PERCENT) -> bool:
     """A set so small that only an equal one could link."""
     return 100 * n < percent * (n + 1)
@@ -148,19 +158,26 @@ def screened(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     return rows.join(able.select("s"), "s", "left_semi").groupBy("s").agg(one).select("k.k1", "k.k2")
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """A bit for each remainder of the hashes, set if an odd number of them has it."""
+    bits = np.bincount((tokens & np.uint64(64 * SKETCH - 1)).astype("i8"), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype("u1"), bitorder="little").view("<i8")
+
+
 def sets_of(docs: DataFrame, chosen: DataFrame, words: int = WORDS) -> DataFrame:
-    """(s, n, tokens) of the chosen rows of ``docs``."""
+    """(s, n, tokens, sketch) of the chosen rows of ``docs``."""
 
     def whole(batches):
         for batch in batches:
             for text in encoded(batch.column("text")):
                 found = shingles(text, words)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_key(found)], pa.int64()), pa.array([len(found)], pa.int64()), _lists([found])], ["s", "n", "tokens"],
+                    [pa.array([_key(found)], pa.int64()), pa.array([len(found)], pa.int64()), _lists([found]), _lists([parity(found)])],
+                    ["s", "n", "tokens", "sketch"],
                 )
 
     texts = _keyed(docs).join(chosen, ["k1", "k2"]).select("text")
-    return texts.mapInArrow(whole, "s bigint, n bigint, tokens array<bigint>")
+    return texts.mapInArrow(whole, "s bigint, n bigint, tokens array<bigint>, sketch array<bigint>")
 
 
 def bands(n: int, percent: int = PERCENT) -> list[int]:
@@ -169,15 +186,14 @@ def bands(n: int, percent: int = PERCENT) -> list[int]:
     return [own, own + 1] if 100 * n // percent >= 2 << own else [own]
 
 
-def signatures(n: int, holders: np.ndarray, tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Keys of a set of ``n`` shingles, of which ``tokens`` are in several sets, ``holders`` in number."""
+def signatures(n: int, holders: np.ndarray, tokens: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a set of ``n`` shingles, of which ``tokens`` are in several sets, ``holders`` in number, and which of them are marked."""
     order = np.lexsort((tokens, holders))
     tokens, holders = tokens[order], holders[order]
-    need = misses(n, percent) + 1 - (n - len(tokens))  # shingles that no other set has come first, and are worth one each
-    if need <= 0:
-        return np.array([], "u8")
-    out = []
-    for band in bands(n, percent):
+    alone = n - len(tokens)  # shingles that no other set has come first, and are worth one each
+    need, first_need = misses(n, percent) + 1 - alone, misses_as_smaller(n, percent) + 1 - alone
+    keys, marks = [np.array([], "u8")], [np.array([], bool)]
+    for band in bands(n, percent) if need > 0 else []:
         most = misses(2 << band, percent)
         k = np.ones(len(tokens), "i8") if 2 << band <= PLAIN else 1 + (holders > RARE) + (holders > COMMON)
         dealt = np.array([1, max(1, most // 3), max(1, most // 4)], "u8")
@@ -188,35 +204,39 @@ def signatures(n: int, holders: np.ndarray, tokens: np.ndarray, percent: int = P
         seat[place] = np.arange(len(tokens)) - np.repeat(starts, np.diff(np.append(starts, len(tokens))))
         worth = np.cumsum(seat + 1 >= k)
         end = int(np.searchsorted(worth, need)) + 1
+        marked = int(np.searchsorted(worth, first_need)) + 1 if first_need > 0 else 0
         mark = np.array([band], "u8")
-        alone = tokens[:end][k[:end] == 1]
-        out.append(mixed(np.repeat(mark, len(alone)), alone))
+        single = np.flatnonzero(k[:end] == 1)
+        keys.append(mixed(np.repeat(mark, len(single)), tokens[single]))
+        marks.append(single < marked)
         groups: dict[int, list[int]] = {}
         for at in np.flatnonzero(k[:end] > 1).tolist():
             groups.setdefault(int(bucket[at]), []).append(at)
         for size in (2, 3):
             chosen = [c for b, members in groups.items() if b % 4 == size for c in combinations(members, size)]
             if chosen:
-                picked = np.sort(tokens[np.array(chosen)], axis=1)
-                out.append(mixed(np.repeat(mark, len(picked)), *picked.T))
-    return np.concatenate(out)
+                at = np.array(chosen)
+                picked = np.sort(tokens[at], axis=1)
+                keys.append(mixed(np.repeat(mark, len(picked)), *picked.T))
+                marks.append(at.max(1) < marked)
+    return np.concatenate(keys), np.concatenate(marks)
 
 
 def postings(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(g, s): the keys of every set."""
+    """(g, s, marked): the keys of every set."""
 
     def index(batches):
         for batch in batches:
             for s, n, found in zip(batch.column("s").to_pylist(), batch.column("n").to_pylist(), batch.column("found")):
                 holders = found.values.field("holders").to_numpy()
                 tokens = found.values.field("h").to_numpy().view("u8")
-                keys = np.unique(signatures(n, holders, tokens, percent))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view("i8"), pa.int64()), pa.array(np.full(len(keys), s), pa.int64())], ["g", "s"])
+                keys, marks = signatures(n, holders, tokens, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view("i8"), pa.int64()), pa.array(np.full(len(keys), s), pa.int64()), pa.array(marks)], ["g", "s", "marked"])
 
     each = sets.select("s", "n", F.explode("tokens").alias("h"))
     shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
     found = each.join(shared, "h").groupBy("s", "n").agg(F.collect_list(F.struct("holders", "h")).alias("found"))
-    return found.mapInArrow(index, "g bigint, s bigint")
+    return found.mapInArrow(index, "g bigint, s bigint, marked boolean")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -228,30 +248,39 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return both.filter(near).withColumn("c", common).filter(100 * F.col("c") >= percent * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b")
 
 
-def linked(live: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
-    """(node, root) of every set that links with another, by rounds of hubs over the keys ``live`` (g, s); None without any."""
-    sizes = live.groupBy("g").agg(F.min("s").alias("lo"), F.max("s").alias("hi")).filter("lo < hi").select("g")
-    live = stage(live.join(sizes, "g"))
-    roots, done, hubs_each = None, None, 1
+def _open(live: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Rows of the keys that still have a marked member and members in several components."""
+    named = live.withColumn("root", F.col("s"))
+    if roots is not None:
+        named = live.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
+    keys = named.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("marked").alias("left")).filter("lo < hi and left").select("g")
+    return stage(live.join(keys, "g"))
+
+
+def linked(postings: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
+    """(node, root) of every set that links with another, by rounds of hubs over the keys; None without any."""
+    traits = sets.select("s", "n", *[F.col("sketch")[k].alias(f"b{k}") for k in range(SKETCH)])
+    live, roots, hubs_each = _open(postings, None), None, 1
     while live.limit(1).count():
-        part = F.pmod(F.xxhash64("s", F.lit(hubs_each)), F.lit(hubs_each))
-        hubs = stage(live.groupBy("g", part.alias("p")).agg(F.min("s").alias("hub")).select("g", "hub"))
-        pairs = live.join(hubs, "g").filter("s <> hub").select(F.least("s", "hub").alias("a"), F.greatest("s", "hub").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        known = traits.withColumn("root", F.col("s"))
         if roots is not None:
-            name = lambda x, y: roots.select(F.col("node").alias(x), F.col("root").alias(y))
-            pairs = pairs.join(name("a", "ra"), "a", "left").join(name("b", "rb"), "b", "left").filter("ra is null or rb is null or ra <> rb").select("a", "b")
-        pairs = stage(pairs)
-        done = pairs if done is None else done.union(pairs)
-        links = verified(pairs, sets, percent)
-        if roots is not None:
-            links = links.union(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = components(links)
-        rest = live.join(hubs.select("g", F.col("hub").alias("s")), ["g", "s"], "left_anti")
-        named = rest.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").withColumn("root", F.coalesce("root", "s"))
-        open_keys = named.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("g")
-        live, hubs_each = stage(rest.join(open_keys, "g")), hubs_each * 2
+            known = stage(traits.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s")))
+        part = F.pmod(F.xxhash64("s", F.lit(hubs_each)), F.lit(hubs_each))
+        hubs = stage(live.filter("marked").groupBy("g", part.alias("p")).agg(F.min("s").alias("s")).select("g", "s"))
+        small = hubs.join(known, "s").select("g", *[F.col(c).alias(f"x_{c}") for c in known.columns])
+        both = F.col("x_n") + F.col("n")
+        apart = sum((F.bit_count(F.col(f"x_b{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(SKETCH)), F.lit(0))
+        larger = (F.col("x_n") < F.col("n")) | ((F.col("x_n") == F.col("n")) & (F.col("x_s") < F.col("s")))
+        # the sets differ in both - 2 * common, and common is at least percent / (100 + percent) of both
+        near = (100 * F.col("x_n") >= percent * F.col("n")) & ((100 + percent) * apart <= (100 - percent) * both)
+        met = live.join(known, "s").join(small, "g").filter(larger & near & (F.col("x_root") != F.col("root")))
+        links = stage(verified(stage(met.select(F.col("x_s").alias("a"), F.col("s").alias("b")).distinct()), sets, percent))
+        if links.limit(1).count():
+            tied = links if roots is None else links.union(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
+            roots = components(tied)
+        was = hubs.withColumn("_hub", F.lit(True))
+        rest = live.join(was, ["g", "s"], "left").withColumn("marked", F.col("marked") & F.col("_hub").isNull()).drop("_hub")
+        live, hubs_each = _open(rest, roots), hubs_each * GROWTH
     return roots
 
 
@@ -261,7 +290,7 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         raise ValueError(f"percent is {LEAST_PERCENT} to 100")
     rows = stage(sketched(docs, words))
     sets = stage(sets_of(docs, screened(rows, percent), words).dropDuplicates(["s"]))
-    roots = linked(postings(sets, percent), sets, percent)
+    roots = linked(stage(postings(sets, percent)), sets, percent)
     firsts = rows.groupBy("s").agg(F.min("doc_id").alias("first"))
     if roots is not None:
         firsts = stage(firsts.join(roots.withColumnRenamed("node", "s"), "s", "left"))
