@@ -43,19 +43,26 @@ def shared_folder(spark: SparkSession) -> str:
     return root
 
 
-_made: set[str] = set()
+_made: dict[tuple[str, str], str] = {}
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme of the file system it lies in, so that what is no Spark reader opens the same place."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def run_folder(spark: SparkSession) -> str:
-    """This application's own folder under the shared one; it goes when the driver's JVM ends."""
-    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
-    if folder not in _made:
+    """This application's own folder under the shared one, as a full URI; it goes when the driver's JVM ends."""
+    key = shared_folder(spark), spark.sparkContext.applicationId
+    if key not in _made:
+        folder = qualified(spark, "/".join(key))
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         system = path.getFileSystem(spark._jsc.hadoopConfiguration())
         system.mkdirs(path)
         system.deleteOnExit(path)
-        _made.add(folder)
-    return folder
+        _made[key] = folder
+    return _made[key]
 
 
 def stage(df: DataFrame) -> DataFrame:

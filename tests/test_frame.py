@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from panelweave import session
 from panelweave.operators import frame as fr
 from panelweave.operators import joins, select, series
 
@@ -162,3 +163,8 @@ def test_filters_are_counted_by_the_job_that_writes(frame, tmp_path):
     kept, told = select.observed(df, {"known": F.col("a").isNotNull(), "high": F.col("b") > 2})
     kept.write.parquet(str(tmp_path / "x"))
     assert told() == {"all": 4, "known": 3, "high": 1} and df.sparkSession.read.parquet(str(tmp_path / "x")).count() == 1
+
+
+def test_shared_folders_carry_their_scheme(spark):
+    assert session.run_folder(spark).startswith("file:/") and session.qualified(spark, "/a/b") == "file:/a/b"
+    assert session.qualified(spark, "file:///a/b").startswith("file:/")
