@@ -332,7 +332,7 @@ def zonal_stats(
     known = cells.filter(F.col(value).isNotNull()).select("cx", "cy", *by, value)
     joined = lookup(known, weights, ["cx", "cy"], [*by, value], "inner")
     stats = joined.groupBy(ident, *by).agg(
-        (F.sum(F.col(value) * F.col("w")) / F.sum("w")).alias("mean"), F.sum("w").alias("count")
+        F.try_divide(F.sum(F.col(value) * F.col("w")), F.sum("w")).alias("mean"), F.sum("w").alias("count")
     )
     if frame is None:
         return stats
