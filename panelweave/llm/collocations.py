@@ -36,7 +36,8 @@ BURST = 4096  # phrase ends in a container before it bursts
 HELD = 1 << 19  # trie leaves a task holds before it spills
 WORDS = 3 << 17  # word ids a task gives out before it spills all and begins anew
 GATHER = 1 << 19  # word positions counted at a time
-BLOCK = 1 << 16  # words of a long piece taken at a time
+PART = 1 << 20  # bytes of a long text taken at a time
+BLOCK = 1 << 16  # words of a longer piece taken at a time
 PARTS, SALT = 8, 16  # prefix partitions for each shuffle partition; pieces of a hot prefix
 SHARDS = 64  # pieces of a language that are ranked apart before its first phrases meet
 
@@ -44,8 +45,9 @@ ID = 21  # bits of a word id and the mark for none
 _NONE = 0
 _MASK = (1 << ID) - 1
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], "u8")
-_FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
-_PIECE = re.compile(rb"[^.,;:!?\x0a-\x0d]+")
+_BREAKS = b".,;:!?\x0b\x0c\r"
+_FOLD = bytes.maketrans(UPPER.encode() + _BREAKS, LOWER.encode() + b"\n" * len(_BREAKS))  # pieces end at line ends then
+_END = b" A "  # no word is an upper-case letter after that
 _WORD = re.compile(rb"[^ \t]+")
 RUN = "part int, lang string, phrases binary, counts binary"
 
@@ -100,14 +102,9 @@ class HatTrie:
         self.burst.add(first)
 
     def subtrees(self) -> list[tuple[int, int, int | None]]:
-        """(size, first word, second word) of every container, largest first."""
-        sizes = []
-        for first, root in self.roots.items():
-            if first in self.burst:
-                sizes += [(len(leaf), first, second) for second, leaf in root.items()]
-            else:
-                sizes.append((len(root), first, None))
-        return sorted(sizes, key=lambda s: -s[0])
+        """(size, first word, second word) of every container."""
+        sizes = [(len(root), first, None) for first, root in self.roots.items() if first not in self.burst]
+        return sizes + [(len(leaf), first, second) for first in self.burst for second, leaf in self.roots[first].items()]
 
     def take(self, first: int, second: int | None) -> dict[int, int]:
         """Remove a container and return what it counted."""
@@ -124,6 +121,7 @@ class WordIds(dict):
 
     def __init__(self) -> None:
         self.words: list[bytes] = [b""]
+        self[_END.strip()] = _NONE
 
     def __missing__(self, word: bytes) -> int:
         at = self[word] = len(self.words)
@@ -148,16 +146,15 @@ class Counting:
     def text(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         """Count a text; what has to leave is yielded."""
         waiting, ids = self.waiting.setdefault(lang, []), self.ids.__getitem__
-        for piece in _PIECE.finditer(text):
-            for found, beyond in _blocks(piece.group().translate(_FOLD)):
-                waiting.extend(map(ids, found))
-                for k in range(len(found) - beyond, len(found)):
-                    waiting[k - len(found)] *= -1
-                waiting.append(_NONE)
-                self.gathered += len(found) + 1
-                if self.gathered >= GATHER or len(self.words) >= WORDS:
-                    yield from self._settle()
-                    waiting, ids = self.waiting.setdefault(lang, []), self.ids.__getitem__
+        for found, beyond in _tokens(text):
+            waiting.extend(map(ids, found))
+            for k in range(len(found) - beyond, len(found)):
+                waiting[k - len(found)] *= -1
+            waiting.append(_NONE)
+            self.gathered += len(found) + 1
+            if self.gathered >= GATHER or len(self.words) >= WORDS:
+                yield from self._settle()
+                waiting, ids = self.waiting.setdefault(lang, []), self.ids.__getitem__
 
     def _settle(self) -> Iterator[pa.RecordBatch]:
         """Move the gathered positions into the tries, then spill what is too much."""
@@ -172,13 +169,10 @@ class Counting:
         if len(self.words) >= WORDS:
             yield from self.rest()
         elif (held := sum(t.size for t in self.tries.values())) > HELD:
-            order = sorted(((size, lang, first, second) for lang, t in self.tries.items() for size, first, second in t.subtrees()), key=lambda s: -s[0])
-            leaving, out = held // 2, []
-            for size, lang, first, second in order:
-                if leaving <= 0:
-                    break
-                leaving -= size
-                out.append((lang, first, self.tries[lang].take(first, second)))
+            each = [(size, lang, first, second) for lang, t in self.tries.items() for size, first, second in t.subtrees()]
+            sizes = np.sort(np.array([e[0] for e in each]))[::-1]
+            least = sizes[min(np.searchsorted(np.cumsum(sizes), held // 2), len(sizes) - 1)]  # the largest, down to this, hold half
+            out = [(lang, first, self.tries[lang].take(first, second)) for size, lang, first, second in each if size >= least]
             yield from self._runs(out)
 
     def rest(self) -> Iterator[pa.RecordBatch]:
@@ -238,17 +232,28 @@ def _run_rows(parts: np.ndarray, lang: str, phrases: pa.Array, counts: list[byte
     return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([lang] * len(parts), pa.string()), phrases, pa.array(counts, pa.binary())], ["part", "lang", "phrases", "counts"])
 
 
-def _blocks(piece: bytes) -> Iterator[tuple[list[bytes], int]]:
-    """The words of a piece, a long one in blocks; each block ends with the first two words of the next, which are counted there."""
-    if len(piece) <= BLOCK:
-        yield piece.split(), 0
-        return
-    words = (m.group() for m in _WORD.finditer(piece))
-    block = list(islice(words, BLOCK))
-    while block:
-        more = list(islice(words, BLOCK))
-        yield block + more[:2], len(more[:2])
-        block = more
+def _tokens(text: bytes) -> Iterator[tuple[list[bytes], int]]:
+    """Lower-cased words, with ``_END`` after each piece but the last, and how many of them at the end only continue phrases.
+
+    Long texts come in parts cut between pieces, a long piece in blocks that
+    each end with the first two words of the next, which are counted there.
+    """
+    text, at = text.translate(_FOLD), 0
+    while len(text) - at > PART:
+        cut = text.rfind(b"\n", at, at + PART)
+        if cut < 0:
+            cut = text.find(b"\n", at + PART)
+            cut = len(text) if cut < 0 else cut
+            words = (m.group() for m in _WORD.finditer(text, at, cut))
+            block = list(islice(words, BLOCK))
+            while block:
+                more = list(islice(words, BLOCK))
+                yield block + more[:2], len(more[:2])
+                block = more
+        else:
+            yield text[at:cut].replace(b"\n", _END).split(), 0
+        at = cut + 1
+    yield text[at:].replace(b"\n", _END).split(), 0
 
 
 def prefix_parts(lang: str, first: np.ndarray, second: np.ndarray, third: np.ndarray, parts: int) -> np.ndarray:

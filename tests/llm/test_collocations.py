@@ -59,7 +59,7 @@ def test_repeated_rows_and_ties(spark):
     assert result(spark, rows) == brute(rows)
 
 
-@pytest.mark.parametrize("setting", [{"BURST": 3}, {"HELD": 20}, {"WORDS": 5}, {"GATHER": 7}, {"BLOCK": 2}, {"BURST": 2, "HELD": 9, "GATHER": 5, "BLOCK": 3}])
+@pytest.mark.parametrize("setting", [{"BURST": 3}, {"HELD": 20}, {"WORDS": 5}, {"GATHER": 7}, {"BLOCK": 2, "PART": 9}, {"PART": 40}, {"BURST": 2, "HELD": 9, "GATHER": 5, "BLOCK": 3, "PART": 20}])
 def test_bursting_spilling_and_blocks_change_nothing(setting, monkeypatch):
     for name, value in setting.items():
         monkeypatch.setattr(collocations, name, value)
