@@ -14,8 +14,8 @@ indexed in the next band too.
 Before that a screen drops sets without a chance: those with more than
 ``misses(n)`` shingles, of a fixed part of all hashes, that no other set has.
 Sets that share a key never meet all at once: in each round a key's hubs, which
-are marked members, meet its larger members. A pair goes on if it lies in two
-components and a parity sketch does not rule it out (what two sketches differ
+are marked members, meet its larger members. A pair goes on if the first round left it in
+two components and a parity sketch does not rule it out (what two sketches differ
 in, the sets differ in too); it is then verified exactly on whole sets. Keys
 whose members lie in one component, or whose marked members have all been hubs,
 are done. Each round has ``GROWTH`` times the hubs of the one before, so every
@@ -258,15 +258,19 @@ def _open(live: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def linked(postings: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
-    """(node, root) of every set that links with another, by rounds of hubs over the keys; None without any."""
+    """(node, root) of every set that links with another, by rounds of hubs over the keys; None without any.
+
+    Components are taken after the first round, which ties most members of a
+    group to its hub, and once more at the end over all links.
+    """
     traits = sets.select("s", "n", *[F.col("sketch")[k].alias(f"b{k}") for k in range(SKETCH)])
-    live, roots, hubs_each = _open(postings, None), None, 1
+    live, roots, later, hubs_each = _open(postings, None), None, None, 1
+    known = traits.withColumn("root", F.col("s"))
     while live.limit(1).count():
-        known = traits.withColumn("root", F.col("s"))
-        if roots is not None:
-            known = stage(traits.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s")))
         part = F.pmod(F.xxhash64("s", F.lit(hubs_each)), F.lit(hubs_each))
-        hubs = stage(live.filter("marked").groupBy("g", part.alias("p")).agg(F.min("s").alias("s")).select("g", "s"))
+        # the smallest sets first: a hub meets larger ones only
+        ready = live.filter("marked").join(traits.select("s", "n"), "s")
+        hubs = stage(ready.groupBy("g", part.alias("p")).agg(F.min_by("s", "n").alias("s")).select("g", "s"))
         small = hubs.join(known, "s").select("g", *[F.col(c).alias(f"x_{c}") for c in known.columns])
         both = F.col("x_n") + F.col("n")
         apart = sum((F.bit_count(F.col(f"x_b{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(SKETCH)), F.lit(0))
@@ -275,12 +279,16 @@ def linked(postings: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
         near = (100 * F.col("x_n") >= percent * F.col("n")) & ((100 + percent) * apart <= (100 - percent) * both)
         met = live.join(known, "s").join(small, "g").filter(larger & near & (F.col("x_root") != F.col("root")))
         links = stage(verified(stage(met.select(F.col("x_s").alias("a"), F.col("s").alias("b")).distinct()), sets, percent))
-        if links.limit(1).count():
-            tied = links if roots is None else links.union(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
-            roots = components(tied)
+        if hubs_each == 1:
+            roots = components(links)
+            known = stage(traits.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s")))
+        else:
+            later = links if later is None else later.union(links)
         was = hubs.withColumn("_hub", F.lit(True))
         rest = live.join(was, ["g", "s"], "left").withColumn("marked", F.col("marked") & F.col("_hub").isNull()).drop("_hub")
         live, hubs_each = _open(rest, roots), hubs_each * GROWTH
+    if later is not None and later.limit(1).count():
+        roots = components(later.union(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))))
     return roots
 
 
